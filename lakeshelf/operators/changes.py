@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.columns import any_changed, row_hash
-from lakeshelf.operators.joins import fits
+from lakeshelf.operators.joins import fits, strategy_for
 
 OP = "_op"
 _S = "__s_"  # prefix of batch columns inside a merge
@@ -146,8 +146,10 @@ def delete_missing(
     keys = list(keys)
     if OP not in state.columns:
         state = state.withColumn(OP, F.lit("keep"))
+    strategy = strategy_for(batch, strategy, max_rows)
     scope_vals = batch.select(scope).distinct().withColumn("__in", F.lit(True))
-    flagged = state.join(F.broadcast(scope_vals) if fits(scope_vals, max_rows) else scope_vals, scope, "left")
+    # The scope holds at most as many values as the batch has rows.
+    flagged = state.join(F.broadcast(scope_vals) if strategy == "broadcast" else scope_vals, scope, "left")
     outside = flagged.filter(F.col("__in").isNull()).drop("__in")
     inside = flagged.filter(F.col("__in")).drop("__in")
     present = batch.select(*keys).distinct().withColumn("__present", F.lit(True))
@@ -223,6 +225,7 @@ def scd2_apply(
     key = list(key)
     now_c = _ts(now)
     base = _base(target)
+    strategy = strategy_for(source, strategy, max_rows)
     classified = scd2_classify(base, source, key, tracked, strategy, max_rows)
     changed = classified.filter(F.col("_action") == "changed").select(*key).withColumn("__chg", F.lit(True))
     small = _is_small(source, strategy, max_rows)

@@ -41,6 +41,20 @@ def join_dim(
     on: str | Sequence[str],
     how: str = "inner",
     max_rows: int | None = None,
+    check: bool = True,
 ) -> DataFrame:
-    """Join a fact to a dimension, broadcasting the dimension only when its size is proven."""
-    return fact.join(maybe_broadcast(dim, fits(dim, max_rows)), on, how)
+    """Join a fact to a dimension, broadcasting the dimension only when its size is proven.
+
+    ``check=False`` skips the explicit check (for sides whose size is only known
+    after an aggregation): the planner then uses statistics, and AQE converts
+    the join to a broadcast at runtime when the measured shuffle output of the
+    side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """
+    return fact.join(maybe_broadcast(dim, check and fits(dim, max_rows)), on, how)
+
+
+def strategy_for(df: DataFrame, strategy: str = "auto", max_rows: int | None = None) -> str:
+    """Resolve ``auto`` once for a chain of operators sharing the same batch."""
+    if strategy != "auto":
+        return strategy
+    return "broadcast" if fits(df, max_rows) else "shuffle"

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from lakeshelf.functions.columns import days_to_date, json_field, parse_date, parse_iso_ts, parse_ts, to_decimal
 from lakeshelf.operators import changes, dedup
+from lakeshelf.operators.joins import strategy_for
 
 # Source-system tags and the columns each merge compares / updates.
 POS_STREAM_TAG = "pos_realtime_stream"
@@ -125,8 +126,10 @@ POS_TIE_BREAK = [
 
 
 def dedup_pos(df: DataFrame) -> DataFrame:
-    """F1 on transaction_id with the deterministic POS tie break."""
-    return dedup.first_per_key(df, ["transaction_id"], POS_TIE_BREAK)
+    """F1 on transaction_id with the deterministic POS tie break (columns the
+    frame lacks, e.g. lineage on a hand-made batch, are skipped)."""
+    order = [o for o in POS_TIE_BREAK if (o if isinstance(o, str) else o[0]) in df.columns]
+    return dedup.first_per_key(df, ["transaction_id"], order)
 
 
 def apply_pos_stream(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "timestamp", **kw) -> DataFrame:
@@ -140,6 +143,7 @@ def apply_pos_batch(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "ti
     then delete in-scope transactions that the batch no longer lists. Event time
     and origin of existing rows stay as they were."""
     batch = dedup_pos(clean_pos(bronze_batch, POS_BATCH_TAG, ts_col))
+    kw["strategy"] = strategy_for(batch, kw.get("strategy", "auto"), kw.get("max_rows"))
     merged = changes.upsert(state, batch, ["transaction_id"], compare=POS_BATCH_COMPARE, **kw)
     return changes.delete_missing(merged, batch, ["transaction_id"], scope="transaction_date", **kw)
 
