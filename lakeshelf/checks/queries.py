@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lakeshelf import runlog
 from lakeshelf.fixtures import fixture, table
 from lakeshelf.operators import changes, dedup, quality, windows
+from lakeshelf.operators.joins import fits, maybe_broadcast
 from lakeshelf.plans import dims, facts, late, silver
 from lakeshelf.sinks import writers
 from lakeshelf.session import scratch_path
@@ -495,7 +496,7 @@ def q_partition_overwrite(spark, d):
     touched = late.touched_partitions(before, increment, ["transaction_id"], "transaction_date")
     months = touched.select(F.date_format("transaction_date", "yyyy-MM").alias("year_month")).distinct()
     current = now.withColumn("year_month", F.date_format("transaction_date", "yyyy-MM"))
-    redo = monthly(current.join(F.broadcast(months), "year_month", "left_semi").drop("year_month"))
+    redo = monthly(current.join(maybe_broadcast(months, fits(months)), "year_month", "left_semi").drop("year_month"))
     writers.overwrite_partitions(redo, path, ["year_month"])
     return spark.read.parquet(path).drop("year_month")
 

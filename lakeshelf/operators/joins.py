@@ -1,11 +1,12 @@
 """Joins whose broadcast side is bounded by a checked row count.
 
 ``broadcast()`` bypasses Spark's size threshold, so it is applied only after
-``fits(df, max_rows)`` proved the side small: ``limit(max_rows + 1).count()``
-stops reading once the bound is exceeded, so the check costs at most
-``max_rows + 1`` rows even when the side is huge. Beyond the bound the join is
-left to the planner (sort-merge, or AQE's runtime broadcast from measured
-shuffle sizes).
+``fits(df, max_rows)`` proved the side small. The check is ``take(max_rows + 1)``
+of a zero-column projection: Spark scans partitions incrementally (1, then
+4x more, ...) and stops as soon as the bound is exceeded, so on a huge side it
+reads a few partitions, not every split; the driver receives at most
+``max_rows + 1`` empty rows. Beyond the bound the join is left to the planner
+(sort-merge, or AQE's runtime broadcast from measured shuffle sizes).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def max_broadcast_rows(spark: SparkSession) -> int:
 def fits(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
     bound = max_rows if max_rows is not None else max_broadcast_rows(df.sparkSession)
-    return df.limit(bound + 1).count() <= bound
+    return len(df.select().take(bound + 1)) <= bound
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.operators.changes import OP, live
+from lakeshelf.operators.joins import max_broadcast_rows, maybe_broadcast
 from lakeshelf.session import checkpoint_dir
 from lakeshelf.sinks.writers import append, overwrite, overwrite_partitions
 
@@ -63,7 +64,8 @@ def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by:
         touched = state.filter(F.col(OP).isin(*CHANGED)).select(*parts).distinct()
         # Partition values (dates) are metadata with a calendar-sized bound.
         touched_vals = [r.asDict() for r in touched.collect()]
-        rows = state.join(F.broadcast(touched), parts, "left_semi").checkpoint(eager=True)
+        rows = state.join(maybe_broadcast(touched, len(touched_vals) <= max_broadcast_rows(spark)), parts,
+                          "left_semi").checkpoint(eager=True)
         new_rows = live(rows)
         present = {tuple(r) for r in new_rows.select(*parts).distinct().collect()}
         emptied = [v for v in touched_vals if tuple(v[p] for p in parts) not in present]

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshelf.operators.joins import fits, maybe_broadcast
+
 
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Group rows of a partition value into few tasks before a partitioned write
@@ -99,7 +101,8 @@ def compact(
     """
     df = spark.read.parquet(path)
     if partitions is not None:
-        df = df.join(F.broadcast(partitions.select(*partition_by).distinct()), list(partition_by), "left_semi")
+        chosen = partitions.select(*partition_by).distinct()
+        df = df.join(maybe_broadcast(chosen, fits(chosen)), list(partition_by), "left_semi")
     n_rows = df.count()
     n_files = max(1, -(-n_rows // max(1, target_rows_per_file)))
     laid_out = df.repartitionByRange(n_files, *partition_by, *cluster_by).sortWithinPartitions(
