@@ -148,17 +148,22 @@ def delete_missing(
         state = state.withColumn(OP, F.lit("keep"))
     strategy = strategy_for(batch, strategy, max_rows)
     scope_vals = batch.select(scope).distinct().withColumn("__in", F.lit(True))
-    # The scope holds at most as many values as the batch has rows.
-    flagged = state.join(F.broadcast(scope_vals) if strategy == "broadcast" else scope_vals, scope, "left")
-    outside = flagged.filter(F.col("__in").isNull()).drop("__in")
-    inside = flagged.filter(F.col("__in")).drop("__in")
     present = batch.select(*keys).distinct().withColumn("__present", F.lit(True))
-    present = F.broadcast(present) if _is_small(present, strategy, max_rows) else present
-    marked = inside.join(present, keys, "left").select(
-        *[c for c in state.columns if c != OP],
-        F.when(F.col("__present").isNull() & (F.col(OP) != "delete"), "delete").otherwise(F.col(OP)).alias(OP),
-    )
-    return outside.select(*state.columns).unionByName(marked.select(*state.columns))
+    cols = [c for c in state.columns if c != OP]
+
+    def mark(df: DataFrame) -> DataFrame:
+        gone = F.col("__in").isNotNull() & F.col("__present").isNull() & (F.col(OP) != "delete")
+        return df.select(*cols, F.when(gone, "delete").otherwise(F.col(OP)).alias(OP))
+
+    if strategy == "broadcast":
+        # Scope and keys are at most as many as the batch's rows: one pass over
+        # the table through two broadcast joins, no shuffle.
+        return mark(state.join(F.broadcast(scope_vals), scope, "left").join(F.broadcast(present), keys, "left"))
+    # Large batch: only in-scope rows meet the shuffled key join.
+    flagged = state.join(scope_vals, scope, "left")
+    outside = flagged.filter(F.col("__in").isNull()).withColumn("__present", F.lit(None).cast("boolean"))
+    inside = flagged.filter(F.col("__in").isNotNull()).join(present, keys, "left")
+    return mark(outside).unionByName(mark(inside))
 
 
 def deleted_keys(state: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -76,10 +76,11 @@ def test_null_to_value_is_a_change(spark):
     assert (out["a"], out["_op"]) == ("x", "update")
 
 
-def test_delete_missing_scoped_to_batch_dates(spark):
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_delete_missing_scoped_to_batch_dates(spark, strategy):
     t = spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d2")], "k int, d string")
     batch = spark.createDataFrame([(1, "d1")], "k int, d string")
-    out = {r["k"]: r["_op"] for r in changes.delete_missing(t, batch, ["k"], "d").collect()}
+    out = {r["k"]: r["_op"] for r in changes.delete_missing(t, batch, ["k"], "d", strategy=strategy).collect()}
     # Key 2 is gone from d1's reissue; d2 is not in the batch, so key 3 is untouched.
     assert out == {1: "keep", 2: "delete", 3: "keep"}
     assert [r["k"] for r in changes.deleted_keys(changes.delete_missing(t, batch, ["k"], "d"), ["k"]).collect()] == [2]

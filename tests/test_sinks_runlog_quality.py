@@ -23,10 +23,25 @@ def test_compact_same_rows_fewer_files(spark, tmp_dir):
     df = spark.range(2000).select((F.col("id") % 3).cast("string").alias("d"), F.col("id").alias("v"))
     df.repartition(40).write.partitionBy("d").parquet(path)
     before = len(glob.glob(f"{path}/*/*.parquet"))
-    out = writers.compact(spark, path, ["d"], ["v"], target_rows_per_file=1000)
+    res = writers.compact(spark, path, ["d"], ["v"], target_rows_per_file=1000)
+    out = res["path"]
     after = len(glob.glob(f"{out}/*/*.parquet"))
-    assert after < before
+    assert after < before and res["files_removed"] == before and res["files_added"] == after
     assert sorted(spark.read.parquet(out).collect()) == sorted(spark.read.parquet(path).collect())
+    # Within a file, rows are clustered (sorted) on the clustering column.
+    first = sorted(glob.glob(f"{out}/d=0/*.parquet"))[0]
+    vals = [r["v"] for r in spark.read.parquet(first).collect()]
+    assert vals == sorted(vals)
+
+
+def test_maintain_reports_each_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pos")
+    spark.range(100).select(F.lit("S1").alias("store_id"), F.col("id").cast("string").alias("product_id"),
+                            F.lit("2024-01-01").alias("transaction_date")).write.partitionBy(
+        "transaction_date").parquet(path)
+    res = writers.maintain(spark, {"silver_pos_transactions": (path, ["transaction_date"]),
+                                   "missing": (os.path.join(tmp_dir, "nope"), [])}, 1000)
+    assert res["silver_pos_transactions"]["status"] == "SUCCESS" and res["missing"]["status"] == "FAILED"
 
 
 def test_run_log_latest_success_and_watermark(spark, tmp_dir):
