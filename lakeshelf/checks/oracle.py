@@ -164,7 +164,7 @@ SELECT store_id, product_id, cast(transaction_ts as date) AS snapshot_date,
  cast(sum(CASE WHEN payment_method = 'mobile_payment' THEN total_amount ELSE 0 END) as double) AS revenue_mobile_payment
 FROM s_pos GROUP BY 1, 2, 3""", ["s_pos"])
 ORACLE["quality_nulls"] = build(
-    "SELECT " + ", ".join(f"count_if({c} IS NULL) AS {c}_nulls" for c in POS_COLS) + " FROM s_pos", ["s_pos"])
+    "SELECT " + ", ".join(f"cast(count_if({c} IS NULL) as bigint) AS {c}_nulls" for c in POS_COLS) + " FROM s_pos", ["s_pos"])
 ORACLE["quality_duplicates"] = build(
     "SELECT transaction_id, count(*) AS n FROM fx_pos GROUP BY transaction_id HAVING count(*) > 1", ["fx_pos"])
 ORACLE["quality_freshness"] = build(
@@ -257,7 +257,7 @@ ORACLE["merge_store_inventory"] = build(
 
 def _rules(src: str, rules: dict[str, str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS rule, count_if(NOT coalesce({expr}, true)) AS failed_rows FROM {src}"
+        f"SELECT '{name}' AS rule, cast(count_if(NOT coalesce({expr}, true)) as bigint) AS failed_rows FROM {src}"
         for name, expr in rules.items())
 
 
@@ -294,9 +294,9 @@ CUST_MERGE = merge_sql("cust_t", "cust_s", ["customer_id"], CUST_COLS,
 CUST_EXTRA = [("cust_t", _cust_clean("fx_customer_target")), ("cust_s", _cust_clean("fx_customer_source"))]
 ORACLE["merge_customers"] = build(CUST_MERGE, ["fx_customer_target", "fx_customer_source"], CUST_EXTRA)
 ORACLE["merge_metrics"] = build(
-    "SELECT count_if(_op = 'insert') AS rows_inserted, count_if(_op = 'update') AS rows_updated, "
-    "count_if(_op = 'delete') AS rows_deleted, count_if(_op = 'ignore') AS rows_ignored, "
-    "count_if(_op = 'close') AS versions_closed, count_if(_op = 'keep') AS rows_untouched FROM merged",
+    "SELECT cast(count_if(_op = 'insert') as bigint) AS rows_inserted, cast(count_if(_op = 'update') as bigint) AS rows_updated, "
+    "cast(count_if(_op = 'delete') as bigint) AS rows_deleted, cast(count_if(_op = 'ignore') as bigint) AS rows_ignored, "
+    "cast(count_if(_op = 'close') as bigint) AS versions_closed, cast(count_if(_op = 'keep') as bigint) AS rows_untouched FROM merged",
     ["fx_customer_target", "fx_customer_source"], CUST_EXTRA + [("merged", CUST_MERGE)])
 DIM_CUST_COLS = ["customer_id", "age_group", "gender", "zip_code", "loyalty_tier", "first_purchase_date",
                  "total_spend", "preferred_categories"]
@@ -430,9 +430,9 @@ SELECT supplier_id, supplier_name, category, performance_rating, on_time_deliver
 FROM versions WHERE is_current""", ["fx_supplier", "fx_supplier_t2"], SUP_EXTRA + [("versions", SUP_SCD)])
 
 ORACLE["dim_date"] = """
-SELECT date, cast(strftime(date, '%Y%m%d') as int) AS date_key, year(date) AS year, quarter(date) AS quarter,
- month(date) AS month, day(date) AS day, dayofweek(date) + 1 AS day_of_week, dayofyear(date) AS day_of_year,
- weekofyear(date) AS week_of_year, strftime(date, '%B') AS month_name, strftime(date, '%b') AS month_short,
+SELECT date, cast(strftime(date, '%Y%m%d') as int) AS date_key, cast(year(date) as int) AS year, cast(quarter(date) as int) AS quarter,
+ cast(month(date) as int) AS month, cast(day(date) as int) AS day, cast(dayofweek(date) + 1 as int) AS day_of_week, cast(dayofyear(date) as int) AS day_of_year,
+ cast(weekofyear(date) as int) AS week_of_year, strftime(date, '%B') AS month_name, strftime(date, '%b') AS month_short,
  strftime(date, '%A') AS day_name, strftime(date, '%a') AS day_short, strftime(date, '%Y-%m') AS year_month,
  strftime(date, '%Y') || '-Q' || cast(quarter(date) as varchar) AS year_quarter,
  dayofweek(date) IN (0, 6) AS is_weekend, dayofweek(date) NOT IN (0, 6) AS is_weekday,
