@@ -101,6 +101,18 @@ def with_audit(df: DataFrame, run_id: str, now: Column | None = None) -> DataFra
                            "pipeline_run_id": F.lit(run_id)})
 
 
+def stamp(state: DataFrame, run_id: str, now: Column | None = None) -> DataFrame:
+    """Audit columns on the rows this run inserted, updated or closed; every other
+    row keeps the values of the run that last changed it."""
+    touched = F.col(changes.OP).isin("insert", "update", "close")
+    new = {"processed_at": now if now is not None else F.current_timestamp(), "pipeline_run_id": F.lit(run_id)}
+    types = {"processed_at": "timestamp", "pipeline_run_id": "string"}
+    return state.withColumns({
+        c: F.when(touched, v).otherwise(F.col(c) if c in state.columns else F.lit(None).cast(types[c]))
+        for c, v in new.items()
+    })
+
+
 # --- POS --------------------------------------------------------------------------
 
 

@@ -70,6 +70,10 @@ def bronze_messages(
     return append_stream(rows, table, checkpoint, ["ingested_date"], available_now)
 
 
+def _silver_like(batch: DataFrame, tag: str) -> DataFrame:
+    return silver.with_audit(silver.clean_pos(batch.limit(0), tag), "")
+
+
 def silver_pos_stream(
     spark: SparkSession,
     bronze_table: str,
@@ -77,21 +81,22 @@ def silver_pos_stream(
     silver_table: str,
     checkpoint: str,
     available_now: bool = True,
+    run_id: str = "stream",
 ) -> StreamingQuery:
     """Stream-feed rows of the bronze POS table, inserted once into silver."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        like = silver.clean_pos(batch.limit(0), silver.POS_STREAM_TAG)
-        state = read_or_empty(spark, silver_table, like)
-        append_inserts(silver.apply_pos_stream(state, batch), silver_table, ["transaction_date"])
+        state = read_or_empty(spark, silver_table, _silver_like(batch, silver.POS_STREAM_TAG))
+        changed = silver.stamp(silver.apply_pos_stream(state, batch), f"{run_id}:{batch_id}")
+        append_inserts(changed, silver_table, ["transaction_date"])
 
     return foreach_batch(stream_table(spark, bronze_table, bronze_schema), apply, checkpoint, available_now)
 
 
-def silver_pos_batch(spark: SparkSession, bronze_batch: DataFrame, silver_table: str) -> dict:
+def silver_pos_batch(spark: SparkSession, bronze_batch: DataFrame, silver_table: str, run_id: str = "batch") -> dict:
     """Reconcile the silver POS table with a daily batch; returns change counts."""
-    like = silver.clean_pos(bronze_batch.limit(0), silver.POS_BATCH_TAG)
-    state = read_or_empty(spark, silver_table, like)
-    return write_state(spark, silver.apply_pos_batch(state, bronze_batch), silver_table, ["transaction_date"])
+    state = read_or_empty(spark, silver_table, _silver_like(bronze_batch, silver.POS_BATCH_TAG))
+    changed = silver.stamp(silver.apply_pos_batch(state, bronze_batch), run_id)
+    return write_state(spark, changed, silver_table, ["transaction_date"])

@@ -81,10 +81,13 @@ def test_silver_stream_is_idempotent_and_batch_reconciles(spark, tmp_dir):
     assert sorted(r["transaction_id"] for r in s.collect()) == ["t1", "t2", "t3"]
     # Daily batch for Jan 1 and Jan 2: t1 corrected, t2 cancelled (absent), t4 new; Jan 3 untouched.
     batch = spark.createDataFrame([_pos("t1", 1, qty=5, amount=50.0), _pos("t4", 2)], POS_SCHEMA)
-    counts = ingest.silver_pos_batch(spark, batch, silver_t)
+    counts = ingest.silver_pos_batch(spark, batch, silver_t, run_id="daily-1")
     assert counts.get("update") == 1 and counts.get("delete") == 1 and counts.get("insert") == 1
-    final = {r["transaction_id"]: r["quantity"] for r in spark.read.parquet(silver_t).collect()}
-    assert final == {"t1": 5, "t3": 1, "t4": 1}
+    final = {r["transaction_id"]: (r["quantity"], r["pipeline_run_id"]) for r in spark.read.parquet(silver_t).collect()}
+    # Changed rows carry the batch run; the untouched stream row keeps its micro-batch stamp.
+    assert final["t1"] == (5, "daily-1") and final["t4"] == (1, "daily-1")
+    assert final["t3"][0] == 1 and final["t3"][1].startswith("stream:")
+    assert set(final) == {"t1", "t3", "t4"}
 
 
 def test_clean_pos_malformed_values_become_null(spark):
