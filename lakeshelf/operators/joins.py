@@ -54,6 +54,34 @@ def join_dim(
     return fact.join(maybe_broadcast(dim, check and fits(dim, max_rows)), on, how)
 
 
+def left_join_nonnull(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str | Sequence[str],
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Left join in which rows with a NULL key bypass the join.
+
+    A NULL key never matches, but in a shuffled join all NULL-key rows hash to
+    one task: with many anonymous rows (say a third of all sales) that task
+    would hold a third of the data. Here they skip the join and get NULL
+    dimension columns directly, and the rest joins as usual (broadcast when
+    the dimension is proven small).
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    has_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        has_null = c if has_null is None else (has_null | c)
+    small = fits(dim, max_rows)
+    matched = fact.filter(~has_null).join(maybe_broadcast(dim, small), keys, "left")
+    extra = [f for f in dim.schema.fields if f.name not in keys]
+    unmatched = fact.filter(has_null).select(
+        *fact.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
+    )
+    return matched.unionByName(unmatched)
+
+
 def strategy_for(df: DataFrame, strategy: str = "auto", max_rows: int | None = None) -> str:
     """Resolve ``auto`` once for a chain of operators sharing the same batch."""
     if strategy != "auto":

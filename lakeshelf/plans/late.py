@@ -25,7 +25,10 @@ from lakeshelf.operators.joins import fits, maybe_broadcast
 def touched_partitions(previous_rows: DataFrame, increment: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
     """Distinct partition values affected by ``increment``."""
     keys = list(keys)
-    moved_from = previous_rows.join(increment.select(*keys).distinct(), keys, "left_semi").select(part_col)
+    inc_keys = increment.select(*keys).distinct()
+    # An increment is usually small: broadcast its keys (size-checked) so the
+    # previous rows are only scanned, not shuffled.
+    moved_from = previous_rows.join(maybe_broadcast(inc_keys, fits(inc_keys)), keys, "left_semi").select(part_col)
     return increment.select(part_col).union(moved_from).distinct()
 
 

@@ -183,23 +183,29 @@ def apply_customers(state: DataFrame, bronze_batch: DataFrame, **kw) -> DataFram
 # --- purchase orders ----------------------------------------------------------------
 
 
+NOTES_SCHEMA = "carrier string, tracking_number string, delivery_status string, notes string"
+TEMPERATURE_SCHEMA = "sensor_id string, temperature_celsius string, humidity string"
+
+
 def clean_purchase_orders(df: DataFrame) -> DataFrame:
-    notes = "delivery_notes"
+    """Typed PO rows; the delivery-notes JSON is parsed once per row into its
+    four fields (malformed JSON gives NULL fields)."""
     order_date = _date(df, "order_date")
-    out = df.withColumns({
+    notes = F.from_json("delivery_notes", NOTES_SCHEMA)
+    out = df.withColumn("__notes", notes).withColumns({
         "order_date": order_date,
         "expected_delivery_date": _date(df, "expected_delivery_date"),
         "actual_delivery_date": _date(df, "actual_delivery_date"),
         "unit_cost": to_decimal("unit_cost", 10, 2),
         "quality_rating": to_decimal("quality_rating", 4, 2),
-        "carrier": json_field(notes, "$.carrier"),
-        "tracking_number": json_field(notes, "$.tracking_number"),
-        "delivery_status": json_field(notes, "$.delivery_status"),
-        "delivery_notes_text": json_field(notes, "$.notes"),
+        "carrier": F.col("__notes.carrier"),
+        "tracking_number": F.col("__notes.tracking_number"),
+        "delivery_status": F.col("__notes.delivery_status"),
+        "delivery_notes_text": F.col("__notes.notes"),
         "order_year_month": F.date_format(order_date, "yyyy-MM"),
         "source_system": F.lit(PO_TAG),
     })
-    return out
+    return out.drop("__notes")
 
 
 def dedup_po_lifecycle(cleaned: DataFrame, tie_break: list | None = None) -> DataFrame:
@@ -219,15 +225,17 @@ def apply_purchase_orders(state: DataFrame, bronze_batch: DataFrame, **kw) -> Da
 
 
 def clean_store_inventory(df: DataFrame) -> DataFrame:
-    tr = "temperature_reading"
-    return df.withColumns({
+    """Typed shelf rows; the sensor JSON is parsed once per row (numbers read as
+    text, then cast ANSI-safely, so a malformed reading gives NULL)."""
+    reading = F.from_json("temperature_reading", TEMPERATURE_SCHEMA)
+    return df.withColumn("__t", reading).withColumns({
         "last_restocked_date": _date(df, "last_restocked_date"),
         "expiry_date": _date(df, "expiry_date"),
-        "sensor_id": json_field(tr, "$.sensor_id"),
-        "temperature_celsius": json_field(tr, "$.temperature_celsius", "double"),
-        "humidity": json_field(tr, "$.humidity", "double"),
+        "sensor_id": F.col("__t.sensor_id"),
+        "temperature_celsius": F.col("__t.temperature_celsius").try_cast("double"),
+        "humidity": F.col("__t.humidity").try_cast("double"),
         "source_system": F.lit(STORE_INV_TAG),
-    })
+    }).drop("__t")
 
 
 def apply_store_inventory(state: DataFrame, cleaned_batch: DataFrame, order, **kw) -> DataFrame:

@@ -119,3 +119,13 @@ def test_scd2_invariants(spark, s1, s2, s3):
     for day in range(1, 5):
         snap = changes.as_of(state, dt.datetime(2024, 1, day, 12)).groupBy("k").count()
         assert snap.filter("count > 1").count() == 0
+
+
+def test_left_join_nonnull_keeps_null_keys(spark):
+    from lakeshelf.operators.joins import left_join_nonnull
+
+    fact = spark.createDataFrame([(1, "a"), (2, None), (3, "zz")], "id int, k string")
+    dim = spark.createDataFrame([("a", 10)], "k string, v int")
+    for max_rows in (None, 0):  # broadcast and shuffled paths
+        got = sorted((r["id"], r["k"], r["v"]) for r in left_join_nonnull(fact, dim, "k", max_rows).collect())
+        assert got == [(1, "a", 10), (2, None, None), (3, "zz", None)]
