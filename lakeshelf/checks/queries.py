@@ -520,6 +520,19 @@ def q_run_log_latest(spark, d):
     return runlog.last_success(started.unionByName(ended), "silver_pos")
 
 
+def _in_utc(fn: Query) -> Query:
+    """Dates and instants are defined in UTC (event dates, partition days): pin
+    the session time zone before building the plan."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+    name[2:]: _in_utc(fn) for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
