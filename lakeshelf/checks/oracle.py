@@ -488,6 +488,19 @@ FULL_EXTRA = [
 ]
 ORACLE["fact_inventory_full"] = build(FULL, ["s_pos", "s_wh", "c_prod"], FULL_EXTRA)
 
+POS_AGG_DENSE = """
+SELECT d.store_id, d.product_id, d.snapshot_date, coalesce(x.units_sold, 0) AS units_sold,
+ coalesce(x.total_revenue, 0.0) AS total_revenue, x.avg_selling_price,
+ coalesce(x.transaction_count, 0) AS transaction_count, coalesce(x.unique_customers, 0) AS unique_customers,
+ coalesce(x.units_sold_online, 0) AS units_sold_online, coalesce(x.units_sold_offline, 0) AS units_sold_offline,
+ coalesce(x.revenue_cash, 0.0) AS revenue_cash, coalesce(x.revenue_credit_card, 0.0) AS revenue_credit_card,
+ coalesce(x.revenue_debit_card, 0.0) AS revenue_debit_card,
+ coalesce(x.revenue_mobile_payment, 0.0) AS revenue_mobile_payment
+FROM (SELECT store_id, product_id, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) as date) AS snapshot_date
+  FROM (SELECT store_id, product_id, min(snapshot_date) AS lo, max(snapshot_date) AS hi FROM pos_agg GROUP BY 1, 2)) d
+LEFT JOIN pos_agg x ON d.store_id = x.store_id AND d.product_id = x.product_id AND d.snapshot_date = x.snapshot_date"""
+FULL_DENSE = FULL.replace("FROM pos_agg JOIN pm", "FROM pos_agg_dense JOIN pm")
+
 W30 = W.format(o="snapshot_date", n=30)
 W90 = W.format(o="snapshot_date", n=90)
 KPI = f"""
@@ -514,6 +527,9 @@ FROM (SELECT *,
      / nullif(count(stock_cover_days) OVER ({W30}), 0), 1) AS avg_days_on_hand_30d
   FROM full_fact))"""
 ORACLE["fact_inventory_kpis"] = build(KPI, ["s_pos", "s_wh", "c_prod"], FULL_EXTRA + [("full_fact", FULL)])
+ORACLE["fact_inventory_kpis_dense"] = build(
+    KPI, ["s_pos", "s_wh", "c_prod"],
+    FULL_EXTRA + [("pos_agg_dense", POS_AGG_DENSE), ("full_fact", FULL_DENSE)])
 
 DAILY = """
 SELECT store_id, product_id, cast(transaction_ts as date) AS transaction_date, cast(sum(quantity) as bigint) AS units_sold,

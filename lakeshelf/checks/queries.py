@@ -390,9 +390,9 @@ def q_dim_date(spark, d):
 # facts and windows
 
 
-def full_fact(spark, d, frame="rows"):
+def full_fact(spark, d, frame="rows", densify=False):
     return facts.fact_inventory_full(pos_silver(spark, d), warehouse_silver(spark, d),
-                                     product_current_load(spark, d), frame=frame)
+                                     product_current_load(spark, d), frame=frame, densify=densify)
 
 
 def daily_fact(spark, d):
@@ -408,6 +408,12 @@ def q_fact_inventory_kpis(spark, d):
     return facts.fact_inventory_kpis(full_fact(spark, d))
 
 
+def q_fact_inventory_kpis_dense(spark, d):
+    """KPIs over the densified snapshot (one row per day per series): dead stock
+    can be detected."""
+    return facts.fact_inventory_kpis(full_fact(spark, d, densify=True))
+
+
 def q_fact_daily_inventory(spark, d):
     return daily_fact(spark, d)
 
