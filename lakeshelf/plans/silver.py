@@ -322,6 +322,12 @@ def clean_suppliers(df: DataFrame) -> DataFrame:
 
 
 def apply_scd2(state: DataFrame | None, snapshot: DataFrame, key: str, tracked: list[str], now, **kw) -> DataFrame:
-    """E6 for a master table; ``state=None`` starts an empty versioned table."""
-    base = state if state is not None else changes.empty_scd_table(snapshot)
-    return changes.scd2_apply(base, snapshot, [key], tracked, now, **kw)
+    """E6 for a master table: the latest row per key by load time (F2, ties broken
+    by every other column), then close / open versions. ``state=None`` starts an
+    empty versioned table."""
+    if "ingested_at" in snapshot.columns:
+        latest = dedup.latest_per_key(snapshot, [key], "ingested_at")
+    else:
+        latest = dedup.dedup_any(snapshot, [key])
+    base = state if state is not None else changes.empty_scd_table(latest)
+    return changes.scd2_apply(base, latest, [key], tracked, now, **kw)
