@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshelf.functions.columns import days_to_date, json_field, parse_date, parse_iso_ts, parse_ts, to_decimal
+from lakeshelf.functions.columns import days_to_date, parse_date, parse_iso_ts, parse_ts, to_decimal
 from lakeshelf.operators import changes, dedup
 from lakeshelf.operators.joins import strategy_for
 

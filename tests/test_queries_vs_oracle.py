@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest data set."""
-import datetime as dt
 import decimal
 import math
-import os
 
 import duckdb
 import pytest
