@@ -16,7 +16,7 @@ from lakeshelf.operators import changes, dedup, quality, windows
 from lakeshelf.operators.joins import fits, maybe_broadcast
 from lakeshelf.plans import dims, facts, late, silver
 from lakeshelf.sinks import writers
-from lakeshelf.session import scratch_path
+from lakeshelf.session import materialize, scratch_path
 from lakeshelf.sources import files, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +117,13 @@ def pos_after_stream(spark, d) -> DataFrame:
     stream = _bronze_pos(fixture(spark, d, "fx_pos_stream"))
     empty = silver.clean_pos(stream, silver.POS_STREAM_TAG).limit(0)
     first = silver.apply_pos_stream(empty, stream.filter(F.col("ingested_at") < F.lit("1997-01-01").cast("timestamp_ntz")))
-    return silver.apply_pos_stream(changes.live(first), stream)
+    # The silver table between micro-batches is stored data: materialise it.
+    return silver.apply_pos_stream(materialize(changes.live(first)), stream)
+
+
+def silver_after_stream(spark, d) -> DataFrame:
+    """The stored silver POS table after the stream feed."""
+    return materialize(changes.live(pos_after_stream(spark, d)))
 
 
 def pos_batch_clean(spark, d) -> DataFrame:
@@ -307,19 +313,19 @@ def q_merge_insert_only(spark, d):
 
 
 def q_merge_pos_batch(spark, d):
-    state = changes.live(pos_after_stream(spark, d))
+    state = silver_after_stream(spark, d)
     return comparable(changes.upsert(state, pos_batch_clean(spark, d), ["transaction_id"],
                                      compare=silver.POS_BATCH_COMPARE))
 
 
 def q_batch_scope_semi(spark, d):
-    state = changes.live(pos_after_stream(spark, d))
+    state = silver_after_stream(spark, d)
     scope = dedup.distinct_keys(pos_batch_clean(spark, d), ["transaction_date"])
     return state.join(scope, "transaction_date", "left_semi").select("transaction_id", "transaction_date")
 
 
 def q_cancelled_anti(spark, d):
-    state = changes.live(pos_after_stream(spark, d))
+    state = silver_after_stream(spark, d)
     batch = pos_batch_clean(spark, d)
     in_scope = state.join(dedup.distinct_keys(batch, ["transaction_date"]), "transaction_date", "left_semi")
     return in_scope.join(batch.select("transaction_id"), "transaction_id", "left_anti").select(
@@ -328,7 +334,7 @@ def q_cancelled_anti(spark, d):
 
 
 def q_reconcile_batch(spark, d):
-    state = changes.live(pos_after_stream(spark, d))
+    state = silver_after_stream(spark, d)
     bronze = _bronze_pos(fixture(spark, d, "fx_pos_batch"))
     return comparable(silver.apply_pos_batch(state, bronze))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every lakeshelf job relies on: UTC wall clock (oracle comparisons and
 # date partitions), ANSI arithmetic, and AQE for partition coalescing, skew-join
@@ -77,3 +77,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "lakeshelf", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
+    ``checkpoint``, never ``localCheckpoint``) and continue from those files.
+    Used where a stored table sits between two stages of a flow."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
