@@ -73,7 +73,7 @@ def product_versions(spark, d) -> DataFrame:
     """Product master after two weekly loads (t1 at NOW_1, t2 at NOW_2)."""
     s1 = silver.apply_scd2(None, silver.clean_products(fixture(spark, d, "fx_product_t1")), "product_id",
                            silver.PRODUCT_TRACKED, NOW_1)
-    return silver.apply_scd2(changes.live(s1), silver.clean_products(fixture(spark, d, "fx_product_t2")),
+    return silver.apply_scd2(materialize(changes.live(s1)), silver.clean_products(fixture(spark, d, "fx_product_t2")),
                              "product_id", silver.PRODUCT_TRACKED, NOW_2)
 
 
@@ -89,14 +89,14 @@ def _store_snapshot(spark, d, name) -> DataFrame:
 
 def store_versions(spark, d) -> DataFrame:
     s1 = silver.apply_scd2(None, _store_snapshot(spark, d, "fx_store"), "store_id", silver.STORE_TRACKED, NOW_1)
-    return silver.apply_scd2(changes.live(s1), _store_snapshot(spark, d, "fx_store_t2"), "store_id",
+    return silver.apply_scd2(materialize(changes.live(s1)), _store_snapshot(spark, d, "fx_store_t2"), "store_id",
                              silver.STORE_TRACKED, NOW_2)
 
 
 def supplier_versions(spark, d) -> DataFrame:
     s1 = silver.apply_scd2(None, silver.clean_suppliers(fixture(spark, d, "fx_supplier")), "supplier_id",
                            silver.SUPPLIER_TRACKED, NOW_1)
-    return silver.apply_scd2(changes.live(s1), silver.clean_suppliers(fixture(spark, d, "fx_supplier_t2")),
+    return silver.apply_scd2(materialize(changes.live(s1)), silver.clean_suppliers(fixture(spark, d, "fx_supplier_t2")),
                              "supplier_id", silver.SUPPLIER_TRACKED, NOW_2)
 
 
