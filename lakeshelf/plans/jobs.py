@@ -1,4 +1,4 @@
-"""One parameterised incremental job in place of one notebook per table.
+"""One parameterised incremental job in place of one hand-written job per table.
 
 ``incremental_job`` is the whole run of a silver or gold table:
 

@@ -82,21 +82,29 @@ def silver_pos_stream(
     checkpoint: str,
     available_now: bool = True,
     run_id: str = "stream",
+    partition_by: Sequence[str] = ("transaction_date",),
 ) -> StreamingQuery:
-    """Stream-feed rows of the bronze POS table, inserted once into silver."""
+    """Stream-feed rows of the bronze POS table, inserted once into silver
+    (partitioned by event date unless ``partition_by`` says otherwise)."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         state = read_or_empty(spark, silver_table, _silver_like(batch, silver.POS_STREAM_TAG))
         changed = silver.stamp(silver.apply_pos_stream(state, batch), f"{run_id}:{batch_id}")
-        append_inserts(changed, silver_table, ["transaction_date"])
+        append_inserts(changed, silver_table, list(partition_by))
 
     return foreach_batch(stream_table(spark, bronze_table, bronze_schema), apply, checkpoint, available_now)
 
 
-def silver_pos_batch(spark: SparkSession, bronze_batch: DataFrame, silver_table: str, run_id: str = "batch") -> dict:
+def silver_pos_batch(
+    spark: SparkSession,
+    bronze_batch: DataFrame,
+    silver_table: str,
+    run_id: str = "batch",
+    partition_by: Sequence[str] = ("transaction_date",),
+) -> dict:
     """Reconcile the silver POS table with a daily batch; returns change counts."""
     state = read_or_empty(spark, silver_table, _silver_like(bronze_batch, silver.POS_BATCH_TAG))
     changed = silver.stamp(silver.apply_pos_batch(state, bronze_batch), run_id)
-    return write_state(spark, changed, silver_table, ["transaction_date"])
+    return write_state(spark, changed, silver_table, list(partition_by))
