@@ -86,6 +86,13 @@ def calendar_days(bounds: DataFrame, start: str = "start", end: str = "end") ->
     return bounds.select(F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))).alias("date"))
 
 
+def fixed_calendar(spark, start: str = "2020-01-01", end: str = "2030-12-31") -> DataFrame:
+    """The calendar over a fixed span (one row per day; 4,018 rows for the default span)."""
+    bounds = spark.createDataFrame([(start, end)], "start string, end string").select(
+        F.to_date("start").alias("start"), F.to_date("end").alias("end"))
+    return dim_date(calendar_days(bounds))
+
+
 def dim_date(days: DataFrame) -> DataFrame:
     """Calendar attributes for a frame of dates (column ``date``). Sunday = 1 and
     Saturday = 7; the quarter label is ``yyyy-'Q'q`` (e.g. 2024-Q1)."""

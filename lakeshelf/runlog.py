@@ -80,10 +80,11 @@ def last_success(log: DataFrame, pipeline: str) -> DataFrame:
 
 def watermark(spark: SparkSession, path: str, pipeline: str):
     """The mark of the latest successful run, or None on a first run."""
-    try:
-        log = spark.read.schema(RUNLOG_SCHEMA).parquet(path)
-    except Exception:  # no log written yet
+    from lakeshelf.sinks.tables import table_exists
+
+    if not table_exists(spark, path):  # first run: no log yet
         return None
+    log = spark.read.schema(RUNLOG_SCHEMA).parquet(path)
     row = last_success(log, pipeline).select("watermark").first()
     return row["watermark"] if row else None
 

@@ -69,3 +69,12 @@ def test_quality_checks(spark):
         quality.enforce(df, rules)
     with pytest.raises(quality.QualityError):
         quality.assert_not_empty(df.limit(0))
+
+
+def test_fixed_calendar(spark):
+    from lakeshelf.plans.dims import fixed_calendar
+
+    cal = fixed_calendar(spark)
+    assert cal.count() == 4018
+    row = cal.filter("date = DATE'2024-01-07'").collect()[0]
+    assert (row["day_of_week"], row["is_weekend"], row["year_quarter"], row["season"]) == (1, True, "2024-Q1", "Winter")
