@@ -176,6 +176,7 @@ ORACLE["epoch_days"] = (
     "(SELECT l_orderkey, l_linenumber, cast(date_diff('day', DATE '1970-01-01', cast(l_shipdate as date)) as int) "
     "AS epoch_day FROM lineitem)")
 ORACLE["message_decode"] = "SELECT event_id, user_id, event_type, value, 'kafka://events' AS source_file FROM events"
+ORACLE["stream_messages"] = ORACLE["message_decode"]
 
 # --- purchase orders / suppliers -----------------------------------------------------------------
 

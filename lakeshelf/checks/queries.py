@@ -197,6 +197,21 @@ def q_message_decode(spark, d):
     return messages.decode_messages(msgs, EVENT_SCHEMA, "events")
 
 
+def q_stream_messages(spark, d):
+    """A4 + B1 + J1 + J3 through Structured Streaming: the events table is landed
+    as message files, ingested by the checkpointed bronze stream (run to
+    completion), and the bronze table is read back. Run-time lineage columns
+    are left out of the result."""
+    from lakeshelf.streaming.ingest import bronze_messages
+
+    landing, bronze, ckpt = (scratch_path(spark, n) for n in ("msg_landing", "msg_bronze", "msg_ckpt"))
+    messages.encode_messages(table(spark, d, "events"), ["event_id", "user_id", "event_type", "value"],
+                             "events").write.parquet(landing)
+    stream = spark.readStream.schema("topic string, value binary").parquet(landing)
+    bronze_messages(stream, EVENT_SCHEMA, "events", bronze, ckpt, "registry").awaitTermination()
+    return spark.read.parquet(bronze).select("event_id", "user_id", "event_type", "value", "source_file")
+
+
 # purchase orders / suppliers
 
 
