@@ -294,6 +294,8 @@ CUST_MERGE = merge_sql("cust_t", "cust_s", ["customer_id"], CUST_COLS,
                                 "preferred_categories"])
 CUST_EXTRA = [("cust_t", _cust_clean("fx_customer_target")), ("cust_s", _cust_clean("fx_customer_source"))]
 ORACLE["merge_customers"] = build(CUST_MERGE, ["fx_customer_target", "fx_customer_source"], CUST_EXTRA)
+ORACLE["customer_job"] = build(f"SELECT * EXCLUDE (_op) FROM ({CUST_MERGE})",
+                               ["fx_customer_target", "fx_customer_source"], CUST_EXTRA)
 ORACLE["merge_metrics"] = build(
     "SELECT cast(count_if(_op = 'insert') as bigint) AS rows_inserted, cast(count_if(_op = 'update') as bigint) AS rows_updated, "
     "cast(count_if(_op = 'delete') as bigint) AS rows_deleted, cast(count_if(_op = 'ignore') as bigint) AS rows_ignored, "

@@ -310,6 +310,24 @@ def q_merge_customers(spark, d):
     return merged_customers(spark, d)
 
 
+def q_customer_job(spark, d):
+    """The generic incremental job on real tables: two customer loads land in a
+    bronze folder (the existing customers, then the incoming batch); after each
+    load the job reads only rows past the run log's mark and merges them into
+    the silver table. The result is the silver table after both runs."""
+    from lakeshelf.plans.jobs import incremental_job
+
+    bronze, target, log = (scratch_path(spark, n) for n in ("cust_bronze", "cust_silver", "cust_runlog"))
+    like = silver.clean_customers(fixture(spark, d, "fx_customer").limit(0).withColumn(
+        "ingested_at", F.lit(None).cast("timestamp")))
+    for n, (name, loaded) in enumerate([("fx_customer_target", NOW_1), ("fx_customer_source", NOW_2)]):
+        load = fixture(spark, d, name).withColumn("ingested_at", F.lit(loaded).cast("timestamp"))
+        load.write.mode("append").parquet(bronze)
+        incremental_job(spark, "silver_customers", spark.read.parquet(bronze), target, like,
+                        lambda state, inc: silver.apply_customers(state, inc), log)
+    return spark.read.parquet(target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
+
+
 def q_merge_metrics(spark, d):
     return changes.change_metrics(merged_customers(spark, d))
 
