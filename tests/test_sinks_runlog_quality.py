@@ -78,3 +78,19 @@ def test_fixed_calendar(spark):
     assert cal.count() == 4018
     row = cal.filter("date = DATE'2024-01-07'").collect()[0]
     assert (row["day_of_week"], row["is_weekend"], row["year_quarter"], row["season"]) == (1, True, "2024-Q1", "Winter")
+
+
+def test_write_state_rewrites_touched_and_drops_emptied_partitions(spark, tmp_dir):
+    from lakeshelf.sinks.tables import write_state
+
+    path = os.path.join(tmp_dir, "t")
+    writers.overwrite(spark.createDataFrame([(1, "d1"), (2, "d2"), (3, "d3")], "k int, d string"), path, ["d"])
+    d1_files = sorted(glob.glob(f"{path}/d=d1/*.parquet"))
+    state = spark.createDataFrame(
+        [(1, "d1", "keep"), (2, "d2", "delete"), (3, "d3", "update"), (4, "d3", "insert")], "k int, d string, _op string")
+    counts = write_state(spark, state, path, ["d"])
+    assert counts == {"delete": 1, "update": 1, "insert": 1}
+    assert not os.path.exists(f"{path}/d=d2")  # emptied by the change
+    assert sorted(glob.glob(f"{path}/d=d1/*.parquet")) == d1_files  # untouched partition not rewritten
+    got = sorted((r["k"], r["d"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "d1"), (3, "d3"), (4, "d3")]
