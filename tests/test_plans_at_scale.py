@@ -47,3 +47,17 @@ def test_fits_reads_little_of_a_large_side(spark):
     big = spark.range(0, 10_000_000, 1, 200)
     assert not fits(big, 1000)
     assert fits(spark.range(10), 1000)
+
+
+def test_inventory_fact_plan_shape(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["fact_inventory_full"](spark, "/root/testdata/sf0.001")
+    plan = _plan(df)
+    # Dimension context joined through a broadcast, never a sort-merge join on a raw key.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # Dedup limited before its shuffle; the rolling frame runs as one Window over the daily grain.
+    assert "WindowGroupLimit" in plan and plan.count("Window [") + plan.count("Window(") >= 1
+    # Scans read only the needed columns.
+    read = df._jdf.queryExecution().executedPlan().toString()
+    assert "l_tax" not in read and "o_totalprice" not in read
