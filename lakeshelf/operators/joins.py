@@ -5,7 +5,9 @@
 of a zero-column projection: Spark scans partitions incrementally (1, then
 4x more, ...) and stops as soon as the bound is exceeded, so on a huge side it
 reads a few partitions, not every split; the driver receives at most
-``max_rows + 1`` empty rows. Beyond the bound the join is left to the planner
+``max_rows + 1`` empty rows. The bound is ``lakeshelf.broadcast.maxRows`` (default 500,000) tightened by
+``lakeshelf.broadcast.maxBytes`` (default 64 MB) over the schema's estimated
+row width, so wide sides get a smaller row bound. Beyond the bound the join is left to the planner
 (sort-merge, or AQE's runtime broadcast from measured shuffle sizes).
 """
 
@@ -15,20 +17,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _CONF_KEY = "lakeshelf.broadcast.maxRows"
-
-
-def max_broadcast_rows(spark: SparkSession) -> int:
-    """Row bound for explicit broadcasts (session conf ``lakeshelf.broadcast.maxRows``)."""
+_CONF_BYTES = "lakeshelf.broadcast.maxBytes"
+
+# Estimated bytes per value (Spark's default sizes; variable-length types at their defaults).
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+    T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8, T.StringType: 20,
+    T.BinaryType: 100,
+}
+
+
+def _width(dt: T.DataType) -> int:
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, T.ArrayType):
+        return 4 * _width(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return 4 * (_width(dt.keyType) + _width(dt.valueType))
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    return _WIDTH.get(type(dt), 20)
+
+
+def max_broadcast_rows(spark: SparkSession, schema: T.StructType | None = None) -> int:
+    """Row bound for explicit broadcasts: ``lakeshelf.broadcast.maxRows`` and, when
+    a schema is given, ``lakeshelf.broadcast.maxBytes`` divided by its estimated row width."""
     v = spark.conf.get(_CONF_KEY, None)
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+    rows = int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+    if schema is None:
+        return rows
+    b = spark.conf.get(_CONF_BYTES, None)
+    max_bytes = int(b) if b else DEFAULT_MAX_BROADCAST_BYTES
+    return max(1, min(rows, max_bytes // max(1, 16 + _width(schema))))
 
 
 def fits(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    bound = max_rows if max_rows is not None else max_broadcast_rows(df.sparkSession)
+    """True when ``df`` has at most the bound of rows (reads at most bound + 1)."""
+    bound = max_rows if max_rows is not None else max_broadcast_rows(df.sparkSession, df.schema)
     return len(df.select().take(bound + 1)) <= bound
 
 

@@ -61,3 +61,14 @@ def test_inventory_fact_plan_shape(spark):
     # Scans read only the needed columns.
     read = df._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in read and "o_totalprice" not in read
+
+
+def test_broadcast_bound_shrinks_for_wide_rows(spark):
+    from pyspark.sql import types as T
+
+    from lakeshelf.operators.joins import max_broadcast_rows
+
+    narrow = T.StructType([T.StructField("k", T.LongType())])
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(100)])
+    assert max_broadcast_rows(spark, narrow) == 500_000
+    assert max_broadcast_rows(spark, wide) == 64 * 1024 * 1024 // (16 + 2000)
