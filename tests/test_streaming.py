@@ -5,16 +5,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshelf.plans import silver
+from lakeshelf.schemas import BRONZE, conform
 from lakeshelf.sources.messages import decode_messages, encode_messages
 from lakeshelf.streaming import ingest
 
-POS_SCHEMA = T.StructType([
-    T.StructField("transaction_id", T.StringType()), T.StructField("store_id", T.StringType()),
-    T.StructField("product_id", T.StringType()), T.StructField("customer_id", T.StringType()),
-    T.StructField("timestamp", T.StringType()), T.StructField("quantity", T.IntegerType()),
-    T.StructField("unit_price", T.DoubleType()), T.StructField("total_amount", T.DoubleType()),
-    T.StructField("payment_method", T.StringType()), T.StructField("channel", T.StringType()),
-])
+POS_SCHEMA = BRONZE["pos_transactions"]
 
 
 def _pos(tid, day, qty=1, amount=10.0):
@@ -94,3 +89,13 @@ def test_clean_pos_malformed_values_become_null(spark):
     df = spark.createDataFrame([_pos("t1", 1), {**_pos("t2", 1), "timestamp": "garbage"}], POS_SCHEMA)
     rows = {r["transaction_id"]: r for r in silver.clean_pos(df, "x").collect()}
     assert rows["t1"]["transaction_date"] == "2024-01-01" and rows["t2"]["transaction_ts"] is None
+
+
+def test_conform_projects_to_schema(spark):
+    df = spark.createDataFrame([("t1", "7", "x", "extra")], "transaction_id string, quantity string, channel string, junk string")
+    out = conform(df, POS_SCHEMA)
+    assert out.columns == [f.name for f in POS_SCHEMA.fields]
+    row = out.collect()[0]
+    assert row["quantity"] == 7 and row["store_id"] is None and dict(out.dtypes)["quantity"] == "int"
+    bad = conform(spark.createDataFrame([("t2", "seven")], "transaction_id string, quantity string"), POS_SCHEMA)
+    assert bad.collect()[0]["quantity"] is None
