@@ -9,4 +9,4 @@ from lakeshelf.sources.files import (  # noqa: F401
     with_lineage,
     with_source,
 )
-from lakeshelf.sources.messages import decode_messages, encode_messages  # noqa: F401
+from lakeshelf.sources.messages import decode_messages, encode_messages, kafka_messages  # noqa: F401

@@ -30,3 +30,18 @@ def encode_messages(df: DataFrame, columns: Sequence[str], topic: str) -> DataFr
         F.lit(topic).alias("topic"),
         F.to_json(F.struct(*columns)).cast("binary").alias("value"),
     )
+
+
+def kafka_messages(spark, bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
+                   max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """The message stream itself, for a deployment with the Kafka connector on
+    the classpath (it is not installed here, so this is untested locally). Its
+    rows have the ``topic`` / binary ``value`` shape ``decode_messages`` reads;
+    progress lives in the sink's checkpoint, so offsets are committed once."""
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load()
