@@ -100,9 +100,9 @@ def reply_paths(messages: DataFrame, paths_per_conversation: int = 1) -> DataFra
     best = (leaves.withColumn("path_score", F.col("score") / (F.col("depth") + 1))
             .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= paths_per_conversation)
             .select("conv_id", F.col("msg_id").alias("path"), "msg_id", "path_score"))
-    for up in jumps:
-        above = best.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i")))
-        best = best.unionByName(above.select("conv_id", "path", F.col("up").alias("msg_id"), "path_score"))
+    for up in jumps:  # one reference to the rows so far, so the plan grows by one join a round
+        best = best.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i")), "left").select(
+            "conv_id", "path", F.explode(F.array_compact(F.array("msg_id", "up"))).alias("msg_id"), "path_score")
     depths = rooted.select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), "depth")
     return best.join(depths, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i"))).select(
         "conv_id", "path", "msg_id", "depth", "path_score")
