@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat
+from lakeshelf.llm import chat, decontaminate, quality
 
 QUERIES = {
+    "op4_quality": quality.op4_quality,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_chat": chat.op8_chat,
 }
 
 ORACLE = {
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op8_chat": chat.OP8_SQL,
 }
