@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat, decontaminate, quality
+from lakeshelf.llm import chat, decontaminate, licenses, lines, quality
 
 QUERIES = {
+    "op2_licenses": licenses.op2_licenses,
     "op4_quality": quality.op4_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_chat": chat.op8_chat,
+    "op10_lines": lines.op10_lines,
 }
 
 ORACLE = {
+    "op2_licenses": licenses.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op8_chat": chat.OP8_SQL,
+    "op10_lines": lines.OP10_SQL,
 }
