@@ -72,16 +72,17 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     t = stored(t.select("template_id", "sh", F.pow(2, F.ceil(F.log2(F.size("sh")) - 1e-9)).cast("int").alias("s")), "templates")
     known = stored(t.select(F.explode("sh").alias("x"), "s").distinct(), "template-shingles")
     small = fits(known, MAX_BROADCAST_SHINGLES)
-    hits = _hashed(docs, "doc_id").select("doc_id", F.posexplode("sh").alias("p", "x")).join(maybe_broadcast(known, small), "x")
+    hits = _hashed(docs, "doc_id").select("doc_id", F.posexplode_outer("sh").alias("p", "x")).join(maybe_broadcast(known, small), "x")
     k = F.floor(F.col("p") / F.col("s")).cast("int")
     spots = hits.select("doc_id", "s", F.explode(F.array(k, F.when(k > 0, k - 1))).alias("k")).filter("k is not null").distinct()
     spots = stored(spots.groupBy("doc_id").agg(F.collect_list(F.struct("s", "k")).alias("spots")).withColumnRenamed("doc_id", "at_id"), "spots")
 
     near = _hashed(docs.select("doc_id", "text").join(spots, F.col("doc_id").eqNullSafe(F.col("at_id"))), "doc_id", "spots")
-    # A spot that another row of the same doc_id gave may lie beyond this row's end.
-    near = near.select("doc_id", F.explode("spots").alias("z"), "sh").filter(F.col("z.s") * F.col("z.k") < F.size("sh"))
+    # The plain explode adds a test that the array is not empty, and Spark would compute the shingles anew for it in each place.
+    # A spot that another row of the same doc_id gave may lie beyond this row's end: its window is empty and shares no band.
+    near = near.select("doc_id", F.explode_outer("spots").alias("z"), "sh")
     near = near.select("doc_id", F.col("z.s").alias("s"), F.col("z.k").alias("k"), F.array_distinct(F.slice("sh", F.col("z.s") * F.col("z.k") + 1, 2 * F.col("z.s"))).alias("win"))
-    signed = near.select("*", F.posexplode(_bands(F.col("win"))).alias("b", "v"))
+    signed = near.select("*", F.posexplode_outer(_bands(F.col("win"))).alias("b", "v"))
     wanted = t.select("template_id", F.col("s").alias("ts"), F.col("sh").alias("tsh"), F.posexplode(_bands(F.col("sh"))).alias("tb", "tv"))
     pair = (F.col("s") == F.col("ts")) & (F.col("b") == F.col("tb")) & (F.col("v") == F.col("tv"))
     found = signed.join(maybe_broadcast(wanted, small), pair).select("doc_id", "template_id", "s", "k", F.size("tsh").alias("n_template"),

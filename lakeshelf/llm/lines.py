@@ -39,7 +39,7 @@ ANY = "<*>"
 def _lines(docs: DataFrame) -> DataFrame:
     """d, k (row number of the line), the masked words and the leaf of each line that can have a template."""
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", ANY)).otherwise(F.col("line"))
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("d"), F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("d"), F.posexplode_outer(F.split("text", "\n")).alias("k", "line"))
     rows = rows.select("d", "k", F.filter(F.split(masked, SPACE_CLASS + "+"), lambda w: w != "").alias("w"))
     rows = rows.filter(F.size("w") >= MIN_TOKENS)
     leaf = F.when(F.size("w") >= LEAF_TOKENS, F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)))
