@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat, decontaminate, licenses, lines, quality
+from lakeshelf.llm import chat, decontaminate, licenses, lines, pieces, quality, repair
 
 QUERIES = {
+    "op1_pieces": pieces.op1_pieces,
     "op2_licenses": licenses.op2_licenses,
     "op4_quality": quality.op4_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_repair": repair.op6_repair,
     "op8_chat": chat.op8_chat,
     "op10_lines": lines.op10_lines,
 }
