@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat, decontaminate, licenses, lines, pieces, quality, repair
+from lakeshelf.llm import chat, decontaminate, licenses, lines, pieces, quality, repair, substrings, suffixes
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
     "op2_licenses": licenses.op2_licenses,
+    "op3_substrings": substrings.op3_substrings,
     "op4_quality": quality.op4_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_repair": repair.op6_repair,
     "op8_chat": chat.op8_chat,
+    "op9_suffixes": suffixes.op9_suffixes,
     "op10_lines": lines.op10_lines,
 }
 
