@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat, decontaminate, licenses, lines, pieces, quality, repair, substrings, suffixes
+from lakeshelf.llm import chat, decontaminate, licenses, lines, neardup, pieces, quality, repair, substrings, suffixes
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_repair": repair.op6_repair,
+    "op7_neardup": neardup.op7_neardup,
     "op8_chat": chat.op8_chat,
     "op9_suffixes": suffixes.op9_suffixes,
     "op10_lines": lines.op10_lines,
