@@ -77,22 +77,18 @@ def reply_paths(messages: DataFrame, paths_per_conversation: int = 1) -> DataFra
     known = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("parent_id") == F.col("i"))
     at = stored(m.join(ids, known, "left").select(
         "conv_id", "msg_id", F.col("i").alias("anc"), F.col("i").isNotNull().cast("long").alias("depth"), "score"), "reply-0")
-    jumps = []
-    total = None
-    while True:
-        left = at.agg(F.count("anc"), F.count("msg_id")).first()
-        if total is None:
-            total = left[1]
-        if left[0] == 0 or 2 ** len(jumps) > 2 * max(1, total):
-            break
-        jumps.append(at.filter("anc is not null").select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), F.col("anc").alias("up")))
-        b = at.select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), F.col("anc").alias("b_anc"),
-                      F.col("depth").alias("b_depth"), F.col("score").alias("b_score"))
+    rooted, climbing, jumps, covered = at.filter("anc is null"), at.filter("anc is not null"), [], 0
+    while (left := climbing.count()) > 0 and 2 ** len(jumps) <= 2 * max(covered, left):  # no path is longer than all messages; cycles end here
+        covered = max(covered, left)
+        jumps.append(climbing.select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), F.col("anc").alias("up")))
+        b = rooted.unionByName(climbing).select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), F.col("anc").alias("b_anc"),
+                                               F.col("depth").alias("b_depth"), F.col("score").alias("b_score"))
         on = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("anc") == F.col("i"))
-        at = stored(at.join(b, on, "left").select(
-            "conv_id", "msg_id", F.col("b_anc").alias("anc"), (F.col("depth") + F.coalesce("b_depth", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("b_score", F.lit(0.0))).alias("score")), f"reply-{len(jumps)}")
-    rooted = at.filter("anc is null").select("conv_id", "msg_id", "depth", "score")
+        at = stored(climbing.join(b, on).select(
+            "conv_id", "msg_id", F.col("b_anc").alias("anc"), (F.col("depth") + F.col("b_depth")).alias("depth"),
+            (F.col("score") + F.col("b_score")).alias("score")), f"reply-{len(jumps)}")
+        rooted, climbing = rooted.unionByName(at.filter("anc is null")), at.filter("anc is not null")
+    rooted = rooted.select("conv_id", "msg_id", "depth", "score")
 
     parents = m.select(F.col("conv_id").alias("c"), F.col("parent_id").alias("i")).filter("i is not null").distinct()
     leaves = rooted.join(parents, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i")), "left_anti")
@@ -100,9 +96,10 @@ def reply_paths(messages: DataFrame, paths_per_conversation: int = 1) -> DataFra
     best = (leaves.withColumn("path_score", F.col("score") / (F.col("depth") + 1))
             .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= paths_per_conversation)
             .select("conv_id", F.col("msg_id").alias("path"), "msg_id", "path_score"))
-    for up in jumps:  # one reference to the rows so far, so the plan grows by one join a round
-        best = best.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i")), "left").select(
-            "conv_id", "path", F.explode(F.array_compact(F.array("msg_id", "up"))).alias("msg_id"), "path_score")
+    best = stored(best, "path-leaves")
+    for k, up in enumerate(jumps):  # each round adds the messages that it reaches
+        above = best.join(up, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i")))
+        best = best.unionByName(stored(above.select("conv_id", "path", F.col("up").alias("msg_id"), "path_score"), f"path-{k}"))
     depths = rooted.select(F.col("conv_id").alias("c"), F.col("msg_id").alias("i"), "depth")
     return best.join(depths, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("msg_id") == F.col("i"))).select(
         "conv_id", "path", "msg_id", "depth", "path_score")
