@@ -624,8 +624,7 @@ ORACLE["partition_overwrite"] = build(DAILY_SALES, ["s_pos"])
 ORACLE["run_log_latest"] = build("""
 SELECT 'pos-' || cast(load_day as varchar) AS run_id, 'silver_pos' AS pipeline_name, 'SUCCESS' AS status,
  cast(load_day as timestamp) + INTERVAL 1 HOUR AS recorded_at, rows_read, watermark
-FROM (SELECT cast(ingested_at as date) AS load_day, count(*) AS rows_read, max(ingested_at) AS watermark FROM fx_pos
- WHERE ingested_at >= TIMESTAMP '2001-01-01 00:00:00' GROUP BY 1 ORDER BY load_day DESC LIMIT 1)""", ["fx_pos"])
+FROM (SELECT cast(ingested_at as date) AS load_day, count(*) AS rows_read, max(ingested_at) AS watermark FROM fx_pos GROUP BY 1 ORDER BY load_day DESC LIMIT 1)""", ["fx_pos"])
 
 
 # --- Spark's rounding of DOUBLE -------------------------------------------------------------------------------

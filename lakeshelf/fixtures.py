@@ -19,7 +19,7 @@ BASE_TABLES = (
 FIXTURE_SQL: dict[str, str] = {
     "fx_pos": """
 SELECT concat(cast(l_orderkey as string),'-',cast(l_linenumber as string)) AS transaction_id,
- concat('S',cast(o_custkey % 5 as string)) AS store_id, concat('P',cast(l_partkey % 40 as string)) AS product_id,
+ concat('S',cast(o_custkey % 5 as string)) AS store_id, concat('P',cast(l_suppkey as string)) AS product_id,
  CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE concat('C',cast(o_custkey as string)) END AS customer_id,
  concat(cast(cast(l_shipdate as date) as string),'T00:00:00Z') AS ts_iso,
  cast(l_quantity as int) AS quantity, cast(500 + l_partkey % 500 as decimal(10,2)) AS unit_price,
@@ -30,13 +30,13 @@ SELECT concat(cast(l_orderkey as string),'-',cast(l_linenumber as string)) AS tr
  o_orderdate AS ingested_at
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "fx_warehouse": """
-SELECT concat('W',cast(l_suppkey % 4 as string)) AS warehouse_id, concat('P',cast(l_partkey % 40 as string)) AS product_id,
- cast(l_quantity as bigint) * 4 AS current_stock, CASE WHEN l_partkey % 40 = 7 THEN cast(l_quantity as bigint) * 4 ELSE cast(l_linenumber as bigint) * 20 END AS reserved_stock,
+SELECT concat('W',cast(l_partkey % 4 as string)) AS warehouse_id, concat('P',cast(l_suppkey as string)) AS product_id,
+ cast(l_quantity as bigint) * 4 AS current_stock, CASE WHEN l_suppkey % 40 = 7 THEN cast(l_quantity as bigint) * 4 ELSE cast(l_linenumber as bigint) * 20 END AS reserved_stock,
  cast(40 + l_partkey % 30 as bigint) AS reorder_level, cast(120 + l_suppkey % 80 as bigint) AS max_stock,
  concat(cast(cast(l_shipdate as date) as string),' 00:00:00') AS last_updated,
  concat('Z',l_returnflag) AS location_zone, l_orderkey AS seq, l_shipdate AS ingested_at FROM {lineitem}""",
     "fx_shelf": """
-SELECT concat('S',cast(o_custkey % 5 as string)) AS store_id, concat('P',cast(o_orderkey % 37 as string)) AS product_id,
+SELECT concat('S',cast(o_orderkey % 5 as string)) AS store_id, concat('P',cast(o_custkey as string)) AS product_id,
  cast(o_orderkey % 60 as int) AS current_quantity, cast(cast(o_orderdate as date) as string) AS last_restocked_date,
  concat('A',cast(o_orderkey % 9 as string)) AS shelf_location,
  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE cast(cast(o_orderdate as date) + 30 as string) END AS expiry_date,
@@ -49,7 +49,7 @@ SELECT concat('P',cast(p_partkey as string)) AS product_id, p_name AS product_na
  cast(CASE p_partkey % 3 WHEN 0 THEN p_retailprice WHEN 1 THEN p_retailprice / 4 ELSE p_retailprice / 12 END as decimal(10,2)) AS selling_price,
  cast(p_size as double) AS weight, CASE WHEN p_partkey % 11 = 0 THEN 'discontinued' ELSE 'active' END AS status,
  concat('{{"length":',cast(p_size as string),',"width":',cast(p_size % 7 as string),',"height":',cast(p_size % 5 as string),'}}') AS dimensions
- FROM {part} WHERE p_partkey < 40""",
+ FROM {part}""",
     "fx_store": """
 SELECT concat('S',cast(n_nationkey % 5 as string)) AS store_id, n_name AS store_name, r_name AS region,
  concat('City',cast(n_nationkey as string)) AS city,
@@ -68,7 +68,7 @@ SELECT concat('C',cast(c_custkey as string)) AS customer_id,
  concat('["',c_mktsegment,'","Books"]') AS preferred_categories FROM {customer}""",
     "fx_po": """
 SELECT concat('PO',cast(l_orderkey as string)) AS po_id, concat('V',cast(l_suppkey as string)) AS supplier_id,
- concat('P',cast(l_partkey % 40 as string)) AS product_id, cast(o_orderdate as date) AS order_date,
+ concat('P',cast(l_partkey as string)) AS product_id, cast(o_orderdate as date) AS order_date,
  cast(o_orderdate as date) + 7 AS expected_delivery_date,
  CASE WHEN o_orderstatus = 'O' THEN NULL ELSE cast(o_orderdate as date) + cast(4 + (l_partkey * 7 + l_suppkey * 3) % (3 + l_suppkey % 9) as int) END AS actual_delivery_date,
  cast(l_quantity as int) AS quantity_ordered, cast(100 + l_partkey % 500 as decimal(10,2)) AS unit_cost,

@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, gather
+from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, word_ids
 from lakeshelf.llm.common import read
 
 SPACE = "▁"
@@ -183,14 +183,11 @@ class PieceEncoder:
         if len(even):
             split = pc.split_pattern(texts.take(pa.array(even)), " ")
             words = split.flatten().dictionary_encode()
-            slots = self.words.slots(words.dictionary.to_numpy(zero_copy_only=False).tolist(), lambda new: [self.unit(" " + w) for w in new])
-            slots = slots[words.indices.to_numpy()]
-            starts = self.words.starts[slots]
-            lengths = self.words.starts[slots + 1] - starts
-            ids = gather(self.words.flat, starts, lengths)
-            ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(pc.list_value_length(split).to_numpy())]
-            for k, part in zip(even, np.split(ids, ends[:-1])):
-                out[k] = part
+            index = words.indices.to_numpy()
+            often = np.bincount(index, minlength=len(words.dictionary)) > 1
+            slots = self.words.slots(words.dictionary.to_numpy(zero_copy_only=False).tolist(), often, lambda new: [self.unit(" " + w) for w in new])[index]
+            for k, ids in zip(even, word_ids(self.words.starts, self.words.flat, slots, pc.list_value_length(split).to_numpy())):
+                out[k] = ids
         for k in np.flatnonzero(odd):
             text = texts[int(k)].as_py().replace(SPACE, " ")  # the model knows one kind of space
             ids = [i for u in _UNITS.findall(" " + text) for i in self.unit(u)] if text else []
@@ -210,7 +207,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encoded(docs: DataFrame, model: str | None = None, schema: str = "doc_id long, ids array<int>, decoded string", row=None) -> DataFrame:
     """doc_id, ids (with begin and end ids), decoded text; ``row`` may turn (ids array, decoded) into other columns."""
-    row = row or (lambda ids, decoded: (ids.tolist(), decoded))
+    row = row or (lambda ids, decoded: (ids.astype(np.int32), decoded))
     names = [f.split()[0] for f in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
