@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, word_ids
-from lakeshelf.llm.common import read
+from lakeshelf.llm.common import read, small_batches
 
 SPACE = "▁"
 MAX_WORDS, MAX_PARTS, MAX_PAIRS = 400_000, 400_000, 400_000
@@ -207,6 +207,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encoded(docs: DataFrame, model: str | None = None, schema: str = "doc_id long, ids array<int>, decoded string", row=None) -> DataFrame:
     """doc_id, ids (with begin and end ids), decoded text; ``row`` may turn (ids array, decoded) into other columns."""
+    small_batches(docs.sparkSession)
     row = row or (lambda ids, decoded: (ids.astype(np.int32), decoded))
     names = [f.split()[0] for f in schema.split(", ")]
 

@@ -18,9 +18,10 @@ The file format is Parquet, one row a block, so that any store and Spark's commi
 A document is read from its block alone: its symbols are a slice, and the lengths tell how
 many ids lie before any place without expanding it (``document_ids``).
 
-Rounds: a round counts all pairs, takes those of MIN_COUNT or more by falling count as long as
-no symbol is left of one pair and right of another, so that no two occurrences overlap, and
-replaces them all at once. It ends when no pair is frequent, after MAX_ROUNDS at most.
+Rounds: a round counts pairs (in a large block, of runs spread over it), takes those of MIN_COUNT or
+more by falling count as long as no symbol is left of one pair and right of another, so that no two
+occurrences overlap, and replaces all their occurrences at once. It ends when no pair is
+frequent, after MAX_ROUNDS at most. What is counted decides how short the files get, never what they expand to.
 
 Defined cases
   * null text: the empty text, END_ID alone.
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +43,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, gather
-from lakeshelf.llm.common import parallelism, read, stored
+from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, gather, word_ids
+from lakeshelf.llm.common import parallelism, read, small_batches, stored
 from lakeshelf.session import scratch_path
 
 END_ID = 2
 BASE = 51_000  # first nonterminal; all ids of the vocabulary are below
-BLOCK_IDS, MIN_COUNT, MAX_ROUNDS, ROUND_RULES = 1_000_000, 24, 6, 2000
-MAX_WORDS = 400_000
+BLOCK_IDS, MIN_COUNT, MAX_ROUNDS, ROUND_RULES = 1_000_000, 24, 5, 2000
+COUNTED = 1 << 17  # pairs that a round counts at most: runs of COUNT_RUN, evenly spread over the block
+COUNT_RUN = 1 << 11
+MAX_WORDS, MAX_PIECES, BATCH = 300_000, 500_000, 5_000
+TAIL = ".,;:!?$*&%#|"
+# Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_ALPHABET = dict(zip((b for b in range(256) if b not in _PRINTED), range(256, 512)))
 NO_ID = -(1 << 63)  # a null doc_id
 SCHEMA = "shard int, block int, n_ids long, doc_ids binary, doc_at binary, rules binary, lengths binary, symbols binary, wide boolean"
 
@@ -60,11 +68,12 @@ def default_vocabulary() -> str:
 
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which sees each distinct word once.
+    """Ids of texts by the tokenizers library, which sees each distinct piece of a word once.
 
     The vocabulary's own pre-tokenisation cuts before a space that stands between two
-    characters other than white space, so texts whose spaces all stand so are cut there, and
-    the words are encoded alone; other texts are encoded whole.
+    characters other than white space, around a line feed that stands so, and between a
+    letter and marks of TAIL that end a word. Texts whose spaces all stand so are cut in these places
+    and the pieces are encoded alone; other texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -72,10 +81,48 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        self.model = self.tok.model
         self.words = Remembered(MAX_WORDS)
+        self.pieces: dict[str, list[int]] = {}
+
+    def cut(self, words: list[str]) -> list[list[int]]:
+        """Ids of words, from those of their pieces."""
+        cuts = []
+        for w in words:
+            lines = w.split("\n") if "\n" in w else [w]
+            if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in [lines[0].removeprefix(" "), *lines[1:]]):
+                cuts.append([w])
+                continue
+            out = []
+            for x in lines:
+                if out:
+                    out.append("\n")
+                stem = x.rstrip(TAIL)
+                if len(stem) < len(x) and stem[-1:].isalpha():
+                    out += [stem, x[len(stem):]]
+                else:
+                    out.append(x)
+            cuts.append(out)
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces.clear()
+        new = {x for c in cuts for x in c if x not in self.pieces}
+        # Pieces that the pre-tokeniser leaves whole go to the library's model, in its byte alphabet; the others through all of it.
+        rest = []
+        for x in new:
+            if x.removeprefix(" ").isalpha() or x == "\n" or not x.strip(TAIL):
+                mapped = x.replace(" ", "\u0120") if x.isascii() and x != "\n" else x.encode().decode("latin-1").translate(BYTE_ALPHABET)
+                self.pieces[x] = [t.id for t in self.model.tokenize(mapped)]
+            else:
+                rest.append(x)
+        self.pieces.update(zip(rest, self.whole(rest)))
+        get = self.pieces.__getitem__
+        return [list(chain.from_iterable(map(get, c))) for c in cuts]
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(texts), BATCH):  # the library's results take far more room than the ids
+            out += [e.ids for e in self.tok.encode_batch(texts[i:i + BATCH], add_special_tokens=False)]
+        return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -83,7 +130,7 @@ class WordEncoder:
         out: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
         even = np.flatnonzero(~odd)
         if len(even):
-            # The first word of a text has no space before it; a mark that no text holds stands for the space of the others.
+            # The first word of a text has no space before it.
             split = pc.split_pattern(texts.take(pa.array(even)), " ")
             sizes = pc.list_value_length(split).to_numpy()
             words = split.flatten().dictionary_encode()
@@ -91,15 +138,12 @@ class WordEncoder:
             index = words.indices.to_numpy()
             first = np.cumsum(sizes) - sizes
             heads = np.unique(index[first])
-            slots = self.words.slots([" " + w for w in names] + [names[i] for i in heads], self.whole)
+            often = np.append(np.bincount(index, minlength=len(names)) > 1, np.zeros(len(heads), bool))
+            slots = self.words.slots([" " + w for w in names] + [names[i] for i in heads], often, self.cut)
             at = slots[index]
             at[first] = slots[len(names) + np.searchsorted(heads, index[first])]
-            starts = self.words.starts[at]
-            lengths = self.words.starts[at + 1] - starts
-            ids = gather(self.words.flat, starts, lengths)
-            ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(sizes)]
-            for k, part in zip(even, np.split(ids, ends[:-1])):
-                out[k] = part
+            for k, ids in zip(even, word_ids(self.words.starts, self.words.flat, at, sizes)):
+                out[k] = ids
         rest = np.flatnonzero(odd)
         for k, ids in zip(rest, self.whole([texts[int(k)].as_py() for k in rest])):
             out[k] = np.array(ids, np.uint32)
@@ -115,72 +159,80 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _counted(pairs: np.ndarray) -> tuple[np.ndarray, float]:
+    """The pairs to count, and how many of the block one of them stands for."""
+    if len(pairs) <= COUNTED:
+        return pairs, 1.0
+    runs = np.linspace(0, len(pairs) - COUNT_RUN, COUNTED // COUNT_RUN).astype(np.int64)
+    return pairs[(runs[:, None] + np.arange(COUNT_RUN)[None, :]).ravel()], len(pairs) / COUNTED
+
+
 def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, max_rounds: int = MAX_ROUNDS):
     """Re-Pair of a block: (symbols, starts in symbols, rules as an n x 2 array, lengths)."""
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     starts = starts.astype(np.int64)
     rules: list[np.ndarray] = []
     lengths = np.ones(BASE, np.int64)
     for _ in range(max_rounds):
         if len(seq) < 2:
             break
-        inside = np.ones(len(seq) - 1, bool)
-        inside[starts[(starts > 0) & (starts < len(seq))] - 1] = False
-        pairs = seq[:-1] << 32 | seq[1:]
-        found = np.sort(pairs[inside])
-        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]])) if len(found) else np.zeros(1, np.int64)
+        ends = starts[(starts > 0) & (starts < len(seq))] - 1  # last symbols of documents: no pair begins there
+        pairs = seq[:-1].astype(np.int64) << 32 | seq[1:]
+        pairs[ends] = -1
+        found, each = _counted(pairs)
+        found = np.sort(found[found >= 0])
+        if not len(found):
+            break
+        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]]))
         counts = np.diff(edge)
-        often = np.flatnonzero(counts >= min_count)
+        often = np.flatnonzero((counts * each >= min_count) & (counts > 1))
         if not len(often):
             break
         often = often[np.lexsort((found[edge[often]], -counts[often]))][:ROUND_RULES]
-        chosen, left, right = [], set(), set()
+        chosen, left, right = [], {}, {}
         for key in found[edge[often]].tolist():
             a, b = key >> 32, key & 0xFFFFFFFF
-            if a != b and a not in right and b not in left:
-                chosen.append(key)
-                left.add(a)
-                right.add(b)
-            elif a == b and a not in left and a not in right:
+            if (a not in right and b not in left) if a != b else (a not in left and a not in right):
                 chosen.append(key)
-                left.add(a)
-                right.add(a)
+                left.setdefault(a, len(left) + 1)
+                right.setdefault(b, len(right) + 1)
         first = len(lengths)
-        chosen = np.array(chosen, np.int64)
-        can = np.zeros((2, first), bool)
-        can[0, chosen >> 32] = True
-        can[1, chosen & 0xFFFFFFFF] = True
-        at = np.flatnonzero(can[0, seq[:-1]] & can[1, seq[1:]] & inside)
-        order = np.argsort(chosen)
-        place = np.searchsorted(chosen[order], pairs[at])
-        place[place == len(chosen)] = 0
-        hit = chosen[order][place] == pairs[at]
-        at, new = at[hit], first + order[place[hit]]
+        a, b = np.array(chosen, np.int64) >> 32, np.array(chosen, np.int64) & 0xFFFFFFFF
+        # Symbols to their place on either side (0: none), and two places to the new symbol.
+        on_left, on_right = np.zeros(first, np.int32), np.zeros(first, np.int32)
+        on_left[list(left)], on_right[list(right)] = list(left.values()), list(right.values())
+        new_of = np.zeros((len(left) + 1) * (len(right) + 1), np.int32)
+        new_of[on_left[a] * (len(right) + 1) + on_right[b]] = first + np.arange(len(chosen))
+        new = new_of[on_left[seq[:-1]] * np.int32(len(right) + 1) + on_right[seq[1:]]]
+        new[ends] = 0
+        at = np.flatnonzero(new)
         # Only a pair of equal ids can overlap itself: of a run of neighbours take each other one.
-        if len(at):
-            run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(at) > 1]), np.arange(len(at)), 0))
-            take = (np.arange(len(at)) - run) % 2 == 0
-            at, new = at[take], new[take]
-        seq[at] = new
+        run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(at) > 1]), np.arange(len(at)), 0)) if len(at) else at
+        at = at[(np.arange(len(at)) - run) % 2 == 0]
+        seq[at] = new[at]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        kept_before = np.concatenate([[0], np.cumsum(keep)])
-        starts = kept_before[starts]
+        starts = starts - np.searchsorted(at + 1, starts)
         seq = seq[keep]
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1))
-        lengths = np.concatenate([lengths, lengths[chosen >> 32] + lengths[chosen & 0xFFFFFFFF]])
+        rules.append(np.stack([a, b], 1))
+        lengths = np.concatenate([lengths, lengths[a] + lengths[b]])
     return seq, starts, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[BASE:]
 
 
 def _expansions(rules: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids and starts of what each symbol below BASE + len(rules) expands to."""
     starts = np.concatenate([np.arange(BASE), BASE + np.cumsum(lengths) - lengths]).astype(np.int64)
-    flat = np.concatenate([np.arange(BASE), np.zeros(int(lengths.sum()), np.int64)])
+    flat = np.concatenate([np.arange(BASE, dtype=np.uint32), np.zeros(int(lengths.sum()), np.uint32)])
     size = np.concatenate([np.ones(BASE, np.int64), lengths])
-    for i, (a, b) in enumerate(rules.tolist()):
-        s = starts[BASE + i]
-        flat[s:s + size[a]] = flat[starts[a]:starts[a] + size[a]]
-        flat[s + size[a]:s + size[a] + size[b]] = flat[starts[b]:starts[b] + size[b]]
+    done = 0
+    largest = rules.max(1) if len(rules) else np.zeros(0, np.int64)
+    while done < len(rules):  # a round's rules only name symbols of earlier rounds
+        late = np.flatnonzero(largest[done:] >= BASE + done)
+        to = done + int(late[0]) if len(late) else len(rules)
+        both = rules[done:to].ravel()
+        made = gather(flat, starts[both], size[both])
+        flat[starts[BASE + done]:starts[BASE + done] + len(made)] = made
+        done = to
     return flat, starts
 
 
@@ -190,7 +242,7 @@ class Block:
     def __init__(self, row: dict):
         self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
         self.at = np.frombuffer(row["doc_at"], np.uint32).astype(np.int64)
-        self.rules = np.frombuffer(row["rules"], np.uint32).reshape(-1, 2)
+        self.rules = np.frombuffer(row["rules"], np.uint32).reshape(-1, 2).astype(np.int64)
         self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
         self.symbols = np.frombuffer(row["symbols"], np.uint32 if row["wide"] else np.uint16).astype(np.int64)
 
@@ -204,7 +256,7 @@ class Block:
     def ids(self) -> np.ndarray:
         """All ids of the block."""
         flat, starts = _expansions(self.rules, self.lengths)
-        return gather(flat, starts[self.symbols], self._sizes(self.symbols)).astype(np.uint32)
+        return gather(flat, starts[self.symbols], self._sizes(self.symbols))
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the block's k-th document, by expanding its symbols alone."""
@@ -253,6 +305,7 @@ def _write_blocks(vocabulary: str | None, block_ids: int):
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, block_ids: int = BLOCK_IDS) -> None:
     """Write the ids of all documents to ``path`` in the format above."""
+    small_batches(docs.sparkSession)
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     d = d.repartitionByRange(parallelism(docs.sparkSession), F.col("doc_id").asc_nulls_first())
     d = d.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
@@ -261,7 +314,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, block_i
 
 def read_ids(spark: SparkSession, path: str, schema: str = "ids array<int>", row=None) -> DataFrame:
     """Each document of the files: doc_id, start, n_tokens and its ids, or what ``row`` makes of the id array."""
-    row = row or (lambda ids: (ids.tolist(),))
+    row = row or (lambda ids: (ids.astype(np.int32),))
     blocks = spark.read.schema(SCHEMA).parquet(path)
     # Ids before each block: sums within each shard, and over the shards (one small row each).
     within = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
