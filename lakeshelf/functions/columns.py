@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 ColLike = Column | str
 
-# Text used in place of NULL inside change-detection hashes, so that
-# (a, NULL, b) and (a, b, NULL) hash differently. U+0000 does not occur in
-# cleaned text fields.
-NULL_TOKEN = "\u0000"
-
 
 def _c(x: ColLike) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -65,9 +60,10 @@ def any_changed(pairs: Iterable[tuple[ColLike, ColLike]]) -> Column:
 
 
 def row_hash(cols: Sequence[ColLike]) -> Column:
-    """MD5 over the text of each column, NULL kept distinct from every value."""
-    parts = [F.coalesce(_c(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
+    """MD5 over the columns' texts, each with its length before it (``-`` for NULL), so
+    that no two different rows give the same text: ("a|b", "c") differs from ("a", "b|c")."""
+    texts = [_c(c).cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def surrogate_key(cols: Sequence[ColLike]) -> Column:

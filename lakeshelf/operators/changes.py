@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +56,12 @@ def _base(df: DataFrame) -> DataFrame:
     return df.drop(OP) if OP in df.columns else df
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of the keys with their renamed copies: a row with a NULL key meets
+    itself on a replay instead of being inserted once more."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -85,7 +93,7 @@ def upsert(
         cmp = list(compare or [])
         upd = list(update) if update is not None else list(cmp)
         always = False
-    s_ren = src.select(*keys, *[F.col(c).alias(_S + c) for c in scols if c not in keys], F.lit(True).alias("__hit"))
+    s_ren = src.select(*[F.col(c).alias(_S + c) for c in scols], F.lit(True).alias("__hit"))
 
     hit = F.col("__hit").isNotNull()
     if always:
@@ -99,7 +107,7 @@ def upsert(
         out = []
         for c in tcols:
             if c in keys:
-                out.append(F.col(c))
+                out.append(F.coalesce(F.col(c), F.col(_S + c)).alias(c))
                 continue
             s_val = F.col(_S + c) if c in scols else F.lit(None).cast(target.schema[c].dataType)
             if c in upd and c in scols:
@@ -117,9 +125,10 @@ def upsert(
 
     if _is_small(src, strategy, max_rows):
         # Target streams past the broadcast batch: no shuffle of the target.
-        annotated = target.join(F.broadcast(s_ren), keys, "left").select(*merged_cols(F.lit(False)))
-        matched_keys = target.select(*keys).join(F.broadcast(src.select(*keys)), keys, "left_semi")
-        inserts = src.join(matched_keys, keys, "left_anti")
+        annotated = target.join(F.broadcast(s_ren), _same(keys, _S), "left").select(*merged_cols(F.lit(False)))
+        s_keys = F.broadcast(s_ren.select(*[_S + k for k in keys]))
+        matched_keys = target.select(*keys).join(s_keys, _same(keys, _S), "left_semi").select(*[F.col(k).alias("__m_" + k) for k in keys])
+        inserts = src.join(matched_keys, _same(keys, "__m_"), "left_anti")
         ins = inserts.select(
             *[
                 (F.col(c) if c in scols else F.lit(None).cast(target.schema[c].dataType)).alias(c)
@@ -128,7 +137,7 @@ def upsert(
             F.lit("insert").alias(OP),
         )
         return annotated.unionByName(ins)
-    joined = target.withColumn("__t", F.lit(True)).join(s_ren, keys, "full_outer")
+    joined = target.withColumn("__t", F.lit(True)).join(s_ren, _same(keys, _S), "full_outer")
     return joined.select(*merged_cols(F.col("__t").isNull()))
 
 
@@ -147,8 +156,9 @@ def delete_missing(
     if OP not in state.columns:
         state = state.withColumn(OP, F.lit("keep"))
     strategy = strategy_for(batch, strategy, max_rows)
-    scope_vals = batch.select(scope).distinct().withColumn("__in", F.lit(True))
-    present = batch.select(*keys).distinct().withColumn("__present", F.lit(True))
+    scope_vals = batch.select(F.col(scope).alias("__c_" + scope)).distinct().withColumn("__in", F.lit(True))
+    present = batch.select(*[F.col(k).alias("__p_" + k) for k in keys]).distinct().withColumn("__present", F.lit(True))
+    in_scope, is_present = _same([scope], "__c_"), _same(keys, "__p_")
     cols = [c for c in state.columns if c != OP]
 
     def mark(df: DataFrame) -> DataFrame:
@@ -158,11 +168,11 @@ def delete_missing(
     if strategy == "broadcast":
         # Scope and keys are at most as many as the batch's rows: one pass over
         # the table through two broadcast joins, no shuffle.
-        return mark(state.join(F.broadcast(scope_vals), scope, "left").join(F.broadcast(present), keys, "left"))
+        return mark(state.join(F.broadcast(scope_vals), in_scope, "left").join(F.broadcast(present), is_present, "left"))
     # Large batch: only in-scope rows meet the shuffled key join.
-    flagged = state.join(scope_vals, scope, "left")
+    flagged = state.join(scope_vals, in_scope, "left")
     outside = flagged.filter(F.col("__in").isNull()).withColumn("__present", F.lit(None).cast("boolean"))
-    inside = flagged.filter(F.col("__in").isNotNull()).join(present, keys, "left")
+    inside = flagged.filter(F.col("__in").isNotNull()).join(present, is_present, "left")
     return mark(outside).unionByName(mark(inside))
 
 
@@ -286,7 +296,7 @@ def as_of(versions: DataFrame, ts) -> DataFrame:
 # --- metrics -------------------------------------------------------------------
 
 
-def change_metrics(state: DataFrame, ignored_extra: DataFrame | None = None) -> DataFrame:
+def change_metrics(state: DataFrame) -> DataFrame:
     """One row of operation counts, computed in a single aggregation pass."""
     op = F.col(OP)
     return state.agg(

@@ -16,19 +16,29 @@ The touched set holds partition values (dates): it is broadcast after a size che
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeshelf.operators.joins import fits, maybe_broadcast
 
 
+def _null_safe(df: DataFrame, other: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join in which NULL equals NULL: rows without a date are a partition too."""
+    other = other.select(*[F.col(c).alias(f"__o_{c}") for c in cols])
+    other = maybe_broadcast(other, fits(other))
+    return df.join(other, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in cols]), how)
+
+
 def touched_partitions(previous_rows: DataFrame, increment: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
     """Distinct partition values affected by ``increment``."""
     keys = list(keys)
     inc_keys = increment.select(*keys).distinct()
     # An increment is usually small: broadcast its keys (size-checked) so the
     # previous rows are only scanned, not shuffled.
-    moved_from = previous_rows.join(maybe_broadcast(inc_keys, fits(inc_keys)), keys, "left_semi").select(part_col)
+    moved_from = _null_safe(previous_rows, inc_keys, keys, "left_semi").select(part_col)
     return increment.select(part_col).union(moved_from).distinct()
 
 
@@ -42,7 +52,6 @@ def recompute_partitions(
     """The result after the increment: untouched partitions of ``previous_result``
     plus ``build`` over the current rows of the touched partitions."""
     t = touched.select(part_col).distinct()
-    t = maybe_broadcast(t, fits(t))
-    kept = previous_result.join(t, part_col, "left_anti")
-    redo = build(current_rows.join(t, part_col, "left_semi"))
+    kept = _null_safe(previous_result, t, [part_col], "left_anti")
+    redo = build(_null_safe(current_rows, t, [part_col], "left_semi"))
     return kept.unionByName(redo)

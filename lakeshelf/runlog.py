@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ RUNLOG_SCHEMA = T.StructType([
     T.StructField("recorded_at", T.TimestampType(), False),
     T.StructField("rows_read", T.LongType(), True),
     T.StructField("rows_written", T.LongType(), True),
-    T.StructField("watermark", T.TimestampType(), True),
+    T.StructField("watermark", T.LongType(), True),  # microseconds, see sources.files.high_water_mark
     T.StructField("error_message", T.StringType(), True),
     T.StructField("extra_metadata", T.MapType(T.StringType(), T.StringType()), True),
 ])
@@ -41,7 +41,7 @@ def start(spark: SparkSession, path: str, pipeline: str, target: str | None = No
     run_id = str(uuid.uuid4())
     _append(spark, path, {
         "run_id": run_id, "pipeline_name": pipeline, "target_table": target, "source_table": source,
-        "status": "RUNNING", "recorded_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+        "status": "RUNNING", "recorded_at": _dt.datetime.now(_dt.timezone.utc),
     })
     return run_id
 
@@ -54,14 +54,14 @@ def finish(
     status: str,
     rows_read: int | None = None,
     rows_written: int | None = None,
-    watermark=None,
+    watermark: int | None = None,
     error: str | None = None,
     extra: dict | None = None,
 ) -> None:
     """Append the closing record. Error text is a typed value, never spliced into SQL."""
     _append(spark, path, {
         "run_id": run_id, "pipeline_name": pipeline, "status": status,
-        "recorded_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+        "recorded_at": _dt.datetime.now(_dt.timezone.utc),
         "rows_read": rows_read, "rows_written": rows_written, "watermark": watermark,
         "error_message": error, "extra_metadata": {k: str(v) for k, v in (extra or {}).items()} or None,
     })
@@ -88,8 +88,3 @@ def watermark(spark: SparkSession, path: str, pipeline: str):
     row = last_success(log, pipeline).select("watermark").first()
     return row["watermark"] if row else None
 
-
-def runs_by_pipeline(log: DataFrame) -> DataFrame:
-    """Latest run state per pipeline, with its position among that pipeline's runs."""
-    w = Window.partitionBy("pipeline_name").orderBy(F.col("recorded_at").desc(), "run_id")
-    return run_states(log).withColumn("recency", F.row_number().over(w))

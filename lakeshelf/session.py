@@ -58,7 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     global _LOCAL_FALLBACK
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
@@ -80,8 +80,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable
-    ``checkpoint``, never ``localCheckpoint``) and continue from those files.
+    """Cut lineage: write ``df`` as Parquet to the shared checkpoint folder and
+    continue from those files, so later scans prune columns and push filters down.
     Used where a stored table sits between two stages of a flow."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

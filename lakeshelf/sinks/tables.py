@@ -1,31 +1,33 @@
 """Writing a computed table state back to a partitioned Parquet table.
 
-Only partitions touched by the change are rewritten. The new contents of those
-partitions are first materialised with a reliable ``checkpoint()`` in the
-shared ``spark.checkpoint.dir`` (never a machine-local folder): that cuts the
+Only partitions that a change touches are rewritten. Their new contents are first written as
+Parquet to the shared ``spark.checkpoint.dir`` (never a machine-local folder): that cuts the
 lineage to the table being overwritten, so the overwrite never reads what it
-is replacing, and a lost executor is recovered from the checkpoint files.
+is replacing, and a lost executor is recovered from those files.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.operators.changes import OP, live
-from lakeshelf.operators.joins import max_broadcast_rows, maybe_broadcast
-from lakeshelf.session import checkpoint_dir
+from lakeshelf.session import scratch_path
 from lakeshelf.sinks.writers import append, overwrite, overwrite_partitions
 
-CHANGED = ("insert", "update", "delete", "close")
-
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "__old")
+    if not fs.exists(p) and fs.exists(old):  # a swap broke off between its two renames
+        fs.rename(old, p)
     return fs.exists(p)
 
 
@@ -38,51 +40,81 @@ def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return like.limit(0)
 
 
-def _drop_partitions(spark: SparkSession, path: str, values: list[dict]) -> None:
-    """Remove partition folders that the change emptied (a dynamic overwrite
-    only replaces partitions that still have rows)."""
+def _drop_partition(spark: SparkSession, path: str, values: dict) -> None:
+    """Remove the folder of a partition that a change emptied (a dynamic overwrite
+    only replaces partitions that still have rows). Spark's own naming of partition folders is used."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for v in values:
-        sub = "/".join(f"{k}={val}" for k, val in v.items())
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    p = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[name(k, None if v is None else str(v)) for k, v in values.items()]]))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
-def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict:
-    """Persist an operator's next state (with ``_op``) to ``path``.
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` beside the table, then swap the folders. Readers see the old or the
+    new table; a crash between the two renames leaves the old copy, which ``table_exists`` puts back."""
+    jvm = spark.sparkContext._jvm
+    here = path.rstrip("/")
+    new, old = f"{here}__next_{uuid.uuid4().hex[:8]}", f"{here}__old"
+    overwrite(df, new, partition_by)
+    P = jvm.org.apache.hadoop.fs.Path
+    fs = P(here).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if table_exists(spark, path):
+        fs.delete(P(old), True)
+        fs.rename(P(here), P(old))
+    fs.rename(P(new), P(here))
+    fs.delete(P(old), True)
 
-    Partitioned tables: rewrite the touched partitions only. Unpartitioned
-    tables: a full overwrite of the checkpointed state. Returns the change
-    counts (one aggregation over the checkpointed rows).
+
+def _digest(df: DataFrame, parts: Sequence[str], prefix: str, *more: str) -> DataFrame:
+    """Rows and an order-free hash of each partition (and ``more``)."""
+    rest = sorted(c for c in df.columns if c not in (*parts, OP))
+    h = F.xxhash64(*rest) if rest else F.lit(0)
+    return df.groupBy(*parts, *more).agg(F.count("*").alias(prefix + "n"), F.sum(h.cast("decimal(38,0)")).alias(prefix + "h"))
+
+
+def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict:
+    """Persist an operator's next state (with ``_op``) to ``path``; returns the change counts.
+
+    Partitioned tables: only partitions whose rows differ from the stored ones are rewritten. They are found by
+    comparing row counts and hashes by partition (NULL included), so a row that moved
+    leaves its old partition too. One pass over the state gives digests and counts; a second one
+    writes the differing partitions to the shared checkpoint folder first, so the
+    overwrite never reads what it replaces. Partition values are not collected; only the
+    folders of emptied partitions are named on the driver, one after the other.
+    Unpartitioned tables: written beside the table and swapped in.
     """
-    checkpoint_dir(spark)
     parts = list(partition_by)
-    if parts:
-        touched = state.filter(F.col(OP).isin(*CHANGED)).select(*parts).distinct()
-        # Partition values (dates) are metadata with a calendar-sized bound.
-        touched_vals = [r.asDict() for r in touched.collect()]
-        rows = state.join(maybe_broadcast(touched, len(touched_vals) <= max_broadcast_rows(spark)), parts,
-                          "left_semi").checkpoint(eager=True)
-        new_rows = live(rows)
-        present = {tuple(r) for r in new_rows.select(*parts).distinct().collect()}
-        emptied = [v for v in touched_vals if tuple(v[p] for p in parts) not in present]
-        if table_exists(spark, path):
-            overwrite_partitions(new_rows, path, parts)
-            _drop_partitions(spark, path, emptied)
-        else:
-            overwrite(new_rows, path, parts)
-    else:
-        rows = state.checkpoint(eager=True)
-        overwrite(live(rows), path)
-    counts = rows.groupBy(OP).count().collect()
-    return {r[OP]: r["count"] for r in counts}
-
-
-def append_inserts(state: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Insert-only changes are appends: write just the inserted rows."""
-    ins = state.filter(F.col(OP) == "insert").drop(OP)
-    append(ins, path, partition_by)
-    return ins.count()
+    if not parts:
+        rows = _scratch(state, "state")
+        replace_table(spark, live(rows), path)
+        return {r[OP]: r["count"] for r in rows.groupBy(OP).count().collect()}
+    digests = _scratch(_digest(state, parts, "new_", OP), "digests")
+    counts = {r[OP]: r["n"] for r in digests.groupBy(OP).agg(F.sum("new_n").alias("n")).collect()}
+    if not table_exists(spark, path):
+        replace_table(spark, live(state), path, parts)
+        return counts
+    new = digests.filter(F.col(OP) != "delete").groupBy(*parts).agg(F.sum("new_n").alias("new_n"), F.sum("new_h").alias("new_h"))
+    old = _digest(read_or_empty(spark, path, live(state)), parts, "old_").toDF(*[f"__o_{p}" for p in parts], "old_n", "old_h")
+    same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"__o_{p}")) for p in parts])
+    differ = new.join(old, same, "full_outer").filter(~(F.col("new_n").eqNullSafe(F.col("old_n")) & F.col("new_h").eqNullSafe(F.col("old_h"))))
+    differ = _scratch(differ.select(*[F.when(F.col("new_n").isNull(), F.col(f"__o_{p}")).otherwise(F.col(p)).alias(f"__d_{p}") for p in parts],
+                                    F.col("new_n").isNull().alias("__empty")), "partitions")
+    touched = reduce(and_, [F.col(p).eqNullSafe(F.col(f"__d_{p}")) for p in parts])
+    overwrite_partitions(_scratch(live(state).join(differ, touched, "left_semi"), "rows"), path, parts)
+    for r in differ.filter("__empty").toLocalIterator():
+        _drop_partition(spark, path, {p: r[f"__d_{p}"] for p in parts})
+    return counts
+
+
+def _scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def append_inserts(state: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Insert-only changes are appends: write just the inserted rows (one run of the merge)."""
+    append(state.filter(F.col(OP) == "insert").drop(OP), path, partition_by)

@@ -5,11 +5,15 @@ checkpoint locations, schema never evolved silently)."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshelf.operators.joins import fits, maybe_broadcast
+from lakeshelf.session import scratch_path
 
 
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -67,6 +71,27 @@ def append_stream(
     return w.start(path)
 
 
+def append_feed(
+    df: DataFrame,
+    path: str,
+    feed: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    available_now: bool = True,
+) -> StreamingQuery:
+    """A10 + B1 for a table that several streams share.
+
+    Spark's file sink keeps one log of batches in the folder, so a second query that writes there
+    counts its first batches as done and loses them. Here each micro-batch replaces a folder of
+    its own, ``_feed=<feed>/_batch=<n>``: a replay writes the same rows once, feeds never
+    meet, and a reader of ``path`` sees all of them, with ``_feed`` and ``_batch`` as columns.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        overwrite(batch, f"{path.rstrip('/')}/_feed={feed}/_batch={batch_id}", partition_by)
+
+    return foreach_batch(df, write, checkpoint, available_now)
+
+
 def foreach_batch(
     df: DataFrame,
     fn: Callable[[DataFrame, int], None],
@@ -124,32 +149,34 @@ def compact(
     out_path: str | None = None,
 ) -> dict:
     """Rewrite partitions as few files, rows range-clustered on ``cluster_by``
-    (Parquet min/max statistics then skip files on those columns).
+    (Parquet min/max statistics then skip files on those columns). A hash of the row comes last in
+    the range key, so equal cluster values (a column of four tiers, one date) still split into several files.
 
-    The rewrite reads the chosen partitions (all, or those listed in
-    ``partitions``) and writes them to ``out_path`` (default: a sibling folder),
-    which a reader then switches to; rewriting a folder while reading it is not
-    safe for Parquet. Returns ``{"path", "files_removed", "files_added"}``.
+    All partitions: written to ``out_path`` (default: a sibling folder), which a
+    reader then switches to. With ``partitions``, the new files of those are first written
+    to the shared checkpoint folder and then replace the old ones in the table itself (dynamic
+    partition overwrite), so the table stays complete. Returns ``{"path", "files_removed", "files_added"}``.
     """
     df = spark.read.parquet(path)
     if partitions is not None:
-        chosen = partitions.select(*partition_by).distinct()
-        df = df.join(maybe_broadcast(chosen, fits(chosen)), list(partition_by), "left_semi")
-    files_before = len(df.inputFiles())
-    n_rows = df.count()
-    n_files = max(1, -(-n_rows // max(1, target_rows_per_file)))
-    order = [*partition_by, *(cluster_by or [])]
-    laid_out = df.repartitionByRange(n_files, *order).sortWithinPartitions(*order) if order else df.repartition(n_files)
-    dest = out_path or path.rstrip("/") + "__compacted"
+        chosen = partitions.select(*[F.col(c).alias(f"__c_{c}") for c in partition_by]).distinct()
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in partition_by])
+        df = df.join(maybe_broadcast(chosen, fits(chosen)), same, "left_semi")
+    files = F.count_distinct(F.col("_metadata.file_path")).alias("f")
+    before = df.agg(files, F.count("*").alias("n")).first()
+    n_files = max(1, -(-before["n"] // max(1, target_rows_per_file)))
+    order = [F.col(c) for c in (*partition_by, *(cluster_by or []))]
+    spread = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+    laid_out = df.repartitionByRange(n_files, *order, spread).sortWithinPartitions(*order) if order else df.repartition(n_files)
+    dest = path if partitions is not None else out_path or path.rstrip("/") + "__compacted"
+    first = scratch_path(spark, "compacted") if partitions is not None else dest
+    w = laid_out.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(first)
     if partitions is not None:
-        overwrite_partitions(laid_out, dest, partition_by)
-    else:
-        w = laid_out.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(dest)
-    files_after = len(spark.read.parquet(dest).inputFiles())
-    return {"path": dest, "files_removed": files_before, "files_added": files_after}
+        again = spark.read.schema(df.schema).parquet(first).repartitionByRange(n_files, *order, spread).sortWithinPartitions(*order)
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    added = spark.read.schema(df.schema).parquet(first).agg(files).first()["f"]
+    return {"path": dest, "files_removed": before["f"], "files_added": added}
 
 
 def maintain(spark: SparkSession, tables: dict[str, tuple[str, Sequence[str]]], target_rows_per_file: int) -> dict:

@@ -45,18 +45,36 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.readStream.schema(schema).parquet(path)
 
 
-def read_since(df: DataFrame, ts_col: str, mark) -> DataFrame:
-    """Rows loaded after the high-water mark; everything when ``mark`` is None."""
+def _is_wall_clock(df: DataFrame, ts_col: str) -> bool:
+    return isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
+
+
+def read_since(df: DataFrame, ts_col: str, mark: int | None) -> DataFrame:
+    """Rows loaded after the high-water mark; everything when ``mark`` is None.
+
+    ``mark`` is what ``high_water_mark`` gave: microseconds since 1970-01-01 (of the instant, or of
+    the wall clock for a TIMESTAMP_NTZ column). It becomes a literal of the column's type without
+    passing the driver's or the session's time zone, and is pushed to the scan.
+    """
     if mark is None:
         return df
-    return df.filter(F.col(ts_col) > F.lit(mark))
+    if _is_wall_clock(df, ts_col):
+        at = F.timestamp_add("MICROSECOND", F.lit(mark), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    else:
+        at = F.timestamp_micros(F.lit(mark))
+    return df.filter(F.col(ts_col) > at)
 
 
-def high_water_mark(df: DataFrame, ts_col: str):
-    """The largest load time actually read (a single aggregated value), to be
-    stored as the next run's mark. Using the data's own maximum, not the run's
+def high_water_mark(df: DataFrame, ts_col: str) -> int | None:
+    """The largest load time actually read, in microseconds since 1970-01-01 (a
+    single aggregated value), to be stored as the next run's mark. Using the data's own maximum, not the run's
     clock, means rows that land while a run is in flight are not skipped."""
-    return df.agg(F.max(ts_col).alias("m")).first()["m"]
+    m = F.max(ts_col)
+    if _is_wall_clock(df, ts_col):
+        m = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), m)
+    else:
+        m = F.unix_micros(m)
+    return df.agg(m.alias("m")).first()["m"]
 
 
 def with_lineage(df: DataFrame, run_id: str, date_column: bool = True) -> DataFrame:

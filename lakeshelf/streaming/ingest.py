@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeshelf.plans import silver
 from lakeshelf.sinks.tables import append_inserts, read_or_empty, write_state
-from lakeshelf.sinks.writers import append_stream, foreach_batch
+from lakeshelf.sinks.writers import append_feed, append_stream, foreach_batch
 from lakeshelf.sources.files import ingest_stream, stream_table, with_lineage, with_source
 from lakeshelf.sources.messages import decode_messages
 
@@ -42,11 +42,15 @@ def bronze_files(
     partition_by: Sequence[str] = ("ingested_date",),
     tag: str | None = None,
     available_now: bool = True,
+    feed: str | None = None,
 ) -> StreamingQuery:
-    """Append every new landing file once to the bronze table."""
+    """Append every new landing file once to the bronze table. Name the ``feed`` where
+    several streams share the table (see ``append_feed``)."""
     rows = with_lineage(ingest_stream(spark, landing, fmt, schema), run_id, date_column="ingested_date" in partition_by)
     if tag:
         rows = with_source(rows, tag)
+    if feed:
+        return append_feed(rows, table, feed, checkpoint, partition_by, available_now)
     return append_stream(rows, table, checkpoint, partition_by, available_now)
 
 
