@@ -362,6 +362,12 @@ PROD_TRACKED = ["product_name", "category", "subcategory", "brand", "supplier_id
                 "weight", "length", "width", "height", "status"]
 
 
+def _hash_sql(cols: list[str]) -> str:
+    """md5 of the tracked texts, each with its length before it and ``-`` for NULL."""
+    one = "coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    return "md5(" + " || ".join(one.format(c=c) for c in cols) + ") AS scd_hash"
+
+
 def _scd2_sql(s1: str, s2: str, key: str, biz: list[str], tracked: list[str]) -> str:
     """Versions after two loads at 2024-01-01 and 2024-02-01: load 1 opens every key;
     load 2 closes and reopens keys whose tracked values differ (NULL-safe) and opens new keys."""
@@ -409,7 +415,8 @@ STORE_EXTRA = [("st1", STORE_SNAP.format(src="fx_store")), ("st2", STORE_SNAP.fo
 STORE_BIZ = ["store_id", "store_name", "region", "city", "store_type", "opening_date", "source_system"]
 STORE_SCD = _scd2_sql("st1", "st2", "store_id", STORE_BIZ, ["store_name", "region", "city", "store_type",
                                                             "opening_date"])
-ORACLE["scd2_store"] = build(STORE_SCD, ["fx_store", "fx_store_t2"], STORE_EXTRA)
+ORACLE["scd2_store"] = build(f"SELECT *, {_hash_sql(['store_name', 'region', 'city', 'store_type', 'opening_date'])} FROM ({STORE_SCD})",
+                             ["fx_store", "fx_store_t2"], STORE_EXTRA)
 ORACLE["dim_store"] = build("""
 SELECT store_id, store_name, region, city, store_type,
  CASE WHEN store_type = 'Warehouse' THEN 'Large' WHEN store_type = 'Superstore' THEN 'Medium' ELSE 'Small' END
@@ -423,7 +430,8 @@ SUP_EXTRA = [("su1", SUP_SNAP.format(src="fx_supplier")), ("su2", SUP_SNAP.forma
 SUP_BIZ = ["supplier_id", "supplier_name", "category", "performance_rating", "on_time_delivery_pct", "source_system"]
 SUP_SCD = _scd2_sql("su1", "su2", "supplier_id", SUP_BIZ, ["supplier_name", "category", "performance_rating",
                                                            "on_time_delivery_pct"])
-ORACLE["scd2_supplier"] = build(SUP_SCD, ["fx_supplier", "fx_supplier_t2"], SUP_EXTRA)
+ORACLE["scd2_supplier"] = build(f"SELECT *, {_hash_sql(['supplier_name', 'category', 'performance_rating', 'on_time_delivery_pct'])} FROM ({SUP_SCD})",
+                                ["fx_supplier", "fx_supplier_t2"], SUP_EXTRA)
 ORACLE["dim_supplier"] = build("""
 SELECT supplier_id, supplier_name, category, performance_rating, on_time_delivery_pct,
  CASE WHEN on_time_delivery_pct >= 90 THEN 'Low' WHEN on_time_delivery_pct >= 80 THEN 'Medium' ELSE 'High' END
@@ -627,6 +635,24 @@ SELECT 'pos-' || cast(load_day as varchar) AS run_id, 'silver_pos' AS pipeline_n
 FROM (SELECT cast(ingested_at as date) AS load_day, count(*) AS rows_read, max(ingested_at) AS watermark FROM fx_pos GROUP BY 1 ORDER BY load_day DESC LIMIT 1)""", ["fx_pos"])
 
 
+# Streams and tables that are written and read back: the rows themselves.
+ORACLE["two_feeds"] = build("""
+SELECT transaction_id, store_id, product_id, customer_id, ts_iso AS "timestamp", quantity, payment_method, channel, _source FROM fx_pos""", ["fx_pos"])
+ORACLE["parquet_lineage"] = build("""
+SELECT _source, 'run-0' AS pipeline_run_id, count(*) AS n, count(*) AS with_file, count(*) AS with_date FROM fx_pos GROUP BY _source""", ["fx_pos"])
+ORACLE["table_stream_upsert"] = build("""
+SELECT transaction_date, count(*) AS n, count(*) AS n_keys FROM (
+ SELECT transaction_id, strftime(strptime(ts_iso, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d') AS transaction_date, row_number() OVER (
+  PARTITION BY transaction_id ORDER BY product_id NULLS LAST, quantity NULLS LAST, channel NULLS LAST, payment_method NULLS LAST,
+  store_id NULLS LAST, customer_id NULLS LAST, ts_iso NULLS LAST) AS rn
+ FROM fx_pos WHERE _source = 'pos_realtime_stream') WHERE rn = 1 GROUP BY transaction_date""", ["fx_pos"])
+ORACLE["write_state_partitions"] = """
+WITH t AS (SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 't:' || (c_custkey % 5) END AS tier FROM customer WHERE c_custkey % 4 <> 0),
+s AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, CASE WHEN c_nationkey % 7 = 0 THEN NULL ELSE 't:' || (c_nationkey % 5) END AS tier FROM customer WHERE c_custkey % 3 = 0)
+SELECT * FROM s UNION ALL SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM s)"""
+ORACLE["compact_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 'p' || (o_orderkey % 3) AS part FROM orders"
+
+
 # --- Spark's rounding of DOUBLE -------------------------------------------------------------------------------
 # Spark rounds a double half-up on its shortest decimal text (1.005 -> 1.01);
 # DuckDB's round() scales the binary value (1.005 -> 1.0). The oracle applies
