@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.arrays import chunks, gather, text_bytes
-from lakeshelf.llm.common import parallelism, stored
+from lakeshelf.llm.common import parallelism, small_batches, stored
 
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
 NO_ID = (1 << 63) - 1  # a null doc_id
-FLUSH = 3_000_000  # anchors that a task holds before it sends them on
+FLUSH = 1_000_000  # anchors that a task holds before it sends them on
 FOUND = "part int, kind int, blob binary"
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
@@ -350,7 +350,7 @@ def _windows(make: Callable, n: int, k: int, parts: int):
 
         size = 0
         for found, whole in _meet(batches, (OPEN,)):
-            for batch in chunks(iter([whole])):
+            for batch in chunks([whole]):
                 row, _, _, _ = _of_rows(found[OPEN], batch)
                 if not len(row):
                     continue
@@ -388,7 +388,7 @@ def _decide(parts: int):
 def _removed(make: Callable, n: int, k: int, unit: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, whole in _meet(batches, (RESOLVED, REPEATED)):
-            for batch in chunks(iter([whole])):
+            for batch in chunks([whole]):
                 seq = make(batch)
                 total = int(seq.at[-1])
                 marks = np.zeros(total + 1, np.int64)
@@ -418,6 +418,7 @@ def without_repeats(docs: DataFrame, make: Callable, unit: str, n: int, k: int,
     ``splitters`` gives the borders of gram ranges, one fewer than partitions; without it grams
     are dealt by equal ranges, which suits hashes.
     """
+    small_batches(docs.sparkSession)
     parts = parallelism(docs.sparkSession)
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     edges = splitters(d, parts) if splitters else None
