@@ -653,6 +653,19 @@ SELECT * FROM s UNION ALL SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custk
 ORACLE["compact_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 'p' || (o_orderkey % 3) AS part FROM orders"
 
 
+def _all_rules_sql() -> str:
+    from lakeshelf.operators.quality import RULES
+
+    masters = build(" UNION ALL ".join([_rules("c_prod", RULES["products"]), _rules("st1", RULES["stores"])]), ["c_prod", "fx_store"], STORE_EXTRA[:1])
+    gold = [_rules(f"({ORACLE[n]})", RULES[n]) for n in (
+        "dim_product", "dim_store", "dim_supplier", "dim_customer", "fact_inventory_full", "fact_inventory_kpis", "fact_demand_trends",
+        "fact_customer_sales", "fact_supplier_performance")]
+    return " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (ORACLE["quality_rules"], masters, *gold))
+
+
+ORACLE["quality_rules"] = _all_rules_sql()
+
+
 # --- Spark's rounding of DOUBLE -------------------------------------------------------------------------------
 # Spark rounds a double half-up on its shortest decimal text (1.005 -> 1.01);
 # DuckDB's round() scales the binary value (1.005 -> 1.0). The oracle applies

@@ -5,6 +5,7 @@ operators. ``oracle.py`` holds the DuckDB text for the same results."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -355,19 +356,21 @@ def q_merge_store_inventory(spark, d):
 
 
 def q_quality_rules(spark, d):
-    pos = pos_silver(spark, d).withColumn("_source", F.col("source_system"))
-    parts = [
-        quality.rule_failures(pos, quality.RULES["pos"]),
-        quality.rule_failures(warehouse_silver(spark, d), quality.RULES["warehouse"]),
-        quality.rule_failures(shelf_silver(spark, d), quality.RULES["store_inventory"]),
-        quality.rule_failures(po_silver(spark, d), quality.RULES["purchase_orders"]),
-        quality.rule_failures(silver.clean_suppliers(fixture(spark, d, "fx_supplier")), quality.RULES["suppliers"]),
-        quality.rule_failures(customers_silver(spark, d), quality.RULES["customers"]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All 28 rules of the catalogue, each table in one pass."""
+    tables = {
+        "pos": pos_silver(spark, d).withColumn("_source", F.col("source_system")),
+        "warehouse": warehouse_silver(spark, d),
+        "store_inventory": shelf_silver(spark, d),
+        "purchase_orders": po_silver(spark, d),
+        "suppliers": silver.clean_suppliers(fixture(spark, d, "fx_supplier")),
+        "customers": customers_silver(spark, d),
+        "products": silver.clean_products(fixture(spark, d, "fx_product")),
+        "stores": _store_snapshot(spark, d, "fx_store"),
+        **{name: QUERIES[name](spark, d) for name in (
+            "dim_product", "dim_store", "dim_supplier", "dim_customer", "fact_inventory_full", "fact_inventory_kpis",
+            "fact_demand_trends", "fact_customer_sales", "fact_supplier_performance")},
+    }
+    return reduce(DataFrame.unionByName, [quality.rule_failures(tables[name], rules) for name, rules in quality.RULES.items()])
 
 
 # customers

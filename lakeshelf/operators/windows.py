@@ -76,16 +76,24 @@ def rolling(
     return df.withColumns(cols)
 
 
-def densify_days(df: DataFrame, keys: Sequence[str], date_col: str, fill: dict[str, object]) -> DataFrame:
+# A calendar of about 60 years: a series that spans more has a wrong date in it.
+MAX_SERIES_DAYS = 22_000
+
+
+def densify_days(df: DataFrame, keys: Sequence[str], date_col: str, fill: dict[str, object], max_days: int = MAX_SERIES_DAYS) -> DataFrame:
     """Give every series one row per day between its first and last observed day.
 
     Missing days get ``fill`` values (e.g. units_sold = 0). The day list of a
     series is generated from its own bounds (one ``sequence`` per series, at most
     one row per calendar day), then outer-joined to the observations on
-    (keys, day).
+    (keys, day). A series of more than ``max_days`` days fails the job with its bounds in the
+    message: one date of the year 9999 would otherwise give millions of rows. Rows without a date are left out.
     """
     keys = list(keys)
     bounds = df.groupBy(*keys).agg(F.min(date_col).alias("__lo"), F.max(date_col).alias("__hi"))
-    days = bounds.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("interval 1 day"))).alias(date_col))
+    wide = F.datediff("__hi", "__lo") >= max_days
+    said = F.concat(F.lit(f"densify_days: {date_col} from "), F.col("__lo").cast("string"), F.lit(" to "), F.col("__hi").cast("string"))
+    hi = F.when(wide, F.raise_error(said).cast("date")).otherwise(F.col("__hi"))
+    days = bounds.select(*keys, F.explode(F.sequence("__lo", hi, F.expr("interval 1 day"))).alias(date_col))
     out = days.join(df, [*keys, date_col], "left")
     return out.fillna({k: v for k, v in fill.items()})

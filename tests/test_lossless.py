@@ -122,3 +122,12 @@ def test_row_hash_tells_rows_apart(spark):
     rows = [("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), ("1:a", "-"), ("-", "1:a"), (None, None)]
     df = spark.createDataFrame(rows, "x string, y string")
     assert df.select(row_hash(["x", "y"]).alias("h")).distinct().count() == len(rows)
+
+
+def test_densify_refuses_absurd_dates(spark):
+    from lakeshelf.operators.windows import densify_days
+
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1), 2), (1, dt.date(9999, 12, 31), 2)], "k int, d date, q int")
+    with pytest.raises(Exception, match="9999-12-31"):
+        densify_days(df, ["k"], "d", {"q": 0}).collect()
+    assert densify_days(df.filter("d < DATE'2025-01-01'"), ["k"], "d", {"q": 0}).count() == 1
