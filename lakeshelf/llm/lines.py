@@ -26,50 +26,78 @@ adaptive execution splits a template of very many lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import SPACE_CLASS, read, stored
+from lakeshelf.operators.joins import maybe_broadcast
 
 MIN_TOKENS, DEPTH, LEAF_TOKENS = 4, 3, 6
 MIN_DOCS, SHARE, SIMILAR = 3, 0.5, 0.7
 ANY = "<*>"
+# Line numbers of documents are broadcast up to so many (40 bytes each at most), else joined by shuffle.
+MAX_BROADCAST_LINES = 1_000_000
+
+
+def _masked_words(line: Column) -> Column:
+    """Words of a line, those with a digit as ``<*>``; lines without digits and odd spaces are split the cheap way."""
+    masked = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", ANY)
+    return F.array_remove(F.when(line.rlike(r"[0-9\t\x0B-\r]"), F.split(masked, SPACE_CLASS + "+")).otherwise(F.split(line, " ")), "")
+
+
+def _exact(w: Column) -> Column:
+    return F.xxhash64(F.lit("line"), w)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """d, k (row number of the line), the masked words and the leaf of each line that can have a template."""
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", ANY)).otherwise(F.col("line"))
+    """d, k (number of the line), words, exact (the line's own template), leaf, of each line that can have a template."""
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("d"), F.posexplode_outer(F.split("text", "\n")).alias("k", "line"))
-    rows = rows.select("d", "k", F.filter(F.split(masked, SPACE_CLASS + "+"), lambda w: w != "").alias("w"))
-    rows = rows.filter(F.size("w") >= MIN_TOKENS)
+    rows = rows.select("d", "k", _masked_words(F.col("line")).alias("w"))
     leaf = F.when(F.size("w") >= LEAF_TOKENS, F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)))
-    return rows.select("d", "k", "w", leaf.alias("leaf"), F.xxhash64(F.lit("line"), F.col("w")).alias("exact"))
-
-
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, line (number from 0), words: the lines whose template recurs, but for those of its first document."""
-    lines = _lines(docs)
-    # Leaves in which no template can recur are left out before words are compared.
-    leaves = (lines.filter("leaf is not null").groupBy("leaf").agg(F.count("*").alias("n"), F.min("d").alias("a"), F.max("d").alias("b"))
-              .filter((F.col("n") >= min_docs) & (F.col("a") != F.col("b"))).select(F.col("leaf").alias("g"), "n"))
-    leaves = stored(leaves, "leaves")
-    inner = stored(lines.join(leaves, F.col("leaf") == F.col("g")).select("d", "k", "w", "g", "n"), "leaf-lines")
-    at = inner.select("g", "n", F.posexplode("w").alias("p", "t")).filter(F.col("p") >= DEPTH)
-    kept = at.groupBy("g", "p", "t").agg(F.count("*").alias("c"), F.first("n").alias("n")).filter(F.col("c") >= SHARE * F.col("n"))
+    rows = rows.select("d", "k", F.size("w").alias("words"), _exact(F.col("w")).alias("exact"), leaf.alias("leaf"))
+    return rows.filter(F.col("words") >= MIN_TOKENS)
+
+
+def _leaf_templates(docs: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
+    """exact, template: the template of its leaf, for each distinct line that is similar to it."""
+    kinds = lines.filter("leaf is not null").groupBy("exact").agg(
+        F.first("leaf").alias("leaf"), F.count("*").alias("c"), F.min("d").alias("a"), F.max("d").alias("b"), F.min(F.struct("d", "k")).alias("at"))
+    kinds = stored(kinds, "kinds")
+    # Leaves in which no template can recur, or no line differs from another, are left out before words are compared.
+    leaves = kinds.groupBy(F.col("leaf").alias("g")).agg(F.sum("c").alias("n"), F.count("*").alias("differ"), F.min("a").alias("a"), F.max("b").alias("b"))
+    leaves = stored(leaves.filter((F.col("n") >= min_docs) & (F.col("differ") > 1) & (F.col("a") != F.col("b"))).select("g", "n"), "leaves")
+    open_ = kinds.join(leaves, F.col("leaf") == F.col("g")).select("exact", "g", "n", "c", "at")
+    # Each distinct line is read once more, from the first document that has it.
+    wanted = open_.groupBy(F.col("at.d").alias("wd")).agg(F.collect_list(F.struct("at.k", "exact", "g", "n", "c")).alias("want"))
+    wanted = stored(wanted, "wanted-lines")
+    small = (wanted.agg(F.sum(F.size("want"))).first()[0] or 0) <= MAX_BROADCAST_LINES
+    found = docs.select("doc_id", "text").join(maybe_broadcast(wanted, small), F.col("doc_id") == F.col("wd"))
+    found = found.select(F.split("text", "\n").alias("all"), F.explode_outer("want").alias("x"))
+    found = found.select(_masked_words(F.get("all", F.col("x.k"))).alias("w"), "x.exact", "x.g", "x.n", "x.c")
+    # Rows that share a doc_id may have other lines at this place.
+    found = stored(found.filter(_exact(F.col("w")) == F.col("exact")).dropDuplicates(["exact"]), "leaf-lines")
+    at = found.select("g", "n", "c", F.posexplode_outer("w").alias("p", "t")).filter(F.col("p") >= DEPTH)
+    kept = at.groupBy("g", "p", "t").agg(F.sum("c").alias("c"), F.first("n").alias("n")).filter(F.col("c") >= SHARE * F.col("n"))
     # At most 1 / SHARE words a position; of two, the smaller one.
     tree = kept.groupBy("g", "p").agg(F.min("t").alias("t")).groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("p", "t"))).alias("kept"))
     tree = stored(tree.withColumnRenamed("g", "h"), "tree")
-    general = inner.join(tree, F.col("g") == F.col("h")).select(
-        "d", "k", "w", "g", F.transform("w", lambda t, i: F.when(i < DEPTH, t).otherwise(F.element_at("kept", i))).alias("m"))
+    general = found.join(tree, F.col("g") == F.col("h")).select(
+        "exact", "w", F.transform("w", lambda t, i: F.when(i < DEPTH, t).otherwise(F.element_at("kept", i))).alias("m"))
     equal = F.size(F.filter(F.zip_with("w", "m", lambda a, b: a.eqNullSafe(b)), lambda x: x))
     general = general.filter(equal >= SIMILAR * F.size("w"))
-    general = general.select("d", "k", F.size("w").alias("words"), F.xxhash64(F.lit("leaf"), F.transform("m", lambda t: F.coalesce(t, F.lit(ANY)))).alias("template"))
-    each = lines.select("d", "k", F.size("w").alias("words"), F.col("exact").alias("template")).unionByName(general)
+    return stored(general.select(F.col("exact").alias("e"), F.xxhash64(F.lit("leaf"), F.transform("m", lambda t: F.coalesce(t, F.lit(ANY)))).alias("template")), "leaf-templates")
+
 
-    each = stored(each, "templates")
-    found = (each.select("template", "d").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("d").alias("first"))
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """doc_id, line (number from 0), words: the lines whose template recurs, but for those of its first document."""
+    lines = stored(_lines(docs), "lines")
+    general = _leaf_templates(docs, lines, min_docs)
+    every = lines.select("d", "k", "words", F.col("exact").alias("template")).unionByName(
+        lines.join(general, F.col("exact") == F.col("e")).select("d", "k", "words", "template"))
+    every = stored(every, "templates")
+    found = (every.select("template", "d").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("d").alias("first"))
              .filter(F.col("docs") >= min_docs).select(F.col("template").alias("t"), "first"))
-    again = each.join(stored(found, "recurring"), F.col("template") == F.col("t")).filter("d > first")
+    again = every.join(stored(found, "recurring"), F.col("template") == F.col("t")).filter("d > first")
     return again.groupBy("d", "k").agg(F.first("words").alias("words")).select(
         F.col("d").alias("doc_id"), F.col("k").alias("line"), "words")
 
@@ -78,8 +106,9 @@ def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, spare_copies: b
     """``docs`` with its columns and the lines dropped from ``text``, and _n_lines, _n_removed (long)."""
     drops = recurring_lines(docs, min_docs).groupBy("doc_id").agg(F.collect_list("line").alias("_drop"), F.sum("words").alias("_words"))
     drops = stored(drops.select(F.col("doc_id").alias("_d"), "_drop", "_words"), "drops")
-    out = docs.join(drops, F.col("doc_id") == F.col("_d"), "left")
-    n_words = F.size(F.filter(F.split("text", SPACE_CLASS + "+"), lambda w: w != ""))
+    small = (drops.agg(F.sum(F.size("_drop"))).first()[0] or 0) <= MAX_BROADCAST_LINES
+    out = docs.join(maybe_broadcast(drops, small), F.col("doc_id") == F.col("_d"), "left")
+    n_words = F.size(F.array_remove(F.split("text", SPACE_CLASS + "+"), ""))
     use = F.col("_drop").isNotNull() & ((2 * F.col("_words") <= n_words) if spare_copies else F.lit(True))
     out = out.withColumn("_drop", F.when(use, F.array_sort("_drop"))).withColumn("_all", F.split("text", "\n"))
     # The kept lines between two dropped ones are a slice each.
