@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import decontaminate, lines, neardup, pieces, quality
-from lakeshelf.llm.common import read, stored
+from lakeshelf.llm.common import read, release, stored, written
 from lakeshelf.operators.joins import fits, maybe_broadcast
 
 # Tables of ids are broadcast up to so many rows (under 100 bytes each), else joined by shuffle.
@@ -87,6 +87,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    before = written()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, before, docs)
     return docs

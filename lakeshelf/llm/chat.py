@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshelf.llm.common import read, stored
+from lakeshelf.llm.common import read, release, stored, written
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 # Control strings of common chat templates.
@@ -151,8 +151,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                            T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(probe, schema))
+    before = written()
     messages = stored(as_tree(turns), "messages")
-    out = read_back(stored(format_paths(messages, reply_paths(messages)), "formatted"))
+    formatted = stored(format_paths(messages, reply_paths(messages)), "formatted")
+    release(spark, before, formatted)
+    out = read_back(formatted)
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learnt = F.array_join("loss_texts", "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"),

@@ -17,12 +17,35 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[str] = []  # scratch tables of this driver, in order
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back:
     cuts the lineage, survives lost executors, and gives the planner real sizes."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def written() -> int:
+    """How many scratch tables there are so far, for ``release``."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete the scratch tables written after the first ``since``, but for ``keep`` (results of
+    ``stored``). Call it where nothing else that is still to run reads them."""
+    needed = [df._scratch_path for df in keep]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _written[since:]:
+        if path not in needed:
+            p = hadoop(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _written[since:] = needed
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.common import stored
+from lakeshelf.llm.common import release, stored, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,6 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Each step replaces links by links to smaller nodes until every node points at the
     smallest of its component. Minima are partially aggregated before each shuffle.
     """
+    spark, scratch = links.sparkSession, written()
     e = stored(links.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
     while True:
@@ -25,6 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, F.col("u") == F.col("w"))
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
         e = stored(small.select("x.u", "x.v").filter("u <> v").distinct(), "small-star")
+        release(spark, scratch, e)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.common import SPACE_CLASS, read, stored
+from lakeshelf.llm.common import SPACE_CLASS, read, release, stored, written
 from lakeshelf.operators.joins import maybe_broadcast
 
 MIN_TOKENS, DEPTH, LEAF_TOKENS = 4, 3, 6
@@ -104,8 +104,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, spare_copies: bool = True) -> DataFrame:
     """``docs`` with its columns and the lines dropped from ``text``, and _n_lines, _n_removed (long)."""
+    before = written()
     drops = recurring_lines(docs, min_docs).groupBy("doc_id").agg(F.collect_list("line").alias("_drop"), F.sum("words").alias("_words"))
     drops = stored(drops.select(F.col("doc_id").alias("_d"), "_drop", "_words"), "drops")
+    release(docs.sparkSession, before, drops)
     small = (drops.agg(F.sum(F.size("_drop"))).first()[0] or 0) <= MAX_BROADCAST_LINES
     out = docs.join(maybe_broadcast(drops, small), F.col("doc_id") == F.col("_d"), "left")
     n_words = F.size(F.array_remove(F.split("text", SPACE_CLASS + "+"), ""))
