@@ -648,7 +648,7 @@ SELECT transaction_date, count(*) AS n, count(*) AS n_keys FROM (
  FROM fx_pos WHERE _source = 'pos_realtime_stream') WHERE rn = 1 GROUP BY transaction_date""", ["fx_pos"])
 ORACLE["write_state_partitions"] = """
 WITH t AS (SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 't:' || (c_custkey % 5) END AS tier FROM customer WHERE c_custkey % 4 <> 0),
-s AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, CASE WHEN c_nationkey % 7 = 0 THEN NULL ELSE 't:' || (c_nationkey % 5) END AS tier FROM customer WHERE c_custkey % 3 = 0)
+s AS (SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, CASE WHEN c_nationkey % 7 = 0 THEN NULL ELSE 't:' || (c_nationkey % 5) END AS tier FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 4 = 0)
 SELECT * FROM s UNION ALL SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM s)"""
 ORACLE["compact_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 'p' || (o_orderkey % 3) AS part FROM orders"
 

@@ -277,7 +277,7 @@ def q_write_state_partitions(spark, d):
     tier = lambda df, key: df.withColumn("tier", F.when(F.col(key) % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("t:"), F.col(key) % 5)))
     base = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     writers.overwrite(tier(base.filter(F.col("c_custkey") % 4 != 0), "c_custkey"), path, ["tier"])
-    batch = tier(base.filter(F.col("c_custkey") % 3 == 0).withColumn("c_name", F.upper("c_name")), "c_nationkey")
+    batch = tier(base.filter((F.col("c_custkey") % 3 == 0) | (F.col("c_custkey") % 4 == 0)).withColumn("c_name", F.upper("c_name")), "c_nationkey")
     stored = spark.read.schema(batch.schema).parquet(path)
     write_state(spark, changes.upsert(stored, batch, ["c_custkey"], update="*"), path, ["tier"])
     return spark.read.schema(batch.schema).parquet(path)
