@@ -653,6 +653,11 @@ SELECT * FROM s UNION ALL SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custk
 ORACLE["compact_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 'p' || (o_orderkey % 3) AS part FROM orders"
 
 
+ORACLE["gold_write"] = f"""
+SELECT year_month, CASE WHEN year_month >= '1998-01' THEN 'run-2' ELSE 'run-1' END AS pipeline_run_id, count(*) AS n,
+ cast(sum(units_sold) as bigint) AS units_sold, count(*) AS stamped FROM ({ORACLE["fact_demand_trends"]}) GROUP BY year_month"""
+
+
 def _all_rules_sql() -> str:
     from lakeshelf.operators.quality import RULES
 

@@ -544,6 +544,19 @@ def q_fact_demand_trends(spark, d):
     return comparable(facts.fact_demand_trends(daily_fact(spark, d)))
 
 
+def q_gold_write(spark, d):
+    """B5 + C1: the demand fact stored by month with its audit columns, one month replaced by a second run, read back;
+    rows and runs by month."""
+    from lakeshelf.sinks.gold import write_gold
+
+    path = scratch_path(spark, "gold_demand")
+    fact = materialize(facts.fact_demand_trends(daily_fact(spark, d)))
+    write_gold(spark, fact, "gold.fact_demand_trends", path, "run-1", ["year_month"])
+    write_gold(spark, fact.filter(F.col("year_month") >= "1998-01"), "gold.fact_demand_trends", path, "run-2", ["year_month"], only_partitions=True)
+    return spark.read.parquet(path).groupBy("year_month", "pipeline_run_id").agg(
+        F.count("*").alias("n"), F.sum("units_sold").alias("units_sold"), F.count("_gold_processed_at").alias("stamped"))
+
+
 def q_fact_customer_sales(spark, d):
     return comparable(facts.fact_customer_sales(pos_silver(spark, d), customers_silver(spark, d), AS_OF_DATE))
 

@@ -66,3 +66,56 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: how many values of each field ``conform`` would turn into NULL (present, but not of
+    the field's type), and the fields that are absent altogether (counted as all rows)."""
+    counts = []
+    for f in schema.fields:
+        if f.name not in df.columns:
+            counts.append(F.count("*").alias(f.name))
+        else:
+            counts.append(F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name))
+    return df.agg(*counts)
+
+
+# The columns that may not be NULL in each silver and gold table, besides the audit columns.
+REQUIRED = {
+    "silver.customers": ["customer_id"],
+    "silver.product_master": ["product_id", "scd_hash", "valid_from", "is_current"],
+    "silver.store_master": ["store_id", "scd_hash", "valid_from", "is_current"],
+    "silver.supplier_master": ["supplier_id", "scd_hash", "valid_from", "is_current"],
+    "silver.purchase_orders": ["po_id", "supplier_id", "product_id"],
+    "silver.store_inventory": ["store_id", "product_id", "current_quantity"],
+    "silver.pos_transactions": ["transaction_id", "store_id", "product_id", "transaction_ts", "quantity", "unit_price", "total_amount"],
+    "silver.warehouse_inventory": ["warehouse_id", "product_id", "current_stock", "reserved_stock", "available_stock"],
+    "gold.dim_product": ["product_id"],
+    "gold.dim_store": ["store_id"],
+    "gold.dim_supplier": ["supplier_id"],
+    "gold.dim_customer": ["customer_id"],
+    "gold.fact_inventory_full": ["inventory_snapshot_key", "snapshot_date", "store_id", "product_id"],
+    "gold.fact_daily_inventory": ["transaction_date"],
+    "gold.fact_inventory_kpis": ["store_id", "product_id", "snapshot_date"],
+    "gold.fact_demand_trends": ["store_id", "product_id", "inventory_date"],
+    "gold.fact_customer_sales": ["transaction_id", "store_id", "product_id", "transaction_ts", "quantity", "unit_price", "total_amount",
+                                 "transaction_date"],
+    "gold.fact_supplier_performance": ["supplier_id"],
+}
+
+
+def audit_columns(table: str) -> list[str]:
+    """Columns that a write adds: load, processing time, run and source in silver; processing time and run in gold."""
+    if table.startswith("silver."):
+        return ["ingested_at", "processed_at", "pipeline_run_id", "source_system"]
+    return ["_fact_processed_at" if table == "gold.fact_customer_sales" else "_gold_processed_at", "pipeline_run_id"]
+
+
+def split_required(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may be stored, and those with a NULL in a required column (with ``null_columns``, their names)."""
+    missing = [c for c in REQUIRED[table] if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} lacks the required columns {missing}")
+    nulls = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED[table]]))
+    marked = df.withColumn("null_columns", nulls)
+    return marked.filter(F.size("null_columns") == 0).drop("null_columns"), marked.filter(F.size("null_columns") > 0)

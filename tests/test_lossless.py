@@ -131,3 +131,28 @@ def test_densify_refuses_absurd_dates(spark):
     with pytest.raises(Exception, match="9999-12-31"):
         densify_days(df, ["k"], "d", {"q": 0}).collect()
     assert densify_days(df.filter("d < DATE'2025-01-01'"), ["k"], "d", {"q": 0}).count() == 1
+
+
+def test_write_gold_adds_audit_columns_and_sets_rows_aside(spark, tmp_dir):
+    from lakeshelf.sinks.gold import write_gold
+
+    path = os.path.join(tmp_dir, "fact")
+    df = spark.createDataFrame([("s", "p", "2024-01-01", 1), ("s", None, "2024-01-01", 2), ("s", "p", "2024-01-02", 3)],
+                               "store_id string, product_id string, snapshot_date string, units_sold int")
+    assert write_gold(spark, df, "gold.fact_inventory_kpis", path, "r1", ["snapshot_date"]) == 1
+    assert [r["null_columns"] for r in spark.read.parquet(path + "__rejected").collect()] == [["product_id"]]
+    day = df.filter("units_sold = 3").withColumn("units_sold", F.lit(9))
+    assert write_gold(spark, day, "gold.fact_inventory_kpis", path, "r2", ["snapshot_date"], only_partitions=True) == 0
+    rows = spark.read.parquet(path)
+    assert sorted((r["units_sold"], r["pipeline_run_id"]) for r in rows.collect()) == [(1, "r1"), (9, "r2")]
+    assert rows.filter("_gold_processed_at is null").count() == 0
+    with pytest.raises(ValueError, match="supplier_id"):
+        write_gold(spark, df, "gold.dim_supplier", path, "r3")
+
+
+def test_misfits_are_counted(spark):
+    from lakeshelf.schemas import misfits
+
+    df = spark.createDataFrame([("1", "x"), ("one", "y"), (None, None)], "quantity string, note string")
+    schema = T._parse_datatype_string("quantity int, note string, channel string")
+    assert misfits(df, schema).first().asDict() == {"quantity": 1, "note": 0, "channel": 3}
