@@ -51,7 +51,7 @@ def _seeds(h: Column, masks) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_equal, n_window, doc_word, item_word: the best overlap of each leak."""
     items = benchmark.select("item_id", _folded(F.col("text")).alias("w")).filter(F.size("w") >= SHORTEST)
-    same = items.groupBy("w").agg(F.collect_set("item_id").alias("item_ids"))
+    same = items.groupBy("w").agg(F.collect_set(F.struct("item_id")).alias("item_ids"))
     same = same.select(F.xxhash64("w").alias("rep"), "w", "item_ids", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     items = stored(same, "items")
     lengths = sorted(r[0] for r in items.filter(F.size("w") < OVERLAP).select(F.size("w")).distinct().collect())  # 8 values at most
@@ -65,7 +65,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     masks = [*MASKS, *["1" * n for n in lengths]]
     hashed = docs.select("doc_id", F.transform(_folded(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    placed = hashed.select("doc_id", F.inline(_seeds(F.col("h"), masks)))
+    # inline would add a test that the array is not empty, for which Spark computes all seeds a second time.
+    placed = hashed.select("doc_id", F.inline_outer(_seeds(F.col("h"), masks)))
     hits = placed.join(maybe_broadcast(seeds, small), "seed").select("doc_id", "rep", (F.col("at") - F.col("item_at")).alias("shift"))
     # One row per document; the written table gives the planner its size for the next join.
     hits = hits.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("rep", "shift")).alias("hits"))
@@ -87,7 +88,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     at = at.filter(F.col("best.n_equal") >= F.when(F.col("wide") < OVERLAP, F.col("wide")).otherwise(EQUAL))
     found = at.groupBy("doc_id", "rep").agg(F.max(F.struct(
         F.col("best.n_equal").alias("n_equal"), (F.col("best.s") - F.col("shift")).alias("neg_doc"), F.col("best.s").alias("neg_item"), "wide")).alias("b"))
-    found = found.join(items.select("rep", F.explode("item_ids").alias("item_id")), "rep")
+    found = found.join(items.select("rep", F.inline("item_ids")), "rep")
     return found.select("doc_id", "item_id", F.col("b.n_equal").cast("long").alias("n_equal"), F.col("b.wide").cast("long").alias("n_window"),
                         (-F.col("b.neg_doc")).cast("long").alias("doc_word"), (-F.col("b.neg_item")).cast("long").alias("item_word"))
 
