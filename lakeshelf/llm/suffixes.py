@@ -45,11 +45,13 @@ def _leading(length: int):
 def splitters(length: int):
     """A function that gives the borders of ``parts`` ranges of leading bytes, from a sketch of bounded size."""
     def of(docs: DataFrame, parts: int) -> np.ndarray:
-        sample = docs.select("text").sample(SAMPLE_SHARE, SEED).mapInArrow(_leading(length), "k long")
         shares = [i / parts for i in range(1, parts)]
         if not shares:
             return np.zeros(0, np.uint64)
-        found = sample.agg(F.percentile_approx("k", F.array(*map(F.lit, shares)), max(10_000, 20 * parts))).first()[0]
+        found = None
+        for some in (docs.select("text").sample(SAMPLE_SHARE, SEED), docs.select("text")):  # all, if a few documents gave no sample
+            sketch = F.percentile_approx("k", F.array(*map(F.lit, shares)), max(10_000, 20 * parts))
+            found = found or some.mapInArrow(_leading(length), "k long").agg(sketch).first()[0]
         return np.array(found or [], np.int64).view(np.uint64) ^ np.uint64(1 << 63)
     return of
 
