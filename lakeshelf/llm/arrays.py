@@ -14,7 +14,7 @@ import pyarrow.compute  # noqa: F401
 # Texts are worked on in pieces of about so many bytes, so that a task's arrays stay small; one text is never cut.
 CHUNK_BYTES = 1 << 20
 # Tokenizers look up each distinct word once a piece, and hold little besides it.
-WORD_CHUNK_BYTES = 16 << 20
+WORD_CHUNK_BYTES = 6 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

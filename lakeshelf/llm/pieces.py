@@ -33,7 +33,8 @@ from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, word_ids
 from lakeshelf.llm.common import read, small_batches
 
 SPACE = "▁"
-MAX_WORDS, MAX_PARTS, MAX_PAIRS = 400_000, 400_000, 400_000
+MAX_WORDS, MAX_PARTS, MAX_PAIRS = 100_000, 250_000, 200_000
+DECODED = 64
 _UNITS = re.compile(" +[^ ]*")
 
 
@@ -214,9 +215,13 @@ def encoded(docs: DataFrame, model: str | None = None, schema: str = "doc_id lon
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model or default_model())
         for batch in chunks(batches, size=WORD_CHUNK_BYTES):
-            whole = [np.concatenate([[enc.begin], ids, [enc.end]]).astype("<u4") for ids in enc.encode(batch.column("text"))]
-            decoded = enc.library.decode([ids.tolist() for ids in whole], num_threads=1)
-            made = list(zip(*(row(ids, text) for ids, text in zip(whole, decoded))))
+            texts = enc.encode(batch.column("text"))
+            made = []
+            for at in range(0, len(texts), DECODED):  # lists of Python ints take ten times the room of the ids
+                whole = [np.concatenate([[enc.begin], ids, [enc.end]]).astype("<u4") for ids in texts[at:at + DECODED]]
+                decoded = enc.library.decode([ids.tolist() for ids in whole], num_threads=1)
+                made += [row(ids, text) for ids, text in zip(whole, decoded)]
+            made = list(zip(*made))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c) for c in made]], names=names)
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(work, schema)
