@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.arrays import chunks, gather, text_bytes
-from lakeshelf.llm.common import parallelism, read, stored
+from lakeshelf.llm.common import parallelism, read, release, small_batches, stored, written
 from lakeshelf.llm.components import components
 from lakeshelf.llm.repeats import Words, mix, prefix, span
 from lakeshelf.operators.joins import fits, maybe_broadcast
@@ -252,6 +252,8 @@ def _compare(confirm: bool):
                         else:
                             block.add(*mine)
                         continue
+                    if not block.parts:  # no class fell to this block
+                        continue
                     left = block.columns()
                     for t in range(s, e, 256):  # BLOCK x 256 x COORDS comparisons at a time
                         right = [c[t - s:t - s + 256] for c in mine]
@@ -294,11 +296,16 @@ def _blocks(lists: DataFrame, comps: DataFrame, about: DataFrame, parts: int) ->
     at = stored(at, "list-components")
     sizes = at.groupBy("key", "comp").count().groupBy(F.col("key").alias("k")).agg(
         F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("all"), F.count("*").alias("n"))
-    sizes = sizes.filter("n > 1").select("k", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.count")) / BLOCK).cast("int").alias("nb"))
+    sizes = sizes.filter("n > 1").select("k", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.count")) / BLOCK).cast("int").alias("nb"),
+                                         F.ceil(F.col("all") / (2 * BLOCK)).cast("int").alias("na"))
     at = at.join(stored(sizes, "list-sizes"), F.col("key") == F.col("k"))
-    mine = at.filter(F.col("comp") != F.col("main")).withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")).withColumn("role", F.lit(0))
-    every = at.withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).withColumn("role", F.lit(1))
-    rows = mine.unionByName(every).select("key", "blk", "role", "coord", F.col("id").alias("i"), "comp")
+    # Both sides of a long list are dealt in blocks, and each pair of blocks is a group of its own.
+    own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
+    mine = at.filter(F.col("comp") != F.col("main")).withColumn("blk", F.explode(F.sequence(own * F.col("na"), own * F.col("na") + F.col("na") - 1)))
+    other = F.pmod(F.xxhash64("id", F.lit(1)), F.col("na")).cast("int")
+    every = at.withColumn("blk", F.explode(F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda b: b * F.col("na") + other)))
+    rows = mine.withColumn("role", F.lit(0)).unionByName(every.withColumn("role", F.lit(1)))
+    rows = rows.select("key", "blk", "role", "coord", F.col("id").alias("i"), "comp")
     rows = rows.join(about, F.col("i") == F.col("id")).drop("i")
     return rows.repartition(parts, "key", "blk").sortWithinPartitions("key", "blk", "role")
 
@@ -341,6 +348,8 @@ def links(docs: DataFrame, classes: DataFrame, n: int = SHINGLE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (null for a null doc_id) of each document."""
+    spark, before = docs.sparkSession, written()
+    small_batches(spark)
     every = stored(signed(docs, n), "signed")
     classes = every.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
@@ -348,7 +357,9 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     named = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
         F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component_id"))
     same = (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n_shingles") == F.col("cn"))
-    out = every.drop("sig").join(stored(named, "class-components"), same, "left")
+    named = stored(named, "class-components")
+    release(spark, before, every, named)
+    out = every.drop("sig").join(named, same, "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
