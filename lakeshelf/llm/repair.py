@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +51,7 @@ BASE = 51_000  # first nonterminal; all ids of the vocabulary are below
 BLOCK_IDS, MIN_COUNT, MAX_ROUNDS, ROUND_RULES = 1_000_000, 24, 5, 2000
 COUNTED = 1 << 17  # pairs that a round counts at most: runs of COUNT_RUN, evenly spread over the block
 COUNT_RUN = 1 << 11
-MAX_WORDS, MAX_PIECES, BATCH = 300_000, 500_000, 5_000
+MAX_WORDS, MAX_PIECES, BATCH = 150_000, 250_000, 5_000
 TAIL = ".,;:!?$*&%#|"
 # Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -83,40 +82,43 @@ class WordEncoder:
         self.tok.encode_special_tokens = True
         self.model = self.tok.model
         self.words = Remembered(MAX_WORDS)
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
 
-    def cut(self, words: list[str]) -> list[list[int]]:
-        """Ids of words, from those of their pieces."""
-        cuts = []
+    def single(self, piece: str) -> tuple[int, ...]:
+        """Ids of a piece that the pre-tokeniser leaves whole, by the library's model, in its byte alphabet."""
+        if (known := self.pieces.get(piece)) is None:
+            mapped = piece.replace(" ", "\u0120") if piece.isascii() and piece != "\n" else piece.encode().decode("latin-1").translate(BYTE_ALPHABET)
+            known = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(mapped)])
+        return known
+
+    def cut(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words, each with the space before it or a text's first, from those of their pieces."""
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces.clear()
+        single = self.single
+        out: list = []
+        rest = []
         for w in words:
-            lines = w.split("\n") if "\n" in w else [w]
-            if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in [lines[0].removeprefix(" "), *lines[1:]]):
-                cuts.append([w])
+            if w[1:].isalpha() and (w[0] == " " or w[0].isalpha()):
+                out.append(single(w))
                 continue
-            out = []
-            for x in lines:
-                if out:
-                    out.append("\n")
+            lines = w.split("\n")
+            if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in [lines[0].removeprefix(" "), *lines[1:]]):
+                lines = [w]
+            ids: tuple[int, ...] = ()
+            for i, x in enumerate(lines):
+                if i:
+                    ids += single("\n")
                 stem = x.rstrip(TAIL)
-                if len(stem) < len(x) and stem[-1:].isalpha():
-                    out += [stem, x[len(stem):]]
+                if stem.removeprefix(" ").isalpha():
+                    ids += single(stem) + single(x[len(stem):]) if len(stem) < len(x) else single(stem)
                 else:
-                    out.append(x)
-            cuts.append(out)
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces.clear()
-        new = {x for c in cuts for x in c if x not in self.pieces}
-        # Pieces that the pre-tokeniser leaves whole go to the library's model, in its byte alphabet; the others through all of it.
-        rest = []
-        for x in new:
-            if x.removeprefix(" ").isalpha() or x == "\n" or not x.strip(TAIL):
-                mapped = x.replace(" ", "\u0120") if x.isascii() and x != "\n" else x.encode().decode("latin-1").translate(BYTE_ALPHABET)
-                self.pieces[x] = [t.id for t in self.model.tokenize(mapped)]
-            else:
-                rest.append(x)
-        self.pieces.update(zip(rest, self.whole(rest)))
-        get = self.pieces.__getitem__
-        return [list(chain.from_iterable(map(get, c))) for c in cuts]
+                    rest.append((len(out), w))
+                    break
+            out.append(ids)
+        for (i, _), ids in zip(rest, self.whole([w for _, w in rest])):
+            out[i] = tuple(ids)
+        return out
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         out = []
