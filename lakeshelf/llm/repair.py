@@ -51,7 +51,7 @@ BASE = 51_000  # first nonterminal; all ids of the vocabulary are below
 BLOCK_IDS, MIN_COUNT, MAX_ROUNDS, ROUND_RULES = 1_000_000, 24, 5, 2000
 COUNTED = 1 << 17  # pairs that a round counts at most: runs of COUNT_RUN, evenly spread over the block
 COUNT_RUN = 1 << 11
-MAX_WORDS, MAX_PIECES, BATCH = 150_000, 250_000, 5_000
+MAX_WORDS, MAX_PIECES, BATCH = 200_000, 350_000, 5_000
 TAIL = ".,;:!?$*&%#|"
 # Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -161,12 +161,12 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _counted(pairs: np.ndarray) -> tuple[np.ndarray, float]:
-    """The pairs to count, and how many of the block one of them stands for."""
-    if len(pairs) <= COUNTED:
-        return pairs, 1.0
-    runs = np.linspace(0, len(pairs) - COUNT_RUN, COUNTED // COUNT_RUN).astype(np.int64)
-    return pairs[(runs[:, None] + np.arange(COUNT_RUN)[None, :]).ravel()], len(pairs) / COUNTED
+def _counted(n: int) -> tuple[np.ndarray, float]:
+    """Places of the pairs to count among n, and how many of them one stands for."""
+    if n <= COUNTED:
+        return np.arange(n), 1.0
+    runs = np.linspace(0, n - COUNT_RUN, COUNTED // COUNT_RUN).astype(np.int64)
+    return (runs[:, None] + np.arange(COUNT_RUN)[None, :]).ravel(), n / COUNTED
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, max_rounds: int = MAX_ROUNDS):
@@ -179,10 +179,11 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
         if len(seq) < 2:
             break
         ends = starts[(starts > 0) & (starts < len(seq))] - 1  # last symbols of documents: no pair begins there
-        pairs = seq[:-1].astype(np.int64) << 32 | seq[1:]
-        pairs[ends] = -1
-        found, each = _counted(pairs)
-        found = np.sort(found[found >= 0])
+        look, each = _counted(len(seq) - 1)
+        last = np.zeros(len(seq), bool)
+        last[ends] = True
+        look = look[~last[look]]
+        found = np.sort(seq[look].astype(np.int64) << 32 | seq[look + 1])
         if not len(found):
             break
         edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]]))
@@ -293,7 +294,7 @@ def _write_blocks(vocabulary: str | None, block_ids: int):
             kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.bool_()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-        for batch in chunks(batches, size=WORD_CHUNK_BYTES):
+        for batch in chunks(batches, size=2 * WORD_CHUNK_BYTES):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
                 if parts and held + len(ids) + 1 > block_ids:
                     yield block()
