@@ -18,10 +18,10 @@ The file format is Parquet, one row a block, so that any store and Spark's commi
 A document is read from its block alone: its symbols are a slice, and the lengths tell how
 many ids lie before any place without expanding it (``document_ids``).
 
-Rounds: a round counts pairs (in a large block, of runs spread over it), takes those of MIN_COUNT or
-more by falling count as long as no symbol is left of one pair and right of another, so that no two
-occurrences overlap, and replaces all their occurrences at once. It ends when no pair is
-frequent, after MAX_ROUNDS at most. What is counted decides how short the files get, never what they expand to.
+Rounds: a round counts all pairs of the block, takes those of MIN_COUNT or more by falling count (ROUND_RULES at
+most), and replaces their occurrences at once; of two that overlap, that of the more frequent pair.
+A pair that is left MIN_COUNT occurrences so gets its rule, any other waits for the next round. Rounds
+go on until no pair occurs MIN_COUNT times (a run of one id holds every other of its pairs).
 
 Defined cases
   * null text: the empty text, END_ID alone.
@@ -48,9 +48,8 @@ from lakeshelf.session import scratch_path
 
 END_ID = 2
 BASE = 51_000  # first nonterminal; all ids of the vocabulary are below
-BLOCK_IDS, MIN_COUNT, MAX_ROUNDS, ROUND_RULES = 1_000_000, 24, 5, 2000
-COUNTED = 1 << 17  # pairs that a round counts at most: runs of COUNT_RUN, evenly spread over the block
-COUNT_RUN = 1 << 11
+BLOCK_IDS, MIN_COUNT, ROUND_RULES = 1_000_000, 24, 2000
+LARGE, BUCKET_BITS = 1 << 16, 20
 MAX_WORDS, MAX_PIECES, BATCH = 200_000, 350_000, 5_000
 TAIL = ".,;:!?$*&%#|"
 # Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
@@ -161,62 +160,77 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def _counted(n: int) -> tuple[np.ndarray, float]:
-    """Places of the pairs to count among n, and how many of them one stands for."""
-    if n <= COUNTED:
-        return np.arange(n), 1.0
-    runs = np.linspace(0, n - COUNT_RUN, COUNTED // COUNT_RUN).astype(np.int64)
-    return (runs[:, None] + np.arange(COUNT_RUN)[None, :]).ravel(), n / COUNTED
+def _order(keys: np.ndarray, symbols: int) -> np.ndarray:
+    """Places of the keys (two symbols each) in ascending order."""
+    at, one = len(keys).bit_length(), symbols.bit_length()
+    if 2 * one + at > 63:
+        return np.argsort(keys)
+    packed = ((keys >> 32) << one | (keys & 0xFFFFFFFF)) << at | np.arange(len(keys))
+    packed.sort()  # numbers alone are sorted several times faster than their places
+    return packed & ((1 << at) - 1)
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, max_rounds: int = MAX_ROUNDS):
+def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, max_rounds: int | None = None):
     """Re-Pair of a block: (symbols, starts in symbols, rules as an n x 2 array, lengths)."""
     seq = ids.astype(np.int32)
     starts = starts.astype(np.int64)
     rules: list[np.ndarray] = []
     lengths = np.ones(BASE, np.int64)
-    for _ in range(max_rounds):
-        if len(seq) < 2:
-            break
-        ends = starts[(starts > 0) & (starts < len(seq))] - 1  # last symbols of documents: no pair begins there
-        look, each = _counted(len(seq) - 1)
-        last = np.zeros(len(seq), bool)
-        last[ends] = True
-        look = look[~last[look]]
-        found = np.sort(seq[look].astype(np.int64) << 32 | seq[look + 1])
-        if not len(found):
-            break
-        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]]))
-        counts = np.diff(edge)
-        often = np.flatnonzero((counts * each >= min_count) & (counts > 1))
+    inner = np.ones(len(seq), bool)  # the pair that begins here lies in one document
+    inner[starts[starts > 0] - 1] = False
+    inner[-1:] = False
+    look = np.flatnonzero(inner)  # places of all pairs that can be frequent
+    while len(look) and (max_rounds is None or len(rules) < max_rounds):
+        keys = seq[look].astype(np.int64) << 32 | seq[look + 1]
+        if len(look) > LARGE:  # pairs in a bucket of under min_count are not sorted
+            bucket = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+            often = np.bincount(bucket, minlength=1 << BUCKET_BITS)[bucket] >= min_count
+            look, keys = look[often], keys[often]
+        # Only a pair of equal ids can overlap itself: of a run of neighbours take each other one.
+        equal = np.flatnonzero(keys >> 32 == keys & 0xFFFFFFFF)
+        run = np.maximum.accumulate(np.where(np.diff(look[equal], prepend=-2) > 1, np.arange(len(equal)), 0)) if len(equal) else equal
+        free = np.ones(len(look), bool)
+        free[equal[(np.arange(len(equal)) - run) % 2 == 1]] = False
+        order = _order(keys, len(lengths))
+        found = keys[order]
+        edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]])) if len(found) else np.zeros(1, np.int64)
+        counts = np.add.reduceat(free[order].astype(np.int64), edge[:-1]) if len(found) else np.zeros(0, np.int64)
+        often = np.flatnonzero(counts >= min_count)
         if not len(often):
             break
-        often = often[np.lexsort((found[edge[often]], -counts[often]))][:ROUND_RULES]
-        chosen, left, right = [], {}, {}
-        for key in found[edge[often]].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
-            if (a not in right and b not in left) if a != b else (a not in left and a not in right):
-                chosen.append(key)
-                left.setdefault(a, len(left) + 1)
-                right.setdefault(b, len(right) + 1)
-        first = len(lengths)
-        a, b = np.array(chosen, np.int64) >> 32, np.array(chosen, np.int64) & 0xFFFFFFFF
-        # Symbols to their place on either side (0: none), and two places to the new symbol.
-        on_left, on_right = np.zeros(first, np.int32), np.zeros(first, np.int32)
-        on_left[list(left)], on_right[list(right)] = list(left.values()), list(right.values())
-        new_of = np.zeros((len(left) + 1) * (len(right) + 1), np.int32)
-        new_of[on_left[a] * (len(right) + 1) + on_right[b]] = first + np.arange(len(chosen))
-        new = new_of[on_left[seq[:-1]] * np.int32(len(right) + 1) + on_right[seq[1:]]]
-        new[ends] = 0
-        at = np.flatnonzero(new)
-        # Only a pair of equal ids can overlap itself: of a run of neighbours take each other one.
-        run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(at) > 1]), np.arange(len(at)), 0)) if len(at) else at
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        seq[at] = new[at]
+        often = often[np.lexsort((found[edge[often]], -counts[often]))]
+        pairs, none = found[edge[often]], len(often)
+        rank_of = np.full(len(counts), none, np.int32)
+        rank_of[often] = np.arange(none)
+        rank = np.empty(len(look), np.int32)
+        rank[order] = np.repeat(rank_of, np.diff(edge))
+        frequent = rank < none
+        look, rank, free = look[frequent], rank[frequent], free[frequent]
+        # Of two occurrences that overlap, the one of the more frequent pair is replaced.
+        tried, by = look[free], rank[free]
+        beside = np.full(len(tried) + 2, none, np.int32)
+        beside[1:-1] = by
+        before = np.where(np.diff(tried, prepend=-2) == 1, beside[:-2], none)
+        after = np.where(np.diff(tried, append=len(seq) + 2) == 1, beside[2:], none)
+        wins = (by < before) & (by < after) & (by < ROUND_RULES)
+        at, by = tried[wins], by[wins]
+        use = np.flatnonzero(np.bincount(by, minlength=none) >= min_count)  # the most frequent pair always
+        new = np.zeros(none, np.int32)
+        new[use] = len(lengths) + np.arange(len(use))
+        at, by = at[new[by] > 0], by[new[by] > 0]
+        seq[at] = new[by]
+        inner[at] = inner[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
+        # Counts of known pairs only fall, so what can be frequent next are the frequent ones of now and those with a new symbol.
+        again = np.zeros(len(seq), bool)
+        again[look] = True
+        again[at] = True
+        seq, inner, again = seq[keep], inner[keep], again[keep]
+        again[np.maximum(at - np.arange(len(at)) - 1, 0)] = True
+        look = np.flatnonzero(again & inner)
         starts = starts - np.searchsorted(at + 1, starts)
-        seq = seq[keep]
+        a, b = pairs[use] >> 32, pairs[use] & 0xFFFFFFFF
         rules.append(np.stack([a, b], 1))
         lengths = np.concatenate([lengths, lengths[a] + lengths[b]])
     return seq, starts, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), lengths[BASE:]
