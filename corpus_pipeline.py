@@ -50,8 +50,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: one document of each component stays."""
-    named = neardup.near_duplicates(docs).filter("doc_id is not null")
+    """Operator 7 at a similarity of 0.8: one document of each component stays."""
+    named = neardup.near_duplicates(docs, percent=80).filter("doc_id is not null")
     first = named.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = _matching(docs.filter("doc_id is not null"), first, "left_semi")
     twice = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")

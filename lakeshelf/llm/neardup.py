@@ -2,9 +2,10 @@
 
 Texts (A-Z lower-cased) become sets of 5-word shingles. Texts with equal sets are one class,
 and the class's smallest doc_id stands for it. Each class is posted under coordinate-value
-pairs of its MinHash signature. A pair of classes with a similarity of 0.85 agrees in MATCHES of the
-COORDS coordinates but for a chance of about one in a million, and then shares one of
-the first COORDS - MATCHES + 1 coordinates in any common order of the pairs. The order is by
+pairs of its MinHash signature. A pair of classes of the least similarity that links (``percent``: 85 in the
+query, 80 in the pipeline) agrees in ``least`` of the COORDS coordinates (40 at 85, 35 at 80)
+but for a chance of a few in a million, and then shares one of
+the first COORDS - least + 1 coordinates in any common order of the pairs. The order is by
 frequency, rarest first, so the long lists are skipped: a class is posted only under its rarest values
 (the prefix). Frequencies come from a sketch of fixed size over all classes; its errors change the
 order for everyone alike, and so lose nothing.
@@ -13,7 +14,7 @@ Links need not be listed to find components. In each list, the class with the mo
 hub, often the original of a group) is compared with every other one, and each class is verified
 against its best hub. Then only classes of one list that are in different components yet remain: those
 outside the list's largest component are compared, in blocks, with all of the list. A pair is looked at in
-one list alone, counts as a candidate if MATCHES coordinates agree, and is confirmed on the full sets. No pairs
+one list alone, counts as a candidate if ``least`` coordinates agree, and is confirmed on the full sets. No pairs
 are written but confirmed links, one for each class and component met, so output grows with the lists.
 
 Defined cases
@@ -26,6 +27,7 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,7 @@ from lakeshelf.llm.repeats import Words, mix, prefix, span
 from lakeshelf.operators.joins import fits, maybe_broadcast
 
 SHINGLE, PERCENT = 5, 85
-COORDS, MATCHES = 64, 40
-PREFIX = COORDS - MATCHES + 1
+COORDS, MISSED = 64, 2.5e-6  # chance that a pair at the threshold agrees in fewer coordinates than are asked for
 SKETCH_BITS = 20  # the sketch of frequencies has 2 ** SKETCH_BITS counts (8 MB) whatever the input
 BLOCK = 256
 MAX_BROADCAST_IDS = 1_000_000
@@ -50,6 +51,14 @@ _LOWER[65:91] += 32
 _SEEDS = mix(np.arange(1, COORDS + 1, dtype=U) * U(0xD1342543DE82EF95)) | U(1)
 
 
+def agreeing(percent: int) -> int:
+    """The most coordinates that a pair of similarity percent / 100 agrees in but for a chance of MISSED."""
+    p, below, least = percent / 100, 0.0, 0
+    while least < COORDS and (below := below + comb(COORDS, least) * p ** least * (1 - p) ** (COORDS - least)) <= MISSED:
+        least += 1
+    return max(least, 1)
+
+
 class _Folded(Words):
     """Words with A-Z lower-cased."""
 
@@ -143,35 +152,37 @@ def frequencies(classes: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _prefix(sig: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, the coordinates of the PREFIX rarest (n x PREFIX), and how frequent all values of a row are together."""
+def _prefix(sig: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the coordinates of the COORDS - least + 1 rarest (a row each), and how frequent all values of a row are together."""
     keys = _keys(sig)
     often = counts[(keys >> U(64 - SKETCH_BITS)).astype(np.int64)]
     order = np.argsort(np.minimum(often, 1 << 30).astype(U) << U(33) | keys >> U(31), axis=1, kind="stable")
-    return keys, order[:, :PREFIX], often.sum(1)
+    return keys, order[:, :COORDS - least + 1], often.sum(1)
 
 
-def _post(shared):
+def _post(shared, least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for part in range(0, batch.num_rows, 2048):
                 b = batch.slice(part, 2048)
-                keys, coords, often = _prefix(_signatures(b.column("sig")), counts)
+                keys, coords, often = _prefix(_signatures(b.column("sig")), counts, least)
                 rep = b.column("rep").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.take_along_axis(keys, coords, 1).ravel().view(np.int64)), pa.array(coords.ravel().astype(np.int32)),
-                     pa.array(np.repeat(rep, PREFIX)), pa.array(np.repeat(often, PREFIX))], names=["key", "coord", "rep", "often"])
+                     pa.array(np.repeat(rep, coords.shape[1])), pa.array(np.repeat(often, coords.shape[1]))], names=["key", "coord", "rep", "often"])
     return work
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in range(0, batch.num_rows, 4096):
-            b = batch.slice(part, 4096)
-            same = (_signatures(b.column("a_sig")) == _signatures(b.column("b_sig"))).sum(1)
-            ok = same >= MATCHES
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok)), pa.array(same[ok].astype(np.int32))], names=["a", "b", "same"])
+def _agree(least: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in range(0, batch.num_rows, 4096):
+                b = batch.slice(part, 4096)
+                same = (_signatures(b.column("a_sig")) == _signatures(b.column("b_sig"))).sum(1)
+                ok = same >= least
+                yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok)), pa.array(same[ok].astype(np.int32))], names=["a", "b", "same"])
+    return work
 
 
 def _set_rows(n: int):
@@ -191,9 +202,9 @@ def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     return stored(d.mapInArrow(_set_rows(n), "id long, shingles array<long>"), "sets")
 
 
-def _linked(a, b, both) -> object:
+def _linked(a, b, both, percent: int) -> object:
     """Whether sets of sizes a and b with ``both`` in common are similar enough."""
-    return both * 100 >= (a + b - both) * PERCENT
+    return both * 100 >= (a + b - both) * percent
 
 
 class _Block:
@@ -212,12 +223,12 @@ class _Block:
         return self.whole
 
 
-def _candidates(left: tuple, right: tuple, coord: int) -> np.ndarray:
-    """Pairs (left x right) in different components that agree in MATCHES coordinates and have this list as their first common one."""
+def _candidates(left: tuple, right: tuple, coord: int, least: int) -> np.ndarray:
+    """Pairs (left x right) in different components that agree in ``least`` coordinates and have this list as their first common one."""
     _, l_comp, l_sig, l_mask = left[:4]
     _, r_comp, r_sig, r_mask = right[:4]
     same = l_sig[:, None, :] == r_sig[None, :, :]
-    ok = (same.sum(2) >= MATCHES) & (l_comp[:, None] != r_comp[None, :])
+    ok = (same.sum(2) >= least) & (l_comp[:, None] != r_comp[None, :])
     i, j = np.nonzero(ok)
     if len(i):
         bits = np.packbits(same[i, j], axis=1, bitorder="little").view(U).ravel() & l_mask[i] & r_mask[j]
@@ -226,7 +237,7 @@ def _candidates(left: tuple, right: tuple, coord: int) -> np.ndarray:
     return i, j
 
 
-def _compare(confirm: bool):
+def _compare(confirm: bool, least: int, percent: int):
     """Rows come by (key, blk), those of the block (role 0) first. Without ``confirm``: (key, id) of all candidates;
     with it: the confirmed links, one for each class of the block and component met."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +268,7 @@ def _compare(confirm: bool):
                     left = block.columns()
                     for t in range(s, e, 256):  # BLOCK x 256 x COORDS comparisons at a time
                         right = [c[t - s:t - s + 256] for c in mine]
-                        i, j = _candidates(left, right, int(coord[s]))
+                        i, j = _candidates(left, right, int(coord[s]), least)
                         if not len(i):
                             continue
                         if not confirm:
@@ -270,7 +281,7 @@ def _compare(confirm: bool):
                             x = gather(flat, lo, size)
                             place = np.minimum(np.searchsorted(own, x), len(own) - 1)
                             both = np.add.reduceat((own[place] == x).astype(np.int64), np.cumsum(size) - size)
-                            xs = xs[_linked(len(own), size, both)]
+                            xs = xs[_linked(len(own), size, both, percent)]
                             if len(xs):
                                 _, first = np.unique(right[1][xs], return_index=True)
                                 out.append((np.full(len(first), left[0][u]), right[0][xs[first]]))
@@ -279,12 +290,12 @@ def _compare(confirm: bool):
     return work
 
 
-def _masked(shared):
+def _masked(shared, least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             masks = [np.zeros(0, U)]
             for part in range(0, batch.num_rows, 2048):
-                _, coords, _ = _prefix(_signatures(batch.column("sig").slice(part, 2048)), shared.value)
+                _, coords, _ = _prefix(_signatures(batch.column("sig").slice(part, 2048)), shared.value, least)
                 masks.append(np.bitwise_or.reduce(U(1) << coords.astype(U), axis=1))
             yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("sig"), pa.array(np.concatenate(masks).view(np.int64))], names=["id", "sig", "mask"])
     return work
@@ -310,12 +321,12 @@ def _blocks(lists: DataFrame, comps: DataFrame, about: DataFrame, parts: int) ->
     return rows.repartition(parts, "key", "blk").sortWithinPartitions("key", "blk", "role")
 
 
-def links(docs: DataFrame, classes: DataFrame, n: int = SHINGLE) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Confirmed links (a, b) between classes that give the same components as all links. ``classes``: rep, n, sig."""
     spark = docs.sparkSession
-    parts = parallelism(spark)
+    parts, least = parallelism(spark), agreeing(percent)
     shared = spark.sparkContext.broadcast(frequencies(classes))  # 8 MB, whatever the input
-    posts = classes.select("rep", "sig").mapInArrow(_post(shared), "key long, coord int, rep long, often long")
+    posts = classes.select("rep", "sig").mapInArrow(_post(shared, least), "key long, coord int, rep long, often long")
     hubs = posts.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("m"), F.max(F.struct("often", (-F.col("rep")).alias("r"))).alias("h"))
     hubs = hubs.filter("m > 1").select("k", (-F.col("h.r")).alias("hub"))
     lists = stored(posts.join(hubs, F.col("key") == F.col("k")).select("key", "coord", F.col("rep").alias("id"), "hub"), "lists")
@@ -325,35 +336,35 @@ def links(docs: DataFrame, classes: DataFrame, n: int = SHINGLE) -> DataFrame:
     sig = classes.select(F.col("rep").alias("i"), "sig")
     pairs = pairs.join(sig, F.col("a") == F.col("i")).drop("i").withColumnRenamed("sig", "a_sig")
     pairs = pairs.join(sig, F.col("b") == F.col("i")).drop("i").withColumnRenamed("sig", "b_sig")
-    best = pairs.mapInArrow(_agree, "a long, b long, same int").groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("a"))).alias("x"))
+    best = pairs.mapInArrow(_agree(least), "a long, b long, same int").groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("a"))).alias("x"))
     best = stored(best.select((-F.col("x.a")).alias("a"), "b"), "best-hubs")
     sets = _sets_of(docs, best.select(F.col("a").alias("id")).union(best.select("b")), n)
     x, y = [sets.select(F.col("id").alias(f"{c}_id"), F.col("shingles").alias(f"{c}_set")) for c in "xy"]
     tried = best.join(x, F.col("b") == F.col("x_id")).join(y, F.col("a") == F.col("y_id"))
     both = F.size(F.array_intersect("x_set", "y_set"))
-    first = stored(tried.filter(_linked(F.size("x_set"), F.size("y_set"), both)).select("a", "b"), "hub-links")
+    first = stored(tried.filter(_linked(F.size("x_set"), F.size("y_set"), both, percent)).select("a", "b"), "hub-links")
 
     # What is left: classes of one list in different components.
     comps = components(first)
-    about = stored(classes.select("rep", "sig").mapInArrow(_masked(shared), "id long, sig binary, mask long"), "prefixes")
+    about = stored(classes.select("rep", "sig").mapInArrow(_masked(shared, least), "id long, sig binary, mask long"), "prefixes")
     schema = "a long, b long"
-    found = _blocks(lists.select("key", "coord", "id"), comps, about, parts).mapInArrow(_compare(False), schema).distinct()
+    found = _blocks(lists.select("key", "coord", "id"), comps, about, parts).mapInArrow(_compare(False, least, percent), schema).distinct()
     found = stored(found.select(F.col("a").alias("fk"), F.col("b").alias("fi")), "candidates")
     again = lists.select("key", "coord", "id").join(found, (F.col("key") == F.col("fk")) & (F.col("id") == F.col("fi")), "left_semi")
     sets = _sets_of(docs, found.select(F.col("fi").alias("id")), n)
     known = about.join(sets.withColumnRenamed("id", "s"), F.col("id") == F.col("s")).drop("s")
-    second = _blocks(again, comps, known, parts).mapInArrow(_compare(True), schema).distinct()
+    second = _blocks(again, comps, known, parts).mapInArrow(_compare(True, least, percent), schema).distinct()
     return first.unionByName(stored(second, "list-links"))
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id (null for a null doc_id) of each document."""
+def near_duplicates(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (null for a null doc_id) of each document; sets of a similarity of ``percent`` link."""
     spark, before = docs.sparkSession, written()
     small_batches(spark)
     every = stored(signed(docs, n), "signed")
     classes = every.filter("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = stored(classes, "classes")
-    comps = components(links(docs, classes, n))
+    comps = components(links(docs, classes, n, percent))
     named = classes.join(comps, F.col("rep") == F.col("node"), "left").select(
         F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n_shingles").alias("cn"), F.coalesce("component", "rep").alias("component_id"))
     same = (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n_shingles") == F.col("cn"))
@@ -364,5 +375,5 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
 
 
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = near_duplicates(read(spark, sf_dir, "documents"))
+    out = near_duplicates(read(spark, sf_dir, "documents"), percent=85)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

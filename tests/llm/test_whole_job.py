@@ -1,9 +1,13 @@
 """Places where an operator once did less than the whole job."""
 
+import random
+
 import numpy as np
 import pytest
 
-from lakeshelf.llm import repair
+import brute
+import corpus_pipeline
+from lakeshelf.llm import neardup, repair
 
 
 def most_frequent(seq, starts):
@@ -31,3 +35,40 @@ def test_grammars_leave_no_frequent_pair(n):
     row = dict(doc_ids=b"", doc_at=at.astype(np.uint32).tobytes(), rules=rules.astype(np.uint32).tobytes(), lengths=lengths.astype(np.uint32).tobytes(),
                symbols=symbols.astype(np.uint32).tobytes(), wide=True)
     assert (repair.Block(row).ids() == ids).all() and (repair.Block(row).starts() == starts).all()
+
+
+def similar_pairs(changed, pairs=60):
+    """Pairs of texts (2 k, 2 k + 1) of 300 words, ``changed`` of them in a row other ones."""
+    rows = []
+    for k in range(pairs):
+        w = [f"d{k}w{i}" for i in range(300)]
+        at = 20 + 3 * k
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:at] + [f"d{k}n{i}" for i in range(changed)] + w[at + changed:]))]
+    return rows
+
+
+def test_near_duplicates_between_080_and_085(spark, docs):
+    close, far = similar_pairs(25), [(1000 + d, "far " + t.replace("d", "e")) for d, t in similar_pairs(32)]
+    assert all(80 <= 100 * len(a & b) / len(a | b) < 85 for a, b in [[brute.shingles(t) for _, t in close[:2]]])
+    assert all(100 * len(a & b) / len(a | b) < 80 for a, b in [[brute.shingles(t) for _, t in far[:2]]])
+    d = docs(close + far)
+    one = lambda percent: {r.doc_id: r.component_id for r in neardup.near_duplicates(d, percent=percent).collect()}
+    assert one(80) == {i: i - i % 2 if i < 1000 else i for i, _ in close + far}
+    assert all(a == b for a, b in one(85).items())
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, d, "").collect()}
+    assert kept == {i for i, _ in close + far if i >= 1000 or i % 2 == 0}
+
+
+def test_near_duplicates_at_080_equal_brute_force(docs, corpus):
+    texts = {d: brute.shingles(t) for d, t in random.Random(1).sample(corpus, len(corpus)) if d is not None}
+    want = {d: d for d in texts}
+    links = [(a, b) for a in texts for b in texts if a < b and texts[a] and 100 * len(texts[a] & texts[b]) >= 80 * len(texts[a] | texts[b])]
+    for _ in texts:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    out = neardup.near_duplicates(docs(corpus), percent=80).filter("doc_id is not null").collect()
+    assert {r.doc_id: r.component_id for r in out} == want
+
+
+def test_agreeing_coordinates():
+    assert (neardup.agreeing(85), neardup.agreeing(80)) == (40, 35)
