@@ -9,9 +9,10 @@ Lines (split at \\n) of at least MIN_TOKENS words get two templates:
 A template that occurs in MIN_DOCS documents or more recurs; its lines are dropped from
 all documents but the one with the smallest doc_id.
 
-Documents in which over half of the words are in lines to be dropped are copies of
-others rather than texts with recurring lines in them. They stay whole for the near-duplicate
-stage, unless ``spare_copies`` is off.
+A document is a copy if another one, the first of the lines' templates, holds the very lines
+that have 90 % of its words. Copies stay whole for the near-duplicate stage, unless
+``spare_copies`` is off; all others lose their recurring lines, however many. With ``verified``
+off, as in the query and its SQL, a document counts as a copy where over half of its words are in lines to be dropped.
 
 Defined cases
   * null text: no lines, and the text stays null; an empty line is a line, and is kept.
@@ -33,7 +34,7 @@ from lakeshelf.llm.common import SPACE_CLASS, read, release, stored, written
 from lakeshelf.operators.joins import maybe_broadcast
 
 MIN_TOKENS, DEPTH, LEAF_TOKENS = 4, 3, 6
-MIN_DOCS, SHARE, SIMILAR = 3, 0.5, 0.7
+MIN_DOCS, SHARE, SIMILAR, COPY_PERCENT = 3, 0.5, 0.7, 90
 ANY = "<*>"
 # Line numbers of documents are broadcast up to so many (40 bytes each at most), else joined by shuffle.
 MAX_BROADCAST_LINES = 1_000_000
@@ -50,11 +51,11 @@ def _exact(w: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """d, k (number of the line), words, exact (the line's own template), leaf, of each line that can have a template."""
+    """d, k (number of the line), raw (hash of the line), words, exact (the line's own template), leaf, of each line that can have a template."""
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").alias("d"), F.posexplode_outer(F.split("text", "\n")).alias("k", "line"))
-    rows = rows.select("d", "k", _masked_words(F.col("line")).alias("w"))
+    rows = rows.select("d", "k", F.xxhash64("line").alias("raw"), _masked_words(F.col("line")).alias("w"))
     leaf = F.when(F.size("w") >= LEAF_TOKENS, F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)))
-    rows = rows.select("d", "k", F.size("w").alias("words"), _exact(F.col("w")).alias("exact"), leaf.alias("leaf"))
+    rows = rows.select("d", "k", "raw", F.size("w").alias("words"), _exact(F.col("w")).alias("exact"), leaf.alias("leaf"))
     return rows.filter(F.col("words") >= MIN_TOKENS)
 
 
@@ -89,29 +90,34 @@ def _leaf_templates(docs: DataFrame, lines: DataFrame, min_docs: int) -> DataFra
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, line (number from 0), words: the lines whose template recurs, but for those of its first document."""
+    """doc_id, line (number from 0), words: the lines whose template recurs, but for those of its first document;
+    held_by: this first document, where the least of its lines by hash with the template is equal to the line."""
     lines = stored(_lines(docs), "lines")
     general = _leaf_templates(docs, lines, min_docs)
-    every = lines.select("d", "k", "words", F.col("exact").alias("template")).unionByName(
-        lines.join(general, F.col("exact") == F.col("e")).select("d", "k", "words", "template"))
+    every = lines.select("d", "k", "raw", "words", F.col("exact").alias("template")).unionByName(
+        lines.join(general, F.col("exact") == F.col("e")).select("d", "k", "raw", "words", "template"))
     every = stored(every, "templates")
-    found = (every.select("template", "d").distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("d").alias("first"))
-             .filter(F.col("docs") >= min_docs).select(F.col("template").alias("t"), "first"))
+    found = (every.groupBy("template", "d").agg(F.min("raw").alias("raw")).groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("d", "raw")).alias("first"))
+             .filter(F.col("docs") >= min_docs).select(F.col("template").alias("t"), F.col("first.d").alias("first"), F.col("first.raw").alias("first_raw")))
     again = every.join(stored(found, "recurring"), F.col("template") == F.col("t")).filter("d > first")
-    return again.groupBy("d", "k").agg(F.first("words").alias("words")).select(
-        F.col("d").alias("doc_id"), F.col("k").alias("line"), "words")
+    held = F.min(F.when(F.col("raw") == F.col("first_raw"), F.col("first")))
+    return again.groupBy("d", "k").agg(F.first("words").alias("words"), held.alias("held_by")).select(
+        F.col("d").alias("doc_id"), F.col("k").alias("line"), "words", "held_by")
 
 
-def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, spare_copies: bool = True) -> DataFrame:
+def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, spare_copies: bool = True, verified: bool = True) -> DataFrame:
     """``docs`` with its columns and the lines dropped from ``text``, and _n_lines, _n_removed (long)."""
     before = written()
-    drops = recurring_lines(docs, min_docs).groupBy("doc_id").agg(F.collect_list("line").alias("_drop"), F.sum("words").alias("_words"))
-    drops = stored(drops.select(F.col("doc_id").alias("_d"), "_drop", "_words"), "drops")
+    drops = recurring_lines(docs, min_docs).groupBy("doc_id", "held_by").agg(F.collect_list("line").alias("_drop"), F.sum("words").alias("_words"))
+    drops = drops.groupBy("doc_id").agg(F.flatten(F.collect_list("_drop")).alias("_drop"), F.sum("_words").alias("_words"),
+                                        F.max(F.when(F.col("held_by").isNotNull(), F.col("_words")).otherwise(0)).alias("_held"))
+    drops = stored(drops.select(F.col("doc_id").alias("_d"), "_drop", "_words", "_held"), "drops")
     release(docs.sparkSession, before, drops)
     small = (drops.agg(F.sum(F.size("_drop"))).first()[0] or 0) <= MAX_BROADCAST_LINES
     out = docs.join(maybe_broadcast(drops, small), F.col("doc_id") == F.col("_d"), "left")
     n_words = F.size(F.array_remove(F.split("text", SPACE_CLASS + "+"), ""))
-    use = F.col("_drop").isNotNull() & ((2 * F.col("_words") <= n_words) if spare_copies else F.lit(True))
+    copy = 100 * F.col("_held") >= COPY_PERCENT * n_words if verified else 2 * F.col("_words") > n_words
+    use = F.col("_drop").isNotNull() & (~copy if spare_copies else F.lit(True))
     out = out.withColumn("_drop", F.when(use, F.array_sort("_drop"))).withColumn("_all", F.split("text", "\n"))
     # The kept lines between two dropped ones are a slice each.
     n = F.size("_drop")
@@ -125,7 +131,7 @@ def without_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, spare_copies: b
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 (of the remaining text) for all documents."""
-    out = without_recurring(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = without_recurring(read(spark, sf_dir, "documents").select("doc_id", "text"), verified=False)  # as its SQL has it
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

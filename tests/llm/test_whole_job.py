@@ -7,7 +7,7 @@ import pytest
 
 import brute
 import corpus_pipeline
-from lakeshelf.llm import neardup, repair
+from lakeshelf.llm import lines, neardup, repair
 
 
 def most_frequent(seq, starts):
@@ -72,3 +72,12 @@ def test_near_duplicates_at_080_equal_brute_force(docs, corpus):
 
 def test_agreeing_coordinates():
     assert (neardup.agreeing(85), neardup.agreeing(80)) == (40, 35)
+
+
+def test_only_verified_copies_keep_recurring_lines(docs):
+    own = lambda i: " ".join(f"own{'abcdefghij'[i]}{'klmnopqrst'[k]}" for k in range(10))
+    notice = "\n".join(f"the notice {a * 3} that every page of the house carries" for a in "abc")
+    rows = [(i, f"{own(i)}\n{notice}") for i in range(6)]  # 30 of 40 words recur
+    rows += [(10 + i, rows[0][1]) for i in range(3)]
+    out = {r.doc_id: r.text for r in lines.without_recurring(docs(rows)).collect()}
+    assert out == {0: rows[0][1], **{i: own(i) for i in range(1, 6)}, **{10 + i: rows[0][1] for i in range(3)}}
