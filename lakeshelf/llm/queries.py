@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import chat, decontaminate, licenses, lines, neardup, pieces, quality, repair, substrings, suffixes
+from lakeshelf.llm import centroids, chat, decontaminate, licenses, linecrf, lines, neardup, periods, pieces, quality, repair, substrings, suffixes
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_suffixes": suffixes.op9_suffixes,
     "op10_lines": lines.op10_lines,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_linecrf": linecrf.op12_linecrf,
+    "op13_periods": periods.op13_periods,
 }
 
 ORACLE = {
@@ -22,4 +25,5 @@ ORACLE = {
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op8_chat": chat.OP8_SQL,
     "op10_lines": lines.OP10_SQL,
+    "op11_centroids": centroids.OP11_SQL,
 }

@@ -41,8 +41,8 @@ def shingles(text, n=5):
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def near(rows):
-    """op7: (doc_id, set size, component) of each (doc_id, text); ids are distinct or null."""
+def near(rows, percent=85):
+    """op7: (doc_id, set size, component) of each (doc_id, text), linked from ``percent`` similarity; ids are distinct or null."""
     sets = [(d, shingles(t)) for d, t in rows]
     up = {d: d for d, _ in sets if d is not None}
 
@@ -54,7 +54,7 @@ def near(rows):
     known = [(d, s) for d, s in sets if d is not None and s]
     for i, (a, s) in enumerate(known):
         for b, t in known[:i]:
-            if 100 * len(s & t) >= 85 * len(s | t):
+            if 100 * len(s & t) >= percent * len(s | t):
                 x, y = find(a), find(b)
                 up[max(x, y)] = min(x, y)
     return [(d, len(s), None if d is None else find(d)) for d, s in sets]

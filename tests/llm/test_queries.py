@@ -25,7 +25,7 @@ def test_against_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cur = con.execute(ORACLE[name])
@@ -109,7 +109,7 @@ def test_pipeline_against_the_operators(spark):
     keep = {r.doc_id for r in quality.judged(docs).filter("kept").collect()}
     docs = spark.createDataFrame(docs.filter(docs.doc_id.isin(list(keep))).collect(), docs.schema)
     text = {r.doc_id: r.text for r in lines.without_recurring(docs).collect()}
-    near = {d for d, _, c in brute.near(sorted(text.items())) if d == c}
+    near = {d for d, _, c in brute.near(sorted(text.items()), 80) if d == c}
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     leaks = {d for d, _ in brute.leaks([(d, text[d]) for d in near], items)}
     sp = pieces.PieceEncoder(pieces.default_model()).library
@@ -123,5 +123,5 @@ def test_no_query_is_missing():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {"pipeline"} | set(QUERIES) <= names and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {"pipeline"} | set(QUERIES) <= names and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert os.path.exists(corpus_pipeline.__file__) and decontaminate and neardup
