@@ -653,6 +653,20 @@ SELECT * FROM s UNION ALL SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custk
 ORACLE["compact_table"] = "SELECT o_orderkey, o_custkey, o_orderstatus, 'p' || (o_orderkey % 3) AS part FROM orders"
 
 
+_STATUS_TOTALS = "SELECT '{name}' AS reader, o_orderstatus, count(*) AS n, cast(sum({f} * cast(o_totalprice as decimal(18,2))) as double) AS total, 0 AS torn FROM orders WHERE {w} GROUP BY o_orderstatus"
+ORACLE["published_swap"] = " UNION ALL ".join([
+    _STATUS_TOTALS.format(name="before", f=1, w="true"),
+    _STATUS_TOTALS.format(name="between", f=2, w="o_orderkey % 3 > 0"),
+    _STATUS_TOTALS.format(name="after", f=2, w="o_orderkey % 3 > 0 AND o_orderstatus <> 'O'"),
+    _STATUS_TOTALS.format(name="after", f=1, w="o_orderstatus = 'O'"),
+])
+
+
+ORACLE["compact_curve"] = """
+SELECT strftime(cast(l_shipdate as date), '%Y-%m-%d') AS ship_date, count(*) AS n, cast(sum(l_suppkey) as bigint) AS suppliers,
+ true AS ship_date_skips, true AS "l_suppkey_skips" FROM lineitem GROUP BY 1"""
+
+
 ORACLE["gold_write"] = f"""
 SELECT year_month, CASE WHEN year_month >= '1998-01' THEN 'run-2' ELSE 'run-1' END AS pipeline_run_id, count(*) AS n,
  cast(sum(units_sold) as bigint) AS units_sold, count(*) AS stamped FROM ({ORACLE["fact_demand_trends"]}) GROUP BY year_month"""

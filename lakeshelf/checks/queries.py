@@ -4,6 +4,7 @@ operators. ``oracle.py`` holds the DuckDB text for the same results."""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,6 +19,7 @@ from lakeshelf.operators.joins import fits, maybe_broadcast
 from lakeshelf.plans import dims, facts, late, silver
 from lakeshelf.sinks import writers
 from lakeshelf.session import materialize, scratch_path
+from lakeshelf.sinks.published import publish, read_published
 from lakeshelf.sources import files, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +270,21 @@ def q_table_stream_upsert(spark, d):
         F.count("*").alias("n"), F.count_distinct("transaction_id").alias("n_keys"))
 
 
+def q_compact_curve(spark, d):
+    """B7 on several columns: a published table clustered along a Z-curve. Its rows, and whether a look-up on either column
+    has to open less than half of the files (by their least and greatest values)."""
+    path = scratch_path(spark, "lines_curve")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.to_date("l_shipdate").cast("string").alias("ship_date"))
+    n = publish(spark, li.repartition(8), path).number + li.count()
+    writers.compact(spark, path, [], ["ship_date", "l_suppkey"], max(1, n // 32))
+    rows = read_published(spark, path)
+    middle = {c: rows.agg(F.median(c).cast("long")).first()[0] if c == "l_suppkey" else rows.agg(F.min(c)).first()[0] for c in ("ship_date", "l_suppkey")}
+    span = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(*[f(c).alias(f"{f.__name__}_{c}") for c in middle for f in (F.min, F.max)])
+    opened = span.agg(*[F.avg(F.lit(v).between(F.col(f"min_{c}"), F.col(f"max_{c}")).cast("int")).alias(c) for c, v in middle.items()]).first()
+    return rows.groupBy("ship_date").agg(F.count("*").alias("n"), F.sum("l_suppkey").alias("suppliers")).withColumns(
+        {f"{c}_skips": F.lit(opened[c] < 0.5) for c in middle})
+
+
 def q_write_state_partitions(spark, d):
     """B4 + E2 through a real table partitioned by a column with NULLs: customers change their tier (and so
     their partition), lose it, or arrive; the table read back equals the merged state."""
@@ -283,6 +300,37 @@ def q_write_state_partitions(spark, d):
     return spark.read.schema(batch.schema).parquet(path)
 
 
+def q_published_swap(spark, d):
+    """B3 + B5: a table partitioned by status is replaced as a whole and then in one partition, while readers go on. Rows and
+    totals by status as seen by a reader that opened it before, by one between, and by one after; ``torn`` counts reads taken
+    during the writes that were none of the three states."""
+    path = scratch_path(spark, "orders_published")
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderstatus")
+    total = lambda df: df.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("price").cast("double").alias("total"))
+    seen = lambda df: {tuple(r) for r in total(df).collect()}  # noqa: E731  a row per status
+    publish(spark, orders, path, ["o_orderstatus"])
+    readers = {"before": read_published(spark, path)}
+    states, reads, ended = [seen(readers["before"])], [], threading.Event()
+
+    def keep_reading() -> None:
+        while not ended.is_set():
+            reads.append(seen(read_published(spark, path)))
+
+    reader = threading.Thread(target=keep_reading)
+    reader.start()
+    try:
+        publish(spark, orders.filter("o_orderkey % 3 > 0").withColumn("price", (F.col("price") * 2).cast("decimal(18,2)")), path, ["o_orderstatus"])
+        readers["between"] = read_published(spark, path)
+        publish(spark, orders.filter("o_orderstatus = 'O'"), path, ["o_orderstatus"], "partitions")
+        readers["after"] = read_published(spark, path)
+    finally:
+        ended.set()
+        reader.join()
+    states += [seen(readers["between"]), seen(readers["after"])]
+    torn = sum(r not in states for r in reads)
+    return reduce(DataFrame.unionByName, [total(df).select(F.lit(name).alias("reader"), "*", F.lit(torn).alias("torn")) for name, df in readers.items()])
+
+
 def q_compact_table(spark, d):
     """Two partitions of a table are compacted in place, clustered on a column of few values; all rows stay."""
     path = scratch_path(spark, "orders")
@@ -408,7 +456,7 @@ def q_customer_job(spark, d):
         load.write.mode("append").parquet(bronze)
         incremental_job(spark, "silver_customers", spark.read.parquet(bronze), target, like,
                         lambda state, inc: silver.apply_customers(state, inc), log)
-    return spark.read.parquet(target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
+    return read_published(spark, target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
 
 
 def q_merge_metrics(spark, d):
@@ -553,7 +601,7 @@ def q_gold_write(spark, d):
     fact = materialize(facts.fact_demand_trends(daily_fact(spark, d)))
     write_gold(spark, fact, "gold.fact_demand_trends", path, "run-1", ["year_month"])
     write_gold(spark, fact.filter(F.col("year_month") >= "1998-01"), "gold.fact_demand_trends", path, "run-2", ["year_month"], only_partitions=True)
-    return spark.read.parquet(path).groupBy("year_month", "pipeline_run_id").agg(
+    return read_published(spark, path).groupBy("year_month", "pipeline_run_id").agg(
         F.count("*").alias("n"), F.sum("units_sold").alias("units_sold"), F.count("_gold_processed_at").alias("stamped"))
 
 

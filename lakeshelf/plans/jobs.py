@@ -19,10 +19,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeshelf import runlog
-from lakeshelf.sinks.tables import read_or_empty, write_state
-from lakeshelf.sources.files import high_water_mark, read_since
+from lakeshelf.session import materialize
+from lakeshelf.sinks.published import current
+from lakeshelf.sinks.tables import counted, numbers, read_or_empty, write_state
+from lakeshelf.sources.files import mark_column, read_since
 
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -42,15 +45,17 @@ def incremental_job(
     run_id = runlog.start(spark, runlog_path, pipeline, target=target_path)
     try:
         mark = runlog.watermark(spark, runlog_path, pipeline)
-        increment = read_since(source, ts_col, mark)
-        new_mark = high_water_mark(increment, ts_col)
+        seen_rows, seen = counted(read_since(source, ts_col, mark), rows=F.count("*"), mark=mark_column(source, ts_col))
+        increment = materialize(seen_rows)  # one read of the source: rows, their number and the new mark
+        read = numbers(seen)
+        rows_read, new_mark = read.get("rows", 0), read.get("mark")
         if new_mark is None:  # nothing new: success with nothing written
             runlog.finish(spark, runlog_path, run_id, pipeline, "SUCCESS", rows_read=0, rows_written=0,
                           watermark=mark)
             return {"run_id": run_id, "status": "SUCCESS", "rows_read": 0, "counts": {}}
-        state = read_or_empty(spark, target_path, target_like)
-        counts = write_state(spark, apply(state, increment), target_path, partition_by)
-        rows_read = increment.count()
+        base = current(spark, target_path)
+        state = read_or_empty(spark, target_path, target_like, base)
+        counts = write_state(spark, apply(state, increment), target_path, partition_by, base)
         written = sum(v for k, v in counts.items() if k in ("insert", "update", "delete", "close"))
         runlog.finish(spark, runlog_path, run_id, pipeline, "SUCCESS", rows_read=rows_read, rows_written=written,
                       watermark=new_mark, extra=counts)

@@ -4,11 +4,12 @@ checkpoint locations, schema never evolved silently)."""
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -106,37 +107,24 @@ def foreach_batch(
     return w.start()
 
 
-# Clustering columns per table (None: compaction only, for
-# dimensions and tables too small to profit from clustering).
-CLUSTER_COLUMNS = {
-    "bronze_pos_transactions": ["store_id", "product_id"],
-    "bronze_warehouse_inventory": ["product_id"],
-    "bronze_store_inventory": ["store_id", "product_id"],
-    "bronze_purchase_orders": ["supplier_id", "product_id"],
-    "bronze_customers": None,
-    "bronze_product_master": None,
-    "bronze_store_master": None,
-    "bronze_supplier_master": None,
-    "silver_pos_transactions": ["store_id", "product_id"],
-    "silver_warehouse_inventory": ["product_id"],
-    "silver_store_inventory": ["store_id", "product_id"],
-    "silver_purchase_orders": ["supplier_id", "product_id"],
-    "silver_customers": ["loyalty_tier"],
-    "silver_product_master": ["category", "supplier_id"],
-    "silver_store_master": None,
-    "silver_supplier_master": None,
-    "gold_fact_inventory_full": ["store_id", "product_id"],
-    "gold_fact_inventory_kpis": ["store_id", "product_id"],
-    "gold_fact_demand_trends": ["store_id", "product_id"],
-    "gold_fact_daily_inventory": ["store_id", "product_id"],
-    "gold_fact_customer_sales": ["store_id", "customer_id"],
-    "gold_fact_supplier_performance": None,
-    "gold_dim_product": None,
-    "gold_dim_store": None,
-    "gold_dim_supplier": None,
-    "gold_dim_customer": None,
-    "pipeline_audit": None,
-}
+# Boundaries of each clustering column: 2 ** CURVE_BITS ranges, from a sample of so many rows (as Spark's own range
+# partitioner takes one). They only decide which rows lie together.
+CURVE_BITS, CURVE_SAMPLE = 6, 20_000
+
+
+def curve_key(df: DataFrame, columns: Sequence[str], n_rows: int) -> Column:
+    """A number that orders rows along a Z-curve through the ranks of ``columns``: rows that are near in every one of
+    them are near in it, so files cut from that order are narrow in each column, not only in the first."""
+    few = df.select(*columns).sample(fraction=min(1.0, CURVE_SAMPLE / max(1, n_rows)), seed=7).limit(2 * CURVE_SAMPLE)
+    few = few.agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in columns]).first()
+    key = F.lit(0).cast("long")
+    for place, c in enumerate(columns):
+        values, ranges = few[c], 1 << CURVE_BITS
+        bounds = sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
+        rank = reduce(add, [F.coalesce(F.col(c) >= F.lit(b), F.lit(False)).cast("long") for b in bounds], F.lit(0).cast("long"))
+        for bit in range(CURVE_BITS):
+            key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + place)
+    return key
 
 
 def compact(
@@ -148,16 +136,20 @@ def compact(
     partitions: DataFrame | None = None,
     out_path: str | None = None,
 ) -> dict:
-    """Rewrite partitions as few files, rows range-clustered on ``cluster_by``
-    (Parquet min/max statistics then skip files on those columns). A hash of the row comes last in
+    """Rewrite partitions as few files, rows clustered on ``cluster_by`` (Parquet min/max statistics then skip files on
+    those columns): in their order for one column, along a Z-curve through their ranks for several. A hash of the row comes last in
     the range key, so equal cluster values (a column of four tiers, one date) still split into several files.
 
-    All partitions: written to ``out_path`` (default: a sibling folder), which a
+    A published table gets a new version, all of it or ``partitions`` only; a change of these partitions meanwhile is a
+    ``ConcurrentWrite`` and nothing is lost. A plain one is written whole to ``out_path`` (default: a sibling folder), which a
     reader then switches to. With ``partitions``, the new files of those are first written
     to the shared checkpoint folder and then replace the old ones in the table itself (dynamic
     partition overwrite), so the table stays complete. Returns ``{"path", "files_removed", "files_added"}``.
     """
-    df = spark.read.parquet(path)
+    from lakeshelf.sinks.published import current, publish, read_published
+
+    at = current(spark, path)
+    df = read_published(spark, path, at) if at is not None else spark.read.parquet(path)
     if partitions is not None:
         chosen = partitions.select(*[F.col(c).alias(f"__c_{c}") for c in partition_by]).distinct()
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__c_{c}")) for c in partition_by])
@@ -165,28 +157,35 @@ def compact(
     files = F.count_distinct(F.col("_metadata.file_path")).alias("f")
     before = df.agg(files, F.count("*").alias("n")).first()
     n_files = max(1, -(-before["n"] // max(1, target_rows_per_file)))
-    order = [F.col(c) for c in (*partition_by, *(cluster_by or []))]
+    cluster = list(cluster_by or [])
     spread = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
-    laid_out = df.repartitionByRange(n_files, *order, spread).sortWithinPartitions(*order) if order else df.repartition(n_files)
+    if len(cluster) > 1:
+        df, cluster = df.withColumn("__curve", curve_key(df, cluster, before["n"])), ["__curve"]
+    order = [F.col(c) for c in (*partition_by, *cluster)]
+    columns = [c for c in df.columns if c != "__curve"]
+    lay_out = lambda x: (x.repartitionByRange(n_files, *order, spread).sortWithinPartitions(*order) if order else x.repartition(n_files))
+    if at is not None:
+        state = publish(spark, lay_out(df).select(*columns), path, partition_by, "replace" if partitions is None else "partitions", at, laid_out=True)
+        now = read_published(spark, path, dataclasses.replace(state, folders=tuple(f for f in state.folders if f not in at.folders)))
+        return {"path": path, "files_removed": before["f"], "files_added": now.agg(files).first()["f"]}
     dest = path if partitions is not None else out_path or path.rstrip("/") + "__compacted"
     first = scratch_path(spark, "compacted") if partitions is not None else dest
+    laid_out = lay_out(df) if partitions is not None else lay_out(df).select(*columns)
     w = laid_out.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(first)
     if partitions is not None:
-        again = spark.read.schema(df.schema).parquet(first).repartitionByRange(n_files, *order, spread).sortWithinPartitions(*order)
+        again = lay_out(spark.read.schema(df.schema).parquet(first)).select(*columns)
         again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     added = spark.read.schema(df.schema).parquet(first).agg(files).first()["f"]
     return {"path": dest, "files_removed": before["f"], "files_added": added}
 
 
-def maintain(spark: SparkSession, tables: dict[str, tuple[str, Sequence[str]]], target_rows_per_file: int) -> dict:
-    """Compact every table ``name -> (path, partition columns)`` with its clustering
-    columns from ``CLUSTER_COLUMNS``; one failing table does not stop the others."""
+def maintain(spark: SparkSession, tables: dict[str, tuple], target_rows_per_file: int) -> dict:
+    """Compact every table ``name -> (path, partition columns[, clustering columns])``; one failing table does not stop the others."""
     out = {}
-    for name, (path, parts) in tables.items():
+    for name, (path, parts, *cluster) in tables.items():
         try:
-            out[name] = {"status": "SUCCESS", **compact(spark, path, parts, CLUSTER_COLUMNS.get(name),
-                                                        target_rows_per_file)}
+            out[name] = {"status": "SUCCESS", **compact(spark, path, parts, cluster[0] if cluster else None, target_rows_per_file)}
         except Exception as e:  # noqa: BLE001 - reported per table
             out[name] = {"status": "FAILED", "error": str(e)}
     return out

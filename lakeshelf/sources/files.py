@@ -65,16 +65,18 @@ def read_since(df: DataFrame, ts_col: str, mark: int | None) -> DataFrame:
     return df.filter(F.col(ts_col) > at)
 
 
+def mark_column(df: DataFrame, ts_col: str) -> Column:
+    """The largest load time in microseconds since 1970-01-01, as an aggregate."""
+    if _is_wall_clock(df, ts_col):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.max(ts_col))
+    return F.unix_micros(F.max(ts_col))
+
+
 def high_water_mark(df: DataFrame, ts_col: str) -> int | None:
     """The largest load time actually read, in microseconds since 1970-01-01 (a
     single aggregated value), to be stored as the next run's mark. Using the data's own maximum, not the run's
     clock, means rows that land while a run is in flight are not skipped."""
-    m = F.max(ts_col)
-    if _is_wall_clock(df, ts_col):
-        m = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), m)
-    else:
-        m = F.unix_micros(m)
-    return df.agg(m.alias("m")).first()["m"]
+    return df.agg(mark_column(df, ts_col).alias("m")).first()["m"]
 
 
 def with_lineage(df: DataFrame, run_id: str, date_column: bool = True) -> DataFrame:

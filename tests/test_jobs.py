@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakeshelf import runlog
 from lakeshelf.plans import silver
 from lakeshelf.plans.jobs import incremental_job
+from lakeshelf.sinks.published import read_published
 
 CUST = "customer_id string, age_group string, gender string, zip_code string, loyalty_tier string, " \
        "first_purchase_date string, total_spend double, preferred_categories string, ingested_at timestamp"
@@ -38,7 +39,7 @@ def test_incremental_customer_job(spark, tmp_dir):
                   ("C3", "41-60", "F", "3", "bronze", "2021-01-01", 5.0, "[]", t2)]).write.mode("append").parquet(bronze)
     r3 = run()
     assert r3["rows_read"] == 2 and r3["counts"].get("update") == 1 and r3["counts"].get("insert") == 1
-    final = {r["customer_id"]: r["loyalty_tier"] for r in spark.read.parquet(target).collect()}
+    final = {r["customer_id"]: r["loyalty_tier"] for r in read_published(spark, target).collect()}
     assert final == {"C1": "Platinum", "C2": "Silver", "C3": "Bronze"}
     assert runlog.watermark(spark, log, "silver_customers") == int(t2.timestamp()) * 1_000_000
     states = runlog.run_states(spark.read.parquet(log)).filter(F.col("status") == "SUCCESS").count()

@@ -13,7 +13,8 @@ from lakeshelf.functions.columns import row_hash
 from lakeshelf.operators import changes
 from lakeshelf.plans import late
 from lakeshelf.sinks import writers
-from lakeshelf.sinks.tables import replace_table, table_exists, write_state
+from lakeshelf.sinks.published import read_published
+from lakeshelf.sinks.tables import write_state
 from lakeshelf.sources.files import high_water_mark, read_since
 from lakeshelf.streaming import ingest
 
@@ -39,15 +40,6 @@ def test_write_state_keeps_null_partitions_and_moves_rows(spark, tmp_dir):
     assert [r[0] for r in _rows(spark, path)] == [1, 2, 4] and not glob.glob(f"{path}/d=__HIVE*/*.parquet")
 
 
-def test_replace_table_recovers_a_broken_swap(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "t")
-    replace_table(spark, spark.range(3), path)
-    replace_table(spark, spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_dir) == ["t"]
-    os.rename(path, path + "__old")  # as after a crash between the renames
-    assert table_exists(spark, path) and spark.read.parquet(path).count() == 5
-
-
 @pytest.mark.parametrize("kind", ["bytes", "tiers"])
 def test_compact_some_partitions_keeps_the_table_whole(spark, tmp_dir, kind):
     path = os.path.join(tmp_dir, "t")
@@ -143,7 +135,7 @@ def test_write_gold_adds_audit_columns_and_sets_rows_aside(spark, tmp_dir):
     assert [r["null_columns"] for r in spark.read.parquet(path + "__rejected").collect()] == [["product_id"]]
     day = df.filter("units_sold = 3").withColumn("units_sold", F.lit(9))
     assert write_gold(spark, day, "gold.fact_inventory_kpis", path, "r2", ["snapshot_date"], only_partitions=True) == 0
-    rows = spark.read.parquet(path)
+    rows = read_published(spark, path)
     assert sorted((r["units_sold"], r["pipeline_run_id"]) for r in rows.collect()) == [(1, "r1"), (9, "r2")]
     assert rows.filter("_gold_processed_at is null").count() == 0
     with pytest.raises(ValueError, match="supplier_id"):
