@@ -628,6 +628,10 @@ DAILY_SALES = ("SELECT cast(transaction_ts as date) AS transaction_date, store_i
                "cast(sum(quantity) as bigint) AS units_sold, cast(sum(total_amount) as double) AS revenue, "
                "count(*) AS transaction_count FROM s_pos GROUP BY 1, 2, 3")
 ORACLE["late_dates"] = build(DAILY_SALES, ["s_pos"])
+_ROLLED = """SELECT *, round(avg(units_sold) OVER ({a}), 2) AS avg_units_7d, round(avg(units_sold) OVER ({b}), 2) AS avg_units_90d,
+ cast(sum(units_sold) OVER ({c}) as bigint) AS units_30d FROM ds"""
+ORACLE["late_dates_rolling"] = build(_ROLLED.format(a=WT[7], b=WT[90], c=WT[30]), ["s_pos"], [("ds", DAILY_SALES)])
+ORACLE["late_dates_rolling_days"] = build(_ROLLED.format(a=RANGE.format(n=6), b=RANGE.format(n=89), c=RANGE.format(n=29)), ["s_pos"], [("ds", DAILY_SALES)])
 ORACLE["partition_overwrite"] = build(DAILY_SALES, ["s_pos"])
 ORACLE["run_log_latest"] = build("""
 SELECT 'pos-' || cast(load_day as varchar) AS run_id, 'silver_pos' AS pipeline_name, 'SUCCESS' AS status,

@@ -670,6 +670,36 @@ def q_late_dates(spark, d):
     return late.recompute_partitions(_daily_sales(before), now, touched, "transaction_date", _daily_sales)
 
 
+ROLLED = {"avg_units_7d": ("avg", "units_sold", 7), "avg_units_90d": ("avg", "units_sold", 90), "units_30d": ("sum", "units_sold", 30)}
+
+
+def _late_rolling(spark, d, frame: str):
+    """A published fact with trailing frames, built before the late increment and patched by it."""
+    before, now, increment = late_inputs(spark, d)
+    build = lambda daily: windows.rolling(daily, facts.SERIES, "transaction_date", ROLLED, frame)
+    month = F.date_format("transaction_date", "yyyy-MM").alias("year_month")
+    path = scratch_path(spark, "rolling_fact")
+    daily = materialize(_daily_sales(before))
+    publish(spark, build(daily).select("*", month), path, ["year_month"])
+    touched = materialize(late.touched_days(before, increment, ["transaction_id"], facts.SERIES, "transaction_date"))
+    daily = materialize(late.recompute_groups(daily, now, touched, [*facts.SERIES, "transaction_date"], _daily_sales))
+    patch = late.rolling_patch(daily, touched, facts.SERIES, "transaction_date", 90, build, frame)
+    patch.rows = patch.rows.select("*", month)
+    late.publish_patch(spark, path, patch, ["year_month"], patch.keys.select(month))
+    return read_published(spark, path).drop("year_month")
+
+
+def q_late_dates_rolling(spark, d):
+    """J5 for trailing frames of rows: late rows change the next 7, 30 and 90 observed rows of their series, and only the
+    months that hold those are written; the result equals a full rebuild."""
+    return _late_rolling(spark, d, "rows")
+
+
+def q_late_dates_rolling_days(spark, d):
+    """The same for frames of calendar days."""
+    return _late_rolling(spark, d, "days")
+
+
 def q_partition_overwrite(spark, d):
     """B4 through a real table: write the first result partitioned by month,
     overwrite only the months holding touched dates, read the table back.
