@@ -666,6 +666,11 @@ ORACLE["published_swap"] = " UNION ALL ".join([
 ])
 
 
+ORACLE["crossed_commits"] = ORACLE["customer_job"]
+ORACLE["stream_upsert_indexed"] = f"""
+SELECT source_system, substr(transaction_date, 1, 7) AS month, count(*) AS n, count(*) AS n_keys FROM ({ORACLE["merge_insert_only"]}) GROUP BY ALL"""
+
+
 ORACLE["compact_curve"] = """
 SELECT strftime(cast(l_shipdate as date), '%Y-%m-%d') AS ship_date, count(*) AS n, cast(sum(l_suppkey) as bigint) AS suppliers,
  true AS ship_date_skips, true AS "l_suppkey_skips" FROM lineitem GROUP BY 1"""

@@ -300,6 +300,26 @@ def q_write_state_partitions(spark, d):
     return spark.read.schema(batch.schema).parquet(path)
 
 
+def q_stream_upsert_indexed(spark, d):
+    """E1 + J4 through the key index: a part of the raw table as a stream, then all of it, that part included, from a fresh
+    checkpoint. Rows and keys by source and month."""
+    from lakeshelf.streaming.ingest import silver_pos_batch, silver_pos_stream
+
+    bronze, target, index = (scratch_path(spark, n) for n in ("i_bronze", "i_silver", "i_keys"))
+    stream = _bronze_pos(fixture(spark, d, "fx_pos_stream"))
+    early = stream.filter(F.col("ingested_at") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    early.write.parquet(bronze)
+
+    def run() -> None:
+        silver_pos_stream(spark, bronze, stream.schema, target, scratch_path(spark, "i_ckpt"), partition_by=(), index_path=index, buckets=16).awaitTermination()
+
+    run()
+    stream.write.mode("append").parquet(bronze)  # the early rows once more, and all others
+    run()
+    return spark.read.parquet(target).groupBy("source_system", F.substring("transaction_date", 1, 7).alias("month")).agg(
+        F.count("*").alias("n"), F.count_distinct("transaction_id").alias("n_keys"))
+
+
 def q_published_swap(spark, d):
     """B3 + B5: a table partitioned by status is replaced as a whole and then in one partition, while readers go on. Rows and
     totals by status as seen by a reader that opened it before, by one between, and by one after; ``torn`` counts reads taken
@@ -459,6 +479,23 @@ def q_customer_job(spark, d):
     return read_published(spark, target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
 
 
+def q_crossed_commits(spark, d):
+    """A6 + B6 by files seen: the second load is stamped a month before the first but committed after the first run; it is
+    merged all the same, and a third run finds nothing."""
+    from lakeshelf.plans.jobs import file_progress_job
+
+    bronze, target, log, ckpt = (scratch_path(spark, n) for n in ("cross_bronze", "cross_silver", "cross_runlog", "cross_ckpt"))
+    like = silver.clean_customers(fixture(spark, d, "fx_customer").limit(0).withColumn("ingested_at", F.lit(None).cast("timestamp")))
+    for name, stamped in (("fx_customer_target", NOW_2), ("fx_customer_source", NOW_1), (None, None)):
+        if name:
+            load = fixture(spark, d, name).withColumn("ingested_at", F.lit(stamped).cast("timestamp"))
+            load.write.mode("append").parquet(bronze)
+        ran = file_progress_job(spark, "silver_customers", bronze, load.schema, target, like, silver.apply_customers, log, ckpt)
+        if bool(name) != bool(ran):
+            raise AssertionError(f"{name}: {ran}")
+    return read_published(spark, target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
+
+
 def q_merge_metrics(spark, d):
     return changes.change_metrics(merged_customers(spark, d))
 

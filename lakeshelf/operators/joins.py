@@ -14,6 +14,8 @@ row width, so wide sides get a smaller row bound. Beyond the bound the join is l
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,12 @@ def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def null_safe_semi(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Semi or anti join in which NULL equals NULL; ``keys`` is broadcast if it is proven small."""
+    other = keys.select(*[F.col(c).alias(f"__o_{c}") for c in on])
+    return df.join(maybe_broadcast(other, fits(other)), reduce(and_, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in on]), how)
+
+
 def join_dim(
     fact: DataFrame,
     dim: DataFrame,

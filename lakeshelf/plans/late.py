@@ -26,32 +26,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.joins import fits, maybe_broadcast
+from lakeshelf.operators.joins import null_safe_semi
 from lakeshelf.session import materialize
 from lakeshelf.sinks.published import Pointer, current, publish, read_published
 from lakeshelf.sinks.tables import partition_folder
 
 
-def _null_safe(df: DataFrame, other: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join in which NULL equals NULL: rows without a date are a partition too."""
-    other = other.select(*[F.col(c).alias(f"__o_{c}") for c in cols])
-    other = maybe_broadcast(other, fits(other))
-    return df.join(other, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in cols]), how)
-
-
 def touched_partitions(previous_rows: DataFrame, increment: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
     """Distinct partition values affected by ``increment``."""
     keys = list(keys)
     inc_keys = increment.select(*keys).distinct()
     # An increment is usually small: broadcast its keys (size-checked) so the
     # previous rows are only scanned, not shuffled.
-    moved_from = _null_safe(previous_rows, inc_keys, keys, "left_semi").select(part_col)
+    moved_from = null_safe_semi(previous_rows, inc_keys, keys, "left_semi").select(part_col)
     return increment.select(part_col).union(moved_from).distinct()
 
 
@@ -65,8 +56,8 @@ def recompute_partitions(
     """The result after the increment: untouched partitions of ``previous_result``
     plus ``build`` over the current rows of the touched partitions."""
     t = touched.select(part_col).distinct()
-    kept = _null_safe(previous_result, t, [part_col], "left_anti")
-    redo = build(_null_safe(current_rows, t, [part_col], "left_semi"))
+    kept = null_safe_semi(previous_result, t, [part_col], "left_anti")
+    redo = build(null_safe_semi(current_rows, t, [part_col], "left_semi"))
     return kept.unionByName(redo)
 
 
@@ -76,15 +67,15 @@ def recompute_partitions(
 def touched_days(previous_rows: DataFrame, increment: DataFrame, keys: Sequence[str], series: Sequence[str], date_col: str) -> DataFrame:
     """Distinct (series, day) pairs that ``increment`` changes: where its rows lie, and where earlier versions of their keys lay."""
     cols = [*series, date_col]
-    moved_from = _null_safe(previous_rows, increment.select(*keys).distinct(), list(keys), "left_semi").select(*cols)
+    moved_from = null_safe_semi(previous_rows, increment.select(*keys).distinct(), list(keys), "left_semi").select(*cols)
     return increment.select(*cols).union(moved_from).distinct()
 
 
 def recompute_groups(previous_result: DataFrame, current_rows: DataFrame, touched: DataFrame, cols: Sequence[str],
                      build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``recompute_partitions`` for groups of several columns."""
-    redo = build(_null_safe(current_rows, touched, cols, "left_semi"))
-    return _null_safe(previous_result, touched, cols, "left_anti").unionByName(redo)
+    redo = build(null_safe_semi(current_rows, touched, cols, "left_semi"))
+    return null_safe_semi(previous_result, touched, cols, "left_anti").unionByName(redo)
 
 
 @dataclass
@@ -95,7 +86,7 @@ class Patch:
     keys: DataFrame
 
     def applied(self, previous: DataFrame) -> DataFrame:
-        return _null_safe(previous, self.keys, self.keys.columns, "left_anti").unionByName(self.rows)
+        return null_safe_semi(previous, self.keys, self.keys.columns, "left_anti").unionByName(self.rows)
 
 
 def _reached(daily: DataFrame, touched: DataFrame, series: Sequence[str], date_col: str, n: int, frame: str) -> DataFrame:
@@ -105,7 +96,7 @@ def _reached(daily: DataFrame, touched: DataFrame, series: Sequence[str], date_c
     own day has a row (that row itself); with day frames, the n - 1 days after it.
     """
     mark = "__mark"
-    rows = _null_safe(daily, touched.select(*series).distinct(), list(series), "left_semi").withColumn(mark, F.lit(False))
+    rows = null_safe_semi(daily, touched.select(*series).distinct(), list(series), "left_semi").withColumn(mark, F.lit(False))
     marks = touched.select(*series, date_col).distinct().withColumn(mark, F.lit(True))
     events = rows.unionByName(marks, allowMissingColumns=True)
     order = Window.partitionBy(*series).orderBy(date_col, F.col(mark).desc())
@@ -144,7 +135,7 @@ def rolling_patch(daily: DataFrame, touched: DataFrame, series: Sequence[str], d
     rows = build(reached.drop("__reached"))
     changed = changed.withColumn(day, F.col(day).cast(rows.schema[day].dataType))
     gone = touched.select(*series, F.col(date_col).cast(rows.schema[day].dataType).alias(day))
-    return Patch(materialize(_null_safe(rows, changed, keys, "left_semi")), changed.union(gone).distinct())
+    return Patch(materialize(null_safe_semi(rows, changed, keys, "left_semi")), changed.union(gone).distinct())
 
 
 def publish_patch(spark: SparkSession, path: str, patch: Patch, partition_by: Sequence[str], partitions: DataFrame,
@@ -154,7 +145,7 @@ def publish_patch(spark: SparkSession, path: str, patch: Patch, partition_by: Se
     at = base or current(spark, path)
     parts = list(partition_by)
     touched = materialize(partitions.select(*parts).distinct())
-    now = materialize(patch.applied(_null_safe(read_published(spark, path, at), touched, parts, "left_semi")))
-    emptied = _null_safe(touched, now.select(*parts).distinct(), parts, "left_anti")
+    now = materialize(patch.applied(null_safe_semi(read_published(spark, path, at), touched, parts, "left_semi")))
+    emptied = null_safe_semi(touched, now.select(*parts).distinct(), parts, "left_anti")
     drop = [partition_folder(spark, r.asDict()) for r in emptied.toLocalIterator()]  # partitions, one after the other
     return publish(spark, now, path, parts, "partitions", at, drop)

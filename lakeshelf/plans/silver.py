@@ -144,10 +144,13 @@ def dedup_pos(df: DataFrame) -> DataFrame:
     return dedup.first_per_key(df, ["transaction_id"], order)
 
 
+def pos_stream_rows(bronze: DataFrame) -> DataFrame:
+    return bronze.filter(F.col("_source") == POS_STREAM_TAG)
+
+
 def apply_pos_stream(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "timestamp", **kw) -> DataFrame:
     """Stream-tagged rows, cleaned, deduplicated, inserted if absent (idempotent on replay)."""
-    rows = bronze_batch.filter(F.col("_source") == POS_STREAM_TAG)
-    return changes.upsert(state, dedup_pos(clean_pos(rows, POS_STREAM_TAG, ts_col)), ["transaction_id"], **kw)
+    return changes.upsert(state, dedup_pos(clean_pos(pos_stream_rows(bronze_batch), POS_STREAM_TAG, ts_col)), ["transaction_id"], **kw)
 
 
 def apply_pos_batch(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "timestamp", **kw) -> DataFrame:

@@ -60,9 +60,10 @@ def _drop_partition(spark: SparkSession, path: str, values: dict) -> None:
         fs.delete(p, True)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), base: Pointer | None = None) -> Pointer:
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), base: Pointer | None = None,
+                  tag: tuple[str, int] | None = None) -> Pointer:
     """``df`` becomes the table, in one step for its readers (``read_published``)."""
-    return publish(spark, df, path, partition_by, "replace", base)
+    return publish(spark, df, path, partition_by, "replace", base, tag=tag)
 
 
 def counted(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
@@ -97,11 +98,12 @@ def _digest(df: DataFrame, parts: Sequence[str], prefix: str, *more: str) -> Dat
     return df.groupBy(*parts, *more).agg(F.count("*").alias(prefix + "n"), F.sum(h.cast("decimal(38,0)")).alias(prefix + "h"))
 
 
-def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by: Sequence[str] = (), base: Pointer | None = None) -> dict:
+def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by: Sequence[str] = (), base: Pointer | None = None,
+                tag: tuple[str, int] | None = None) -> dict:
     """Persist an operator's next state (with ``_op``) to ``path``; returns the change counts.
 
     Unpartitioned tables: one pass writes the new version and counts the operations on the way. ``base`` is the pointer
-    that the state was computed from: if the table was replaced since then, ``ConcurrentWrite`` is raised.
+    that the state was computed from: if the table was replaced since then, ``ConcurrentWrite`` is raised. ``tag``: see ``publish``.
 
     Partitioned tables: only partitions whose rows differ from the stored ones are rewritten. They are found by
     comparing row counts and hashes by partition (NULL included), so a row that moved
@@ -113,7 +115,7 @@ def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by:
     parts = list(partition_by)
     if not parts:
         rows, seen = _op_counts(state)
-        replace_table(spark, live(rows), path, base=base)
+        replace_table(spark, live(rows), path, base=base, tag=tag)
         return _positive(seen)
     if not table_exists(spark, path):
         rows, seen = _op_counts(rebalanced(state, parts))
@@ -132,7 +134,7 @@ def write_state(spark: SparkSession, state: DataFrame, path: str, partition_by:
     rows = live(state).join(differ, touched, "left_semi")
     empty = ({p: r[f"__d_{p}"] for p in parts} for r in differ.filter("__empty").toLocalIterator())
     if at is not None:
-        publish(spark, rows, path, parts, "partitions", at, [partition_folder(spark, values) for values in empty])
+        publish(spark, rows, path, parts, "partitions", at, [partition_folder(spark, values) for values in empty], tag)
         return counts
     overwrite_partitions(_scratch(rows, "rows"), path, parts)
     for values in empty:

@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshelf.operators import changes
+from lakeshelf.operators.joins import null_safe_semi
 from lakeshelf.plans import silver
-from lakeshelf.sinks.tables import append_inserts, read_or_empty, write_state
-from lakeshelf.sinks.writers import append_feed, append_stream, foreach_batch
+from lakeshelf.session import materialize
+from lakeshelf.sinks.keyindex import KeyIndex, key_index
+from lakeshelf.sinks.tables import append_inserts, read_or_empty, table_exists, write_state
+from lakeshelf.sinks.writers import append, append_feed, append_stream, foreach_batch
 from lakeshelf.sources.files import ingest_stream, stream_table, with_lineage, with_source
 from lakeshelf.sources.messages import decode_messages
 
@@ -78,6 +82,35 @@ def _silver_like(batch: DataFrame, tag: str) -> DataFrame:
     return silver.with_audit(silver.clean_pos(batch.limit(0), tag), "")
 
 
+POS_KEY = ["transaction_id"]
+
+
+def pos_key_index(spark: SparkSession, path: str, batch: DataFrame, buckets: int = 256) -> KeyIndex:
+    """The key index of a silver POS table, for batches that look like ``batch``."""
+    return key_index(spark, path, _silver_like(batch, silver.POS_STREAM_TAG), POS_KEY, buckets)
+
+
+def _insert_new(spark: SparkSession, batch: DataFrame, silver_table: str, index: KeyIndex, stamp: str, partition_by: Sequence[str]) -> None:
+    """Insert-if-absent by the key index: silver itself is read only where this very micro-batch may have written before.
+
+    Rows go to silver first and then to the index. If a run breaks off in between, its replay finds them by their stamp: the
+    scan is pruned to the batch's dates and, by the files' statistics, to files with that stamp.
+    """
+    like = _silver_like(batch, silver.POS_STREAM_TAG)
+    rows = materialize(silver.dedup_pos(silver.clean_pos(silver.pos_stream_rows(batch), silver.POS_STREAM_TAG)))
+    if not index.exists() and table_exists(spark, silver_table):
+        index.rebuild(read_or_empty(spark, silver_table, like).select(*POS_KEY))
+    keys = rows.select(*POS_KEY)
+    written = read_or_empty(spark, silver_table, like).filter(F.col("pipeline_run_id") == stamp)
+    if "transaction_date" in partition_by:
+        days = [r[0] for r in rows.select("transaction_date").distinct().collect()]  # bounded by the calendar
+        written = written.filter(F.col("transaction_date").isin([d for d in days if d is not None]) | F.col("transaction_date").isNull())
+    known = index.look_up(keys).union(written.select(*POS_KEY))
+    new = materialize(null_safe_semi(rows, known.distinct(), POS_KEY, "left_anti"))
+    append(silver.with_audit(new, stamp).select(*like.columns), silver_table, list(partition_by))
+    index.record(new, True)
+
+
 def silver_pos_stream(
     spark: SparkSession,
     bronze_table: str,
@@ -87,13 +120,20 @@ def silver_pos_stream(
     available_now: bool = True,
     run_id: str = "stream",
     partition_by: Sequence[str] = ("transaction_date",),
+    index_path: str | None = None,
+    buckets: int = 256,
 ) -> StreamingQuery:
     """Stream-feed rows of the bronze POS table, inserted once into silver
-    (partitioned by event date unless ``partition_by`` says otherwise)."""
+    (partitioned by event date unless ``partition_by`` says otherwise). With ``index_path``, keys already there are looked
+    up in a key index that is kept beside the table, instead of a scan of all its keys."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        if index_path:
+            index = pos_key_index(spark, index_path, batch, buckets)
+            _insert_new(spark, batch, silver_table, index, f"{run_id}:{batch_id}", partition_by)
+            return
         state = read_or_empty(spark, silver_table, _silver_like(batch, silver.POS_STREAM_TAG))
         changed = silver.stamp(silver.apply_pos_stream(state, batch), f"{run_id}:{batch_id}")
         append_inserts(changed, silver_table, list(partition_by))
@@ -107,8 +147,20 @@ def silver_pos_batch(
     silver_table: str,
     run_id: str = "batch",
     partition_by: Sequence[str] = ("transaction_date",),
+    index_path: str | None = None,
+    buckets: int = 256,
 ) -> dict:
-    """Reconcile the silver POS table with a daily batch; returns change counts."""
+    """Reconcile the silver POS table with a daily batch; returns change counts. A key index is told of new keys before
+    the table is written and of cancelled ones after it, so a run that breaks off and is repeated leaves both in step."""
     state = read_or_empty(spark, silver_table, _silver_like(bronze_batch, silver.POS_BATCH_TAG))
     changed = silver.stamp(silver.apply_pos_batch(state, bronze_batch), run_id)
-    return write_state(spark, changed, silver_table, list(partition_by))
+    if not index_path:
+        return write_state(spark, changed, silver_table, list(partition_by))
+    index = pos_key_index(spark, index_path, bronze_batch, buckets)
+    if not index.exists() and table_exists(spark, silver_table):
+        index.rebuild(state.select(*POS_KEY))
+    moves = materialize(changed.filter(F.col(changes.OP).isin("insert", "delete")).select(*POS_KEY, changes.OP))
+    index.record(moves.filter(F.col(changes.OP) == "insert"), True)
+    counts = write_state(spark, changed, silver_table, list(partition_by))
+    index.record(moves.filter(F.col(changes.OP) == "delete"), False)
+    return counts
