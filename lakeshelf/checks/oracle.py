@@ -666,7 +666,7 @@ ORACLE["published_swap"] = " UNION ALL ".join([
 ])
 
 
-ORACLE["crossed_commits"] = ORACLE["customer_job"]
+ORACLE["crossed_commits"] = ORACLE["merge_bucketed"] = ORACLE["customer_job"]
 ORACLE["stream_upsert_indexed"] = f"""
 SELECT source_system, substr(transaction_date, 1, 7) AS month, count(*) AS n, count(*) AS n_keys FROM ({ORACLE["merge_insert_only"]}) GROUP BY ALL"""
 

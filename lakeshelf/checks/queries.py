@@ -479,6 +479,18 @@ def q_customer_job(spark, d):
     return read_published(spark, target).select(*[c for c in silver.CUSTOMER_COLUMNS if c != "ingested_at"])
 
 
+def q_merge_bucketed(spark, d):
+    """E2 for a large batch: the customer table lies in buckets of its key, the batch is dealt out to them, and the merged
+    table is published in the same buckets; then the batch once more, which changes nothing."""
+    path = scratch_path(spark, "customers_bucketed")
+    publish(spark, customers_silver(spark, d, "fx_customer_target"), path, keys=["customer_id"], buckets=8)
+    batch = materialize(customers_silver(spark, d, "fx_customer_source"))
+    for _ in range(2):
+        state = changes.merge_bucketed(read_published(spark, path), batch, ["customer_id"], compare=silver.CUSTOMER_COMPARE)
+        publish(spark, changes.live(state), path, keys=["customer_id"], buckets=8, laid_out=True)
+    return read_published(spark, path)
+
+
 def q_crossed_commits(spark, d):
     """A6 + B6 by files seen: the second load is stamped a month before the first but committed after the first run; it is
     merged all the same, and a third run finds nothing."""

@@ -25,13 +25,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.columns import any_changed, row_hash
-from lakeshelf.operators.joins import fits, strategy_for
+from lakeshelf.operators.joins import fits, maybe_broadcast, strategy_for
 
 OP = "_op"
 _S = "__s_"  # prefix of batch columns inside a merge
@@ -56,10 +56,10 @@ def _base(df: DataFrame) -> DataFrame:
     return df.drop(OP) if OP in df.columns else df
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
+def _same(keys: Sequence[str], prefix: str, null_safe: bool = True) -> Column:
     """Null-safe equality of the keys with their renamed copies: a row with a NULL key meets
     itself on a replay instead of being inserted once more."""
-    return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(prefix + k)) if null_safe else F.col(k) == F.col(prefix + k) for k in keys])
 
 
 def upsert(
@@ -70,6 +70,7 @@ def upsert(
     update: Sequence[str] | str | None = None,
     strategy: str = "auto",
     max_rows: int | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Merge a batch (unique per key) into a table.
 
@@ -137,10 +138,28 @@ def upsert(
             F.lit("insert").alias(OP),
         )
         return annotated.unionByName(ins)
-    joined = target.withColumn("__t", F.lit(True)).join(s_ren, _same(keys, _S), "full_outer")
+    joined = target.withColumn("__t", F.lit(True)).join(s_ren, _same(keys, _S, null_safe), "full_outer")
     return joined.select(*merged_cols(F.col("__t").isNull()))
 
 
+def merge_bucketed(target: DataFrame, source: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
+    """``upsert`` of a large batch into a table stored in buckets of ``keys`` (``publish(..., keys=, buckets=)``): the batch is dealt out
+    to the table's buckets and the table's rows stay where they are. Write the result with ``laid_out=True`` and the same
+    buckets, and they are not moved then either. Rows with a NULL key are few and merged apart, NULL-safe."""
+    null = reduce(or_, [F.col(k).isNull() for k in keys])
+    main = upsert(target.filter(~null), source.filter(~null), keys, strategy="shuffle", null_safe=False, **kw)
+    return main.unionByName(upsert(target.filter(null), source.filter(null), keys, **kw))
+
+
+def delete_unmatched(state: DataFrame, batch: DataFrame, scope: str, max_rows: int | None = None) -> DataFrame:
+    """E5 right after ``upsert`` with the same batch: a row it left as ``keep`` has no row in the batch, so those whose ``scope``
+    value occurs there are deleted. Keys are not joined again; only the scope values (dates) are, broadcast if proven small."""
+    scopes = batch.select(F.col(scope).alias("__c_" + scope)).distinct().withColumn("__in", F.lit(True))
+    found = state.join(maybe_broadcast(scopes, fits(scopes, max_rows)), _same([scope], "__c_"), "left")
+    gone = F.col("__in").isNotNull() & (F.col(OP) == "keep")
+    return found.select(*[c for c in state.columns if c != OP], F.when(gone, "delete").otherwise(F.col(OP)).alias(OP))
+
+
 def delete_missing(
     state: DataFrame,
     batch: DataFrame,

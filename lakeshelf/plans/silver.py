@@ -160,7 +160,7 @@ def apply_pos_batch(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "ti
     batch = dedup_pos(clean_pos(bronze_batch, POS_BATCH_TAG, ts_col))
     kw["strategy"] = strategy_for(batch, kw.get("strategy", "auto"), kw.get("max_rows"))
     merged = changes.upsert(state, batch, ["transaction_id"], compare=POS_BATCH_COMPARE, **kw)
-    return changes.delete_missing(merged, batch, ["transaction_id"], scope="transaction_date", **kw)
+    return changes.delete_unmatched(merged, batch, "transaction_date", kw.get("max_rows"))
 
 
 # --- customers --------------------------------------------------------------------
