@@ -671,6 +671,18 @@ ORACLE["stream_upsert_indexed"] = f"""
 SELECT source_system, substr(transaction_date, 1, 7) AS month, count(*) AS n, count(*) AS n_keys FROM ({ORACLE["merge_insert_only"]}) GROUP BY ALL"""
 
 
+ORACLE["rejected_rows"] = build("""
+SELECT _source, CASE WHEN quantity % 77 = 0 THEN 'quantity: not int; transaction_id: missing' WHEN quantity % 7 = 0 THEN 'quantity: not int'
+ WHEN quantity % 11 = 0 THEN 'transaction_id: missing' ELSE '' END AS reasons, count(*) AS n,
+ cast(sum(CASE WHEN quantity % 7 <> 0 AND quantity % 11 <> 0 THEN quantity END) as bigint) AS units FROM fx_pos GROUP BY ALL""", ["fx_pos"])
+ORACLE["raw_daily_distincts"] = build("""
+SELECT store_id, product_id, cast(strptime(ts_iso, '%Y-%m-%dT%H:%M:%SZ') as date) AS snapshot_date, count(DISTINCT transaction_id) AS transaction_count,
+ count(DISTINCT customer_id) AS unique_customers, cast(sum(quantity) as bigint) AS units_sold,
+ cast(sum(CASE WHEN channel = 'online' THEN quantity ELSE 0 END) as bigint) AS units_sold_online FROM fx_pos GROUP BY 1, 2, 3""", ["fx_pos"])
+ORACLE["ordered_output"] = """
+SELECT strftime(cast(o_orderdate as date), '%Y-%m-%d') AS day, count(*) AS n, min(o_orderkey) AS first, 0 AS out_of_order FROM orders GROUP BY 1"""
+ORACLE["continuous_ingest"] = """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids, (SELECT count(*) FROM events) AS seen FROM events GROUP BY event_type"""
 ORACLE["compact_curve"] = """
 SELECT strftime(cast(l_shipdate as date), '%Y-%m-%d') AS ship_date, count(*) AS n, cast(sum(l_suppkey) as bigint) AS suppliers,
  true AS ship_date_skips, true AS "l_suppkey_skips" FROM lineitem GROUP BY 1"""

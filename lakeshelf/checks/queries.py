@@ -320,6 +320,59 @@ def q_stream_upsert_indexed(spark, d):
         F.count("*").alias("n"), F.count_distinct("transaction_id").alias("n_keys"))
 
 
+def q_rejected_rows(spark, d):
+    """C1 + K5 at ingest: both feeds land with values that are no numbers and sales without an id; those rows come to rest beside the
+    table with their reasons, all others in it. Rows by feed and reasons (none: they were taken), and the units taken."""
+    from lakeshelf.streaming.ingest import bronze_checked
+
+    bronze, found = scratch_path(spark, "checked"), []
+    bad = {"quantity": F.when(F.col("quantity") % 7 == 0, F.lit("n/a")).otherwise(F.col("quantity").cast("string")),
+           "transaction_id": F.when(F.col("quantity") % 11 == 0, F.lit(None)).otherwise(F.col("transaction_id"))}
+    for tag, fmt in (("pos_realtime_stream", "json"), ("pos_batch_csv", "csv")):
+        rows = _bronze_pos(fixture(spark, d, "fx_pos")).filter(F.col("_source") == tag).select(*RAW_POS.fieldNames()).withColumns(bad)
+        landing = scratch_path(spark, f"landing_bad_{fmt}")
+        w = rows.write.format(fmt)
+        (w.option("header", "true").option("escape", '"') if fmt == "csv" else w).save(landing)
+        bronze_checked(spark, landing, fmt, RAW_POS, bronze, scratch_path(spark, "checked_ckpt"), "run", ["transaction_id"], tag, tag).awaitTermination()
+    taken = spark.read.parquet(bronze).select("_source", F.lit("").alias("reasons"), F.col("quantity").cast("long").alias("units"))
+    set_aside = spark.read.parquet(bronze + "__rejected").select("_source", F.array_join("reasons", "; ").alias("reasons"), F.lit(None).cast("long").alias("units"))
+    return taken.unionByName(set_aside).groupBy("_source", "reasons").agg(F.count("*").alias("n"), F.sum("units").alias("units"))
+
+
+def q_raw_daily_distincts(spark, d):
+    """Distinct transactions and customers of raw sales, in which both feeds repeat ids, beside sums over the same rows."""
+    raw = silver.clean_pos(fixture(spark, d, "fx_pos"), F.col("_source"), "ts_iso")
+    return facts.pos_daily_full(raw, unique=False).select("store_id", "product_id", "snapshot_date", "transaction_count", "unique_customers", "units_sold", "units_sold_online")
+
+
+def q_ordered_output(spark, d):
+    """Orders stored in order of day and key; what is read back by day, and how many rows or files are out of order."""
+    path = scratch_path(spark, "orders_in_order")
+    orders = table(spark, d, "orders").select(F.to_date("o_orderdate").cast("string").alias("day"), "o_orderkey", "o_totalprice")
+    writers.overwrite_ordered(orders, path, ["day", "o_orderkey"], 16)
+    wrong = writers.out_of_order(spark, path, ["day", "o_orderkey"]).count()
+    return spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.lit(wrong).alias("out_of_order"))
+
+
+def q_continuous_ingest(spark, d):
+    """The events table lands in three portions while a query on the default trigger runs, is stopped and goes on twice from its
+    checkpoint. Events by type, and how many rows the listener saw the query read in all."""
+    from lakeshelf.streaming.continuous import Progress, drained
+    from lakeshelf.streaming.ingest import bronze_messages
+
+    landing, bronze, ckpt = (scratch_path(spark, n) for n in ("cont_landing", "cont_bronze", "cont_ckpt"))
+    events = messages.encode_messages(table(spark, d, "events"), ["event_id", "user_id", "event_type", "value"], "events")
+    portion = F.pmod(F.xxhash64("value"), F.lit(3))
+    with Progress(spark) as progress:
+        runs = []
+        for n in range(3):
+            events.filter(portion == n).write.mode("append").parquet(landing)
+            stream = spark.readStream.schema("topic string, value binary").parquet(landing)
+            runs.append(drained(bronze_messages(stream, EVENT_SCHEMA, "events", bronze, ckpt, "registry", available_now=False), progress))
+    seen = sum(progress.rows.get(r, 0) for r in runs)
+    return spark.read.parquet(bronze).groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"), F.lit(seen).cast("long").alias("seen"))
+
+
 def q_published_swap(spark, d):
     """B3 + B5: a table partitioned by status is replaced as a whole and then in one partition, while readers go on. Rows and
     totals by status as seen by a reader that opened it before, by one between, and by one after; ``torn`` counts reads taken

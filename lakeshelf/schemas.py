@@ -7,7 +7,9 @@ ingested_date) are added by ingest and are not part of the files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +82,25 @@ def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*counts)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def as_text(schema: T.StructType) -> T.StructType:
+    """The fields of a landing file before any of them is typed, and the whole record where its form is broken."""
+    return T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields], T.StructField(CORRUPT, T.StringType())])
+
+
+def rejection_reasons(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> Column:
+    """Why a record read ``as_text`` may not enter a table (empty: it may): its form is broken, a value is not of its
+    field's type, or a required field has none."""
+    found = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))] if CORRUPT in df.columns else []
+    for f in schema.fields:
+        misfit = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        found.append(F.when(misfit, F.lit(f"{f.name}: not {f.dataType.simpleString()}")))
+    found += [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in required]
+    return F.array_compact(F.array(*found))
+
+
 # The columns that may not be NULL in each silver and gold table, besides the audit columns.
 REQUIRED = {
     "silver.customers": ["customer_id"],

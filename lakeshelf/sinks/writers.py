@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,6 +44,27 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def overwrite_ordered(df: DataFrame, path: str, order: Sequence[str], files: int) -> None:
+    """The table in order of ``order`` (ascending, NULLs first), within its files and from file to file by name.
+
+    Rows are dealt by ranges of the order columns, then of a hash of the row, so a value that a third of the rows share still goes
+    to several tasks; each task sorts its own range and nothing is collected or sorted in one task.
+    """
+    spread = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+    df.repartitionByRange(files, *order, spread).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def out_of_order(spark: SparkSession, path: str, order: Sequence[str]) -> DataFrame:
+    """I3 checked: rows of a stored table that come before their predecessor in the file, and files that begin before the
+    end of the one named before them (``file``, ``row``; null for a file)."""
+    at = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), F.struct(*order).alias("at"))
+    in_file = Window.partitionBy("file").orderBy("row")
+    rows = at.withColumn("before", F.lag("at").over(in_file)).filter(F.col("before") > F.col("at")).select("file", "row")
+    ends = at.groupBy("file").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    files = ends.withColumn("before", F.lag("hi").over(Window.orderBy("file"))).filter(F.col("before") > F.col("lo"))  # one row a file
+    return rows.unionByName(files.select("file", F.lit(None).cast("long").alias("row")))
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w = rebalanced(df, partition_by).write.mode("append")
     if partition_by:

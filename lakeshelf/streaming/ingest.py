@@ -27,10 +27,11 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeshelf.operators import changes
 from lakeshelf.operators.joins import null_safe_semi
 from lakeshelf.plans import silver
+from lakeshelf.schemas import CORRUPT, as_text, rejection_reasons
 from lakeshelf.session import materialize
 from lakeshelf.sinks.keyindex import KeyIndex, key_index
 from lakeshelf.sinks.tables import append_inserts, read_or_empty, table_exists, write_state
-from lakeshelf.sinks.writers import append, append_feed, append_stream, foreach_batch
+from lakeshelf.sinks.writers import append, append_feed, append_stream, foreach_batch, overwrite
 from lakeshelf.sources.files import ingest_stream, stream_table, with_lineage, with_source
 from lakeshelf.sources.messages import decode_messages
 
@@ -58,6 +59,48 @@ def bronze_files(
     return append_stream(rows, table, checkpoint, partition_by, available_now)
 
 
+def bronze_checked(
+    spark: SparkSession,
+    landing: str,
+    fmt: str,
+    schema: T.StructType,
+    table: str,
+    checkpoint: str,
+    run_id: str,
+    required: Sequence[str] = (),
+    feed: str = "files",
+    tag: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """C1 + K5 at ingest: typed records go to ``table``, all others to ``<table>__rejected`` with the record as it was read,
+    its file and the reasons. No value becomes NULL silently.
+
+    CSV and JSON lines are read as text and typed field by field; Parquet files must have the schema's types (Spark
+    refuses others), so only ``required`` is checked there. Each micro-batch replaces its own folder in both tables, as in ``append_feed``.
+    """
+    text = fmt != "parquet"
+    raw = with_lineage(ingest_stream(spark, landing, fmt, as_text(schema) if text else schema, {"columnNameOfCorruptRecord": CORRUPT} if text else None),
+                       run_id, date_column=False)
+    if tag:
+        raw = with_source(raw, tag)
+    lineage = [c for c in raw.columns if c not in (*schema.fieldNames(), CORRUPT)]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("reasons", rejection_reasons(batch, schema, required)).persist()  # parsed once; files are there to read again
+        try:
+            fine = marked.filter(F.size("reasons") == 0)
+            typed = fine.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if text else F.col(f.name) for f in schema.fields], *lineage)
+            record = F.to_json(F.struct(*schema.fieldNames()))
+            record = F.coalesce(F.col(CORRUPT), record) if text else record
+            bad = marked.filter(F.size("reasons") > 0).select(record.alias("record"), "reasons", *lineage)
+            for rows, path in ((typed, table), (bad, table.rstrip("/") + "__rejected")):
+                overwrite(rows, f"{path.rstrip('/')}/_feed={feed}/_batch={batch_id}")
+        finally:
+            marked.unpersist()
+
+    return foreach_batch(raw, write, checkpoint, available_now)
+
+
 def bronze_messages(
     messages: DataFrame,
     schema: T.StructType,
