@@ -477,19 +477,20 @@ def q_merge_store_inventory(spark, d):
 
 
 def q_quality_rules(spark, d):
-    """All 28 rules of the catalogue, each table in one pass."""
+    """All 28 rules of the catalogue, each table in one pass. The silver tables that several facts read are stored once; facts are
+    computed from those with the columns alone that a rule looks at."""
+    pos, wh, products, po = (materialize(f(spark, d)) for f in (pos_silver, warehouse_silver, product_current_load, po_silver))
+    shelf, customers = shelf_silver(spark, d), customers_silver(spark, d)
+    full = facts.fact_inventory_full(pos, wh, products)
+    daily = facts.fact_daily_inventory(pos, wh, products, shelf)
     tables = {
-        "pos": pos_silver(spark, d).withColumn("_source", F.col("source_system")),
-        "warehouse": warehouse_silver(spark, d),
-        "store_inventory": shelf_silver(spark, d),
-        "purchase_orders": po_silver(spark, d),
-        "suppliers": silver.clean_suppliers(fixture(spark, d, "fx_supplier")),
-        "customers": customers_silver(spark, d),
-        "products": silver.clean_products(fixture(spark, d, "fx_product")),
-        "stores": _store_snapshot(spark, d, "fx_store"),
-        **{name: QUERIES[name](spark, d) for name in (
-            "dim_product", "dim_store", "dim_supplier", "dim_customer", "fact_inventory_full", "fact_inventory_kpis",
-            "fact_demand_trends", "fact_customer_sales", "fact_supplier_performance")},
+        "pos": pos.withColumn("_source", F.col("source_system")), "warehouse": wh, "store_inventory": shelf, "purchase_orders": po,
+        "suppliers": silver.clean_suppliers(fixture(spark, d, "fx_supplier")), "customers": customers,
+        "products": silver.clean_products(fixture(spark, d, "fx_product")), "stores": _store_snapshot(spark, d, "fx_store"),
+        **{name: QUERIES[name](spark, d) for name in ("dim_product", "dim_store", "dim_supplier", "dim_customer")},
+        "fact_inventory_full": full, "fact_inventory_kpis": facts.fact_inventory_kpis(full),
+        "fact_demand_trends": facts.fact_demand_trends(daily), "fact_customer_sales": facts.fact_customer_sales(pos, customers, AS_OF_DATE),
+        "fact_supplier_performance": facts.fact_supplier_performance(po),
     }
     return reduce(DataFrame.unionByName, [quality.rule_failures(tables[name], rules) for name, rules in quality.RULES.items()])
 
@@ -755,11 +756,11 @@ def _daily_sales(pos: DataFrame) -> DataFrame:
 def late_inputs(spark, d):
     """Silver POS before the late increment, after it, and the increment itself
     (event date as a DATE column, the fact's partition column)."""
-    pos = silver.clean_pos(fixture(spark, d, "fx_pos"), F.col("_source"), "ts_iso")
+    pos = materialize(silver.clean_pos(fixture(spark, d, "fx_pos"), F.col("_source"), "ts_iso"))
     cut = F.lit(INCREMENT_FROM).cast("timestamp_ntz")
 
     def dated(df):
-        return silver.dedup_pos(df).withColumn("transaction_date", F.to_date("transaction_ts"))
+        return materialize(silver.dedup_pos(df).withColumn("transaction_date", F.to_date("transaction_ts")))
 
     return dated(pos.filter(F.col("ingested_at") < cut)), dated(pos), dated(pos.filter(F.col("ingested_at") >= cut))
 
@@ -768,7 +769,7 @@ def q_late_dates(spark, d):
     """Recompute exactly the event dates the late increment touches (its own dates
     and those its keys moved away from) and keep every other date."""
     before, now, increment = late_inputs(spark, d)
-    touched = late.touched_partitions(before, increment, ["transaction_id"], "transaction_date")
+    touched = materialize(late.touched_partitions(before, increment, ["transaction_id"], "transaction_date"))
     return late.recompute_partitions(_daily_sales(before), now, touched, "transaction_date", _daily_sales)
 
 
@@ -815,7 +816,7 @@ def q_partition_overwrite(spark, d):
     path = scratch_path(spark, "daily_sales")
     writers.overwrite(monthly(before), path, ["year_month"])
     touched = late.touched_partitions(before, increment, ["transaction_id"], "transaction_date")
-    months = touched.select(F.date_format("transaction_date", "yyyy-MM").alias("year_month")).distinct()
+    months = materialize(touched.select(F.date_format("transaction_date", "yyyy-MM").alias("year_month")).distinct())
     current = now.withColumn("year_month", F.date_format("transaction_date", "yyyy-MM"))
     redo = monthly(current.join(maybe_broadcast(months, fits(months)), "year_month", "left_semi").drop("year_month"))
     writers.overwrite_partitions(redo, path, ["year_month"])
