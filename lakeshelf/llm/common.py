@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_written: list[str] = []  # scratch tables of this driver, in order
+class _Scratch(threading.local):
+    """Scratch tables that this thread has written, in order: queries in other threads have lists of their own."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_scratch = _Scratch()
+
+
+def fresh(columns: Iterable[str], name: str) -> str:
+    """``name``, or with underscores more, so that no column has it (in any case of its letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -25,15 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     cuts the lineage, survives lost executors, and gives the planner real sizes."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _written.append(path)
+    _scratch.paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
 
 def written() -> int:
-    """How many scratch tables there are so far, for ``release``."""
-    return len(_written)
+    """How many scratch tables this thread has so far, for ``release``."""
+    return len(_scratch.paths)
 
 
 def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
@@ -41,11 +59,11 @@ def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
     ``stored``). Call it where nothing else that is still to run reads them."""
     needed = [df._scratch_path for df in keep]
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for path in _written[since:]:
+    for path in _scratch.paths[since:]:
         if path not in needed:
             p = hadoop(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    _written[since:] = needed
+    _scratch.paths[since:] = needed
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:

@@ -11,9 +11,12 @@ similarity of 0.8 with up to two substitutions. Each mask of MASKS alone
 has, in any 13 words with any two substituted, a placement that avoids both
 (``tests/llm`` enumerates this), so the seed join loses no such overlap.
 
+Shorter items are compared whole: 0.8 of the words of items of 5 to 12 words must be equal, all of those of 3 or 4. The lighter
+masks of SHORT_MASKS together avoid any one substitution in 5 words, so also the two that 10 to 12 words may
+have (one half of them has one at most); items of 3 or 4 words have a mask of all their words.
+
 Defined cases
-  * items of 5 to 12 words must occur whole, word for word (their seed is all their
-    words); items of fewer words, empty or null are not searched for.
+  * items of one or two words are not sought (any text may hold them), nor empty or null ones.
   * null or empty texts contain nothing; a null doc_id is a document of its own; rows
     that share a doc_id are judged together.
   * items with equal words are searched for once and all reported.
@@ -22,6 +25,8 @@ Defined cases
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +34,8 @@ from lakeshelf.llm.common import read, stored, words
 from lakeshelf.operators.joins import fits, maybe_broadcast
 
 MASKS = ("11010011", "11001011")
-OVERLAP, EQUAL, SHORTEST = 13, 11, 5
+SHORT_MASKS = ("1101", "1011")
+OVERLAP, EQUAL, WHOLE, SHORTEST = 13, 11, 5, 3
 # Benchmark seeds are broadcast up to so many rows (24 bytes each), else joined by shuffle.
 MAX_BROADCAST_SEEDS = 1_000_000
 
@@ -54,16 +60,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = items.groupBy("w").agg(F.collect_set(F.struct("item_id")).alias("item_ids"))
     same = same.select(F.xxhash64("w").alias("rep"), "w", "item_ids", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
     items = stored(same, "items")
-    lengths = sorted(r[0] for r in items.filter(F.size("w") < OVERLAP).select(F.size("w")).distinct().collect())  # 8 values at most
-    long_seeds = items.filter(F.size("w") >= OVERLAP).select("rep", F.inline(_seeds(F.col("h"), MASKS)))
-    short_seeds = [items.filter(F.size("w") == n).select("rep", F.inline(_seeds(F.col("h"), ["1" * n]))) for n in lengths]
-    seeds = long_seeds
-    for s in short_seeds:
-        seeds = seeds.unionByName(s)
-    seeds = stored(seeds.select("rep", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
+    lengths = [r[0] for r in items.filter(F.size("w") < OVERLAP).select(F.size("w")).distinct().collect()]  # 10 values at most
+    # Masks, and the least and greatest length of the items they are for; those without such items are left out.
+    kinds = [(MASKS, OVERLAP, None), (SHORT_MASKS, WHOLE, OVERLAP - 1), *[(("1" * n,), n, n) for n in range(SHORTEST, WHOLE)]]
+    kinds = [(m, lo, hi) for m, lo, hi in kinds if hi is None or any(lo <= n <= hi for n in lengths)]
+    seeds = [items.filter(F.size("w").between(lo, hi) if hi else F.size("w") >= lo).select("rep", F.inline(_seeds(F.col("h"), m))) for m, lo, hi in kinds]
+    seeds = stored(reduce(DataFrame.unionByName, seeds).select("rep", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
     small = fits(seeds, MAX_BROADCAST_SEEDS)
 
-    masks = [*MASKS, *["1" * n for n in lengths]]
+    masks = [x for m, _, _ in kinds for x in m]
     hashed = docs.select("doc_id", F.transform(_folded(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
     # inline would add a test that the array is not empty, for which Spark computes all seeds a second time.
     placed = hashed.select("doc_id", F.inline_outer(_seeds(F.col("h"), masks)))
@@ -85,7 +90,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window = lambda s: F.struct(F.aggregate(F.slice("e", s + 1, F.col("wide")), F.lit(0), lambda a, x: a + x).alias("n_equal"), (-s).alias("s"))
     best = F.array_max(F.transform(F.sequence(F.col("first"), F.col("last") - F.col("wide")), window))
     at = at.withColumn("best", best)
-    at = at.filter(F.col("best.n_equal") >= F.when(F.col("wide") < OVERLAP, F.col("wide")).otherwise(EQUAL))
+    need = F.when(F.col("wide") >= OVERLAP, EQUAL).when(F.col("wide") >= WHOLE, F.floor((4 * F.col("wide") + 4) / 5)).otherwise(F.col("wide"))
+    at = at.filter(F.col("best.n_equal") >= need)
     found = at.groupBy("doc_id", "rep").agg(F.max(F.struct(
         F.col("best.n_equal").alias("n_equal"), (F.col("best.s") - F.col("shift")).alias("neg_doc"), F.col("best.s").alias("neg_item"), "wide")).alias("b"))
     found = found.join(items.select("rep", F.inline("item_ids")), "rep")
@@ -102,11 +108,11 @@ OP5_SQL = r"""
 WITH d0 AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
 b0 AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ \t-\r]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
 d AS (SELECT doc_id, len(w) AS nd, unnest(w) AS x, unnest(range(len(w))) AS p FROM d0),
-b AS (SELECT item_id, len(w) AS nb, unnest(w) AS x, unnest(range(len(w))) AS j FROM b0 WHERE len(w) >= 5),
-m AS (SELECT doc_id, item_id, nd, nb, p - j AS shift, j FROM d JOIN b USING (x)),
-c AS (SELECT doc_id, item_id, nd, nb, shift,
+b AS (SELECT item_id, len(w) AS nb, CASE WHEN len(w) >= 13 THEN 11 WHEN len(w) >= 5 THEN (4 * len(w) + 4) // 5 ELSE len(w) END AS need, unnest(w) AS x, unnest(range(len(w))) AS j FROM b0 WHERE len(w) >= 3),
+m AS (SELECT doc_id, item_id, nd, nb, need, p - j AS shift, j FROM d JOIN b USING (x)),
+c AS (SELECT doc_id, item_id, nd, nb, need, shift,
         count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n
-      FROM (SELECT * FROM m QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= least(nb, 11))),
-ok AS (SELECT * FROM c WHERE least(nb, nd - shift) - greatest(0, -shift) >= least(nb, 13) AND n >= CASE WHEN nb < 13 THEN nb ELSE 11 END)
+      FROM (SELECT * FROM m QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= need)),
+ok AS (SELECT * FROM c WHERE least(nb, nd - shift) - greatest(0, -shift) >= least(nb, 13) AND n >= need)
 SELECT doc_id, item_id, max(n) AS n_equal, CAST(max(least(nb, 13)) AS BIGINT) AS n_window FROM ok GROUP BY doc_id, item_id
 """

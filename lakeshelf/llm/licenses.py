@@ -1,6 +1,6 @@
 """License scan (operator 2). DataFrame functions only.
 
-Texts and license templates are lower-cased, stripped of punctuation and cut into
+Texts and license templates are lower-cased, stripped of all signs and cut into
 5-word shingles. A template of m shingles belongs to class s, the least power of two that is
 at least m, and is looked for in windows of 2 s shingles that start every s shingles, so
 that each occurrence lies whole in one window. Windows and templates are MinHashed, and a
@@ -29,7 +29,8 @@ from lakeshelf.operators.joins import fits, maybe_broadcast
 
 SHINGLE, BANDS, CONTAINED = 5, 64, 0.8
 MAX_BROADCAST_SHINGLES = 1_000_000
-PUNCTUATION = ".,;:!?\"'()[]"
+# Also the marks of comments: a notice behind " * ", "#" or "//" has the words of the bare one.
+PUNCTUATION = ".,;:!?\"'()[]{}<>*#/\\|=+-_~`%&$@^"
 
 # Public license notices.
 TEMPLATES = [
@@ -40,6 +41,14 @@ TEMPLATES = [
     ("apache-2.0-notice", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("mit-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     ("bsd-notice", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("isc-full", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("mit-full", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("lgpl-notice", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    ("mpl-2.0-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("cc-by-4.0-line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa-4.0-line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("unlicense-notice", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("gpl-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 ]
 
@@ -83,10 +92,12 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     near = near.select("doc_id", F.explode_outer("spots").alias("z"), "sh")
     near = near.select("doc_id", F.col("z.s").alias("s"), F.col("z.k").alias("k"), F.array_distinct(F.slice("sh", F.col("z.s") * F.col("z.k") + 1, 2 * F.col("z.s"))).alias("win"))
     signed = near.select("*", F.posexplode_outer(_bands(F.col("win"))).alias("b", "v"))
-    wanted = t.select("template_id", F.col("s").alias("ts"), F.col("sh").alias("tsh"), F.posexplode(_bands(F.col("sh"))).alias("tb", "tv"))
+    wanted = t.select("template_id", F.col("s").alias("ts"), F.posexplode(_bands(F.col("sh"))).alias("tb", "tv"))  # BANDS rows a template
     pair = (F.col("s") == F.col("ts")) & (F.col("b") == F.col("tb")) & (F.col("v") == F.col("tv"))
-    found = signed.join(maybe_broadcast(wanted, small), pair).select("doc_id", "template_id", "s", "k", F.size("tsh").alias("n_template"),
-                                                                   F.size(F.array_intersect("win", "tsh")).alias("n_shared"))
+    sets = t.select(F.col("template_id").alias("tid"), F.col("sh").alias("tsh"))
+    found = signed.join(maybe_broadcast(wanted, fits(wanted, MAX_BROADCAST_SHINGLES)), pair).select("doc_id", "template_id", "s", "k", "win").distinct()
+    found = found.join(maybe_broadcast(sets, small), F.col("template_id") == F.col("tid")).select(
+        "doc_id", "template_id", "s", "k", F.size("tsh").alias("n_template"), F.size(F.array_intersect("win", "tsh")).alias("n_shared"))
     found = found.filter(F.col("n_shared") >= CONTAINED * F.col("n_template"))
     best = found.groupBy("doc_id", "template_id").agg(F.max(F.struct("n_shared", (-F.col("k") * F.col("s")).alias("at"), "n_template")).alias("m"))
     return best.select("doc_id", "template_id", F.col("m.n_shared").cast("long").alias("n_shared"), F.col("m.n_template").cast("long").alias("n_template"),
@@ -98,13 +109,14 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"), template_table(spark))
 
 
+_SIGNS = PUNCTUATION.replace("'", "''")
 _VALUES = ",\n  ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in TEMPLATES)
 OP2_SQL = rf"""
 WITH tpl(template_id, text) AS (VALUES {_VALUES}),
-tw AS (SELECT template_id, list_filter(regexp_split_to_array(translate(lower(text), '.,;:!?"()[]''', '            '), '[ \t-\r]+'), lambda x: x <> '') AS w FROM tpl),
+tw AS (SELECT template_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{' ' * len(PUNCTUATION)}'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM tpl),
 ts AS (SELECT DISTINCT template_id, w[i + 1:i + 5] AS sh FROM (SELECT template_id, w, unnest(range(len(w) - 4)) AS i FROM tw)),
 tn AS (SELECT template_id, count(*) AS m, CAST(pow(2, ceil(log2(count(*)) - 1e-9)) AS BIGINT) AS s FROM ts GROUP BY template_id),
-dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(lower(text), '.,;:!?"()[]''', '            '), '[ \t-\r]+'), lambda x: x <> '') AS w
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{' ' * len(PUNCTUATION)}'), '[ \t-\r]+'), lambda x: x <> '') AS w
        FROM documents WHERE text IS NOT NULL),
 ds AS (SELECT doc_id, i AS p, w[i + 1:i + 5] AS sh FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 0))) AS i FROM dw)),
 h AS (SELECT doc_id, template_id, m, s, p // s AS k, sh FROM ds JOIN ts USING (sh) JOIN tn USING (template_id)),

@@ -76,14 +76,15 @@ def leaks(docs, items, wide=13, need=11):
         w = words((t or "").lower())
         for item, text in items:
             b = words((text or "").lower())
-            if len(b) < 5:
+            if len(b) < 3:
                 continue
             n = min(wide, len(b))
+            enough = need if n == wide else (4 * n + 4) // 5 if n >= 5 else n
             for shift in range(-len(b) + 1, len(w)):
                 lo, hi = max(0, -shift), min(len(b), len(w) - shift)
                 eq = [b[j] == w[j + shift] for j in range(lo, hi)]
                 best = max((sum(eq[i:i + n]) for i in range(len(eq) - n + 1)), default=0)
-                if best >= (need if n == wide else n):
+                if best >= enough:
                     out[d, item] = max(out.get((d, item), 0), best)
     return out
 

@@ -1,5 +1,6 @@
 """Places where an operator once did less than the whole job."""
 
+import itertools
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 
 import brute
 import corpus_pipeline
-from lakeshelf.llm import lines, neardup, repair
+from lakeshelf.llm import decontaminate, licenses, lines, neardup, repair
 
 
 def most_frequent(seq, starts):
@@ -81,3 +82,74 @@ def test_only_verified_copies_keep_recurring_lines(docs):
     rows += [(10 + i, rows[0][1]) for i in range(3)]
     out = {r.doc_id: r.text for r in lines.without_recurring(docs(rows)).collect()}
     assert out == {0: rows[0][1], **{i: own(i) for i in range(1, 6)}, **{10 + i: rows[0][1] for i in range(3)}}
+
+
+def filler(i):
+    return " ".join(f"own{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[k]}" for k in range(10))
+
+
+def test_short_lines_and_several_kinds_in_a_leaf(docs):
+    rows = [(i, f"{filler(i)}\nAll rights reserved.") for i in range(6)]
+    first = lambda i: f"user {'abcdef'[i] * 3} logged in from the {'ghijkl'[i] * 2} host at noon"
+    log = [(100 + i, f"{filler(10 + i)}\nthe job server has started {'abcdef'[i] * 3} with all its workers") for i in range(6)]
+    log += [(200 + i, f"{filler(20 + i)}\nthe job server lost touch {'abcdef'[i] * 3} and gave up waiting") for i in range(6)]
+    log += [(300 + i, f"{filler(30 + i)}\nthe job server {' '.join('pqrstuvw'[(i + k) % 8] * (i + 2) for k in range(7))}") for i in range(8)]  # prose between them
+    log += [(400, filler(50) + "\n" + first(0))]
+    out = {r.doc_id: r for r in lines.without_recurring(docs(rows + log)).collect()}
+    assert [out[i]._n_removed for i in range(6)] == [0, 1, 1, 1, 1, 1] and out[3].text == filler(3)
+    assert [out[100 + i]._n_removed for i in range(6)] == [0, 1, 1, 1, 1, 1] == [out[200 + i]._n_removed for i in range(6)]
+    assert {out[300 + i]._n_removed for i in range(8)} == {0} == {out[400]._n_removed}
+    few = {r.doc_id: r._n_removed for r in lines.without_recurring(docs(rows[:5])).collect()}
+    assert set(few.values()) == {0}  # prose repeats so short a line by chance
+
+
+def test_the_query_spares_no_document(docs):
+    notice = "\n".join(f"the notice {a * 3} that every page of the house carries" for a in "abc")
+    rows = [(i, f"{filler(i)}\n{notice}") for i in range(6)]  # 30 of 40 words recur
+    out = {r.doc_id: r._n_removed for r in lines.without_recurring(docs(rows), spare_copies=False).collect()}
+    assert out == {0: 0, **{i: 3 for i in range(1, 6)}}
+
+
+def test_short_items_with_a_word_changed(spark, docs):
+    item = "which river runs past the old mill of the northern town"
+    bench = spark.createDataFrame([(1, item), (2, "what is seven twelfths"), (3, "name two moons"), (4, "the"), (5, "of the"), (6, "a b c d e")], "item_id long, text string")
+    rows = [(10, f"{filler(1)} {item.replace('old', 'new')} {filler(2)}"), (11, f"{filler(3)} what is seven twelfths {filler(4)}"), (12, "what is six twelfths"),
+            (13, f"{filler(5)} {item.replace('old', 'new').replace('river', 'brook').replace('past', 'by')}"), (14, "name two moons"), (15, "x a b z d e y"), (16, "a b z d y")]
+    rows.append((17, item.replace("which", "what").replace("town", "place")))
+    want = brute.leaks(rows, [tuple(r) for r in bench.collect()])
+    out = {(r.doc_id, r.item_id): r.n_equal for r in decontaminate.contaminated(docs(rows), bench).collect()}
+    assert out == want and set(out) == {(10, 1), (11, 2), (14, 3), (15, 6), (17, 1)}
+
+
+def test_short_masks_lose_nothing():
+    """With any one substitution in 5 words, some placement of a short mask avoids it; so one does with any two in 10."""
+    for n, bad in ((5, 1), (10, 2), (11, 2), (12, 2)):
+        for gone in itertools.combinations(range(n), bad):
+            assert any(not any(m[g - at] == "1" for g in gone if 0 <= g - at < len(m)) for m in decontaminate.SHORT_MASKS for at in range(n - len(m) + 1))
+
+
+def test_licenses_in_source_comments(spark, docs):
+    notices = dict(licenses.TEMPLATES)
+    words = notices["apache-2.0-notice"].split()
+    comment = lambda mark: "\n".join(f"{mark} {' '.join(words[i:i + 11])}" for i in range(0, len(words), 11))
+    rows = [(k, f"{filler(k)}\n{comment(mark)}\n{filler(k + 1)}") for k, mark in enumerate((" *", "#", "//", "--", ";;", "<!--"))]
+    found = {(r.doc_id, r.template_id) for r in licenses.scan(docs(rows), licenses.template_table(spark)).collect()}
+    assert {(k, "apache-2.0-notice") for k in range(6)} <= found
+    full = {(r.doc_id, r.template_id) for r in licenses.scan(docs(list(enumerate(notices.values()))), licenses.template_table(spark)).collect()}
+    assert {(i, name) for i, name in enumerate(notices)} <= full
+
+
+CLASHES = ("_text", "_all", "_words", "_drop", "_row", "_id_doc_id", "d", "drop", "held", "doc", "_n_removed", "all")
+
+
+def test_clashing_column_names_pass_all_stages(spark, corpus):
+    rows = [(d, t, "en", "s", None if t is None else len(t), *[f"{c}{i}" for c in CLASHES], {"k": str(i)}) for i, (d, t) in enumerate(corpus + corpus[:3])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES) + ", m map<string,string>"
+    docs = spark.createDataFrame(rows, schema)
+    asked = {tuple(r[5:-1]): r[0] for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert asked[tuple(r[c] for c in CLASHES)] == r.doc_id and r.m == {"k": r._text.removeprefix("_text")}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == len(rows)
