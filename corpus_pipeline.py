@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import decontaminate, lines, neardup, pieces, quality
-from lakeshelf.llm.common import read, release, stored, written
+from lakeshelf.llm.common import fresh, read, release, stored, written
 from lakeshelf.operators.joins import fits, maybe_broadcast
 
 # Tables of ids are broadcast up to so many rows (under 100 bytes each), else joined by shuffle.
@@ -29,26 +29,34 @@ MAX_BROADCAST_IDS = 500_000
 
 def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join on all columns of ``ids``, nulls equal."""
-    ids = stored(ids.toDF(*[f"_id_{c}" for c in ids.columns]), "pipeline-ids")
-    on = reduce(lambda a, b: a & b, [F.col(c[4:]).eqNullSafe(F.col(c)) for c in ids.columns])
+    names = {c: fresh(docs.columns, f"_id_{c}") for c in ids.columns}
+    ids = stored(ids.toDF(*names.values()), "pipeline-ids")
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(own)) for c, own in names.items()])
     return docs.join(maybe_broadcast(ids, fits(ids, MAX_BROADCAST_IDS)), on, how)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that it rejects go."""
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    out = quality.judged(marked, ["doc_id", "lang", "source", "_text"]).filter(~F.col("kept"))
-    return _matching(marked, out.select("doc_id", "lang", "source", "_text").distinct(), "left_anti").select(*docs.columns)
+    mark = fresh(docs.columns, "_text")
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    out = quality.judged(marked, ["doc_id", "lang", "source", mark]).filter(~F.col("kept"))
+    return _matching(marked, out.select("doc_id", "lang", "source", mark).distinct(), "left_anti").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: recurring lines go."""
     out = lines.without_recurring(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(out.columns[-1]) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
+def _orderable(docs: DataFrame, name: str) -> Column:
+    """The column, or its JSON where Spark cannot order its type (maps, also inside others)."""
+    kind = docs.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(docs[name])) if "map<" in kind or kind == "variant" else docs[name]
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7 at a similarity of 0.8: one document of each component stays."""
     named = neardup.near_duplicates(docs, percent=80).filter("doc_id is not null")
@@ -56,8 +64,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = _matching(docs.filter("doc_id is not null"), first, "left_semi")
     twice = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     shared = _matching(kept, twice, "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
-    one = shared.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")
+    order = Window.partitionBy("doc_id").orderBy(*[_orderable(docs, c).asc_nulls_first() for c in docs.columns])
+    row = fresh(docs.columns, "_row")
+    one = shared.withColumn(row, F.row_number().over(order)).filter(F.col(row) == 1).drop(row)
     return _matching(kept, twice, "left_anti").unionByName(one).unionByName(docs.filter("doc_id is null"))
 
 
