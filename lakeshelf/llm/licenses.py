@@ -1,6 +1,6 @@
 """License scan (operator 2). DataFrame functions only.
 
-Texts and license templates are lower-cased, stripped of all signs and cut into
+Texts and license templates are lower-cased, stripped of punctuation and of the marks of comments, and cut into
 5-word shingles. A template of m shingles belongs to class s, the least power of two that is
 at least m, and is looked for in windows of 2 s shingles that start every s shingles, so
 that each occurrence lies whole in one window. Windows and templates are MinHashed, and a
@@ -29,8 +29,9 @@ from lakeshelf.operators.joins import fits, maybe_broadcast
 
 SHINGLE, BANDS, CONTAINED = 5, 64, 0.8
 MAX_BROADCAST_SHINGLES = 1_000_000
-# Also the marks of comments: a notice behind " * ", "#" or "//" has the words of the bare one.
-PUNCTUATION = ".,;:!?\"'()[]{}<>*#/\\|=+-_~`%&$@^"
+PUNCTUATION = ".,;:!?\"'()[]"
+# A word of these alone is the mark of a comment: a notice behind " * ", "#" or "//" has the words of the bare one.
+MARKS = "*#/\\|=+-_~`%&$@^<>{}"
 
 # Public license notices.
 TEMPLATES = [
@@ -56,7 +57,7 @@ TEMPLATES = [
 def _shingles(text: Column) -> Column:
     """Hashes of the 5-word shingles, in order."""
     clean = F.translate(F.lower(text), PUNCTUATION, " " * len(PUNCTUATION))
-    return F.filter(F.split(clean, r"[ \t-\r]+"), lambda w: w != "")
+    return F.filter(F.split(clean, r"[ \t-\r]+"), lambda w: F.translate(w, MARKS, "") != "")
 
 
 def _hashed(df: DataFrame, *keep: str) -> DataFrame:
@@ -109,14 +110,14 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"), template_table(spark))
 
 
-_SIGNS = PUNCTUATION.replace("'", "''")
+_SIGNS, _BLANKS = PUNCTUATION.replace("'", "''"), " " * len(PUNCTUATION)
 _VALUES = ",\n  ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in TEMPLATES)
 OP2_SQL = rf"""
 WITH tpl(template_id, text) AS (VALUES {_VALUES}),
-tw AS (SELECT template_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{' ' * len(PUNCTUATION)}'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM tpl),
+tw AS (SELECT template_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{_BLANKS}'), '[ \t-\r]+'), lambda x: translate(x, '{MARKS}', '') <> '') AS w FROM tpl),
 ts AS (SELECT DISTINCT template_id, w[i + 1:i + 5] AS sh FROM (SELECT template_id, w, unnest(range(len(w) - 4)) AS i FROM tw)),
 tn AS (SELECT template_id, count(*) AS m, CAST(pow(2, ceil(log2(count(*)) - 1e-9)) AS BIGINT) AS s FROM ts GROUP BY template_id),
-dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{' ' * len(PUNCTUATION)}'), '[ \t-\r]+'), lambda x: x <> '') AS w
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(lower(text), '{_SIGNS}', '{_BLANKS}'), '[ \t-\r]+'), lambda x: translate(x, '{MARKS}', '') <> '') AS w
        FROM documents WHERE text IS NOT NULL),
 ds AS (SELECT doc_id, i AS p, w[i + 1:i + 5] AS sh FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 0))) AS i FROM dw)),
 h AS (SELECT doc_id, template_id, m, s, p // s AS k, sh FROM ds JOIN ts USING (sh) JOIN tn USING (template_id)),
