@@ -142,7 +142,8 @@ def curve_key(df: DataFrame, columns: Sequence[str], n_rows: int) -> Column:
     for place, c in enumerate(columns):
         values, ranges = few[c], 1 << CURVE_BITS
         bounds = sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
-        rank = reduce(add, [F.coalesce(F.col(c) >= F.lit(b), F.lit(False)).cast("long") for b in bounds], F.lit(0).cast("long"))
+        step = ranges // (len(bounds) + 1)  # few values take the high bits too, or a column of many would outweigh them
+        rank = reduce(add, [F.coalesce(F.col(c) >= F.lit(b), F.lit(False)).cast("long") * step for b in bounds], F.lit(0).cast("long"))
         for bit in range(CURVE_BITS):
             key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + place)
     return key
