@@ -106,6 +106,42 @@ def test_quality_statistics_and_base_rules(docs, corpus):
         assert r.kept is not None and not (r.kept and r.base_failed)
 
 
+def robust_distances(texts):
+    """Squared distances of texts from their group's least-determinant estimate, in numpy."""
+    x, noise = [], []
+    for t in texts:
+        n, c, s, d, rep = brute.base_statistics(t)
+        lines = max(1, sum(bool(brute.WORD.search(z)) for z in t.split("\n")))
+        x.append([np.log(c / n), np.sqrt(s / n), np.sqrt(d / lines), np.sqrt(rep / n)])
+        noise.append([0.25 / n, 0.25 / n, 0.25 / lines, 2 / n])
+    x, noise = np.array(x), np.mean(noise, 0)
+    half = lambda v: brute.quantile_low(v, 0.5)
+
+    def dist(m, cov):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov + np.diag(noise)), x - m)
+
+    def step(m, cov):
+        d2 = dist(m, cov)
+        near = x[d2 <= brute.quantile_low(d2, quality.SHARE) + 1e-12]
+        cov = np.cov(near.T, bias=True)
+        return np.linalg.slogdet(cov + np.diag(noise))[1], near.mean(0), cov
+
+    m = np.array([half(c) for c in x.T])
+    far = np.sqrt(((x - m) ** 2 / noise).sum(1))
+    z = (x - m) / np.maximum(far, 1e-9)[:, None]
+    starts = [(m, np.diag([(1.4826 * half(abs(c - k))) ** 2 for c, k in zip(x.T, m)])), (x.mean(0), np.cov(x.T, bias=True)),
+              (m, z.T @ z / len(x) * half(far ** 2))]
+    ends = []
+    for start in starts:
+        best = step(*start)
+        while (new := step(*best[1:]))[0] < best[0] - 2e-9:
+            best = new
+        ends.append(best)
+    _, m, cov = min(ends, key=lambda e: e[0])
+    near = x[dist(m, quality.CONSISTENT[0] * cov) <= quality.REWEIGHT]
+    return dist(near.mean(0), quality.CONSISTENT[1] * np.cov(near.T, bias=True))
+
+
 def test_quality_outliers(spark):
     """The verdicts equal those of the same estimate in numpy, for a group of its own, a pooled one and a null one."""
     r = random.Random(2)
@@ -124,25 +160,30 @@ def test_quality_outliers(spark):
         if not out[i].base_failed:
             groups.setdefault("big" if source == "big" else "pool" if lang else "rest", []).append((i, t))
     for name, members in groups.items():
-        x = []
-        for _, t in members:
-            n, c, s, d, rep = brute.base_statistics(t)
-            x.append([np.log(c / n), np.sqrt(s / n), np.sqrt(d / max(1, sum(bool(brute.WORD.search(z)) for z in t.split("\n")))), np.sqrt(rep / n)])
-        x = np.array(x)
-        floor = np.diag(np.square(quality.FLOOR))
-        half = lambda v: brute.quantile_low(v, 0.5)
-        m = np.array([half(c) for c in x.T])
-        cov = np.diag([(1.4826 * half(abs(c - k))) ** 2 for c, k in zip(x.T, m)]) + floor
-        dist = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(cov), x - m)
-        for _ in range(quality.STEPS):
-            near = x[dist() <= brute.quantile_low(dist(), quality.SHARE) + 1e-12]
-            m, cov = near.mean(0), np.cov(near.T, bias=True) + floor
-        d2 = dist() / max(1.0, half(dist()) / quality.MEDIAN_D2)
-        reject = (d2 > quality.CUTOFF) & (len(members) >= quality.MIN_POOL)
+        reject = (robust_distances([t for _, t in members]) > quality.CUTOFF) & (len(members) >= quality.MIN_POOL)
         assert [out[i].kept for i, _ in members] == [not z for z in reject], name
         assert name == "rest" or 0 < reject.sum() < 0.2 * len(members)
 
 
+def test_quality_limits_follow_the_group(spark):
+    """The same texts are outliers where a group's own spread is small and usual where it is large, also along a joint direction."""
+    r = random.Random(4)
+
+    def text(mean, symbols, n=200):
+        return " ".join("w" * max(1, round(r.gauss(mean, 1))) + ("$" if k < symbols else "") for k in range(n))
+
+    rows = [(i, text(6, 0), "en", "even") for i in range(300)]
+    wide = [r.uniform(-1, 1) for _ in range(300)]
+    rows += [(1000 + i, text(6 + 2 * u, round(40 + 39 * u)), "en", "wide") for i, u in enumerate(wide)]  # long words go with symbols
+    same = [text(6, 40) for _ in range(5)]
+    rows += [(2000 + i, t, "en", "even") for i, t in enumerate(same)] + [(3000 + i, t, "en", "wide") for i, t in enumerate(same)]
+    rows += [(4000 + i, text(4, 79), "en", "wide") for i in range(5)]  # each coordinate is usual, the pair is not
+    out = {x.doc_id: x.kept for x in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    for group, first in (("even", 0), ("wide", 1000)):
+        assert sum(out[first + i] for i in range(300)) >= 297, group
+    assert not any(out[2000 + i] for i in range(5)) and all(out[3000 + i] for i in range(5)) and not any(out[4000 + i] for i in range(5))
+
+
 def test_each_mask_avoids_any_two_substitutions():
     for mask in decontaminate.MASKS:
         ones = [i for i, b in enumerate(mask) if b == "1"]
