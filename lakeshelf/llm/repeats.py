@@ -1,4 +1,4 @@
-"""Repeated windows of n symbols over all documents: the common part of operators 3 and 9.
+"""Repeated windows of n symbols over all documents, by anchors (operator 9); its helpers serve operator 3 too.
 
 A window that starts in a document is removed if the same n symbols also start in a
 document with a smaller doc_id. To find these without shuffling every window, each window
@@ -178,7 +178,7 @@ def anchors(seq, sums: np.ndarray, n: int, k: int):
     return i, k1[i], k2[i], rank, least
 
 
-def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def row_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """doc_id (null as NO_ID) and a 32-bit hash of the text for each row."""
     doc = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
     buf, at = text_bytes(batch.column("text"))
@@ -187,12 +187,12 @@ def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return doc, (h >> U(32)).astype(np.uint32)
 
 
-def _home(doc: np.ndarray, tag: np.ndarray, parts: int) -> np.ndarray:
+def home_of(doc: np.ndarray, tag: np.ndarray, parts: int) -> np.ndarray:
     """The partition in which a row meets what was found for it."""
     return (mix(doc.view(U) * ODD + tag.astype(U)) % U(parts)).astype(np.int32)
 
 
-def _dealt(part: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+def dealt(part: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One packed row for each partition that gets something."""
     if not len(part):
         return
@@ -205,11 +205,11 @@ def _dealt(part: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[pa.Reco
                                          names=["part", "kind", "blob"])
 
 
-def _found(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, kind: int, parts: int) -> Iterator[pa.RecordBatch]:
+def findings(doc: np.ndarray, tag: np.ndarray, pos: np.ndarray, kind: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Findings, sent to the rows' home partitions."""
     order = np.lexsort((pos, tag, doc))
     doc, tag, pos = doc[order], tag[order], pos[order]
-    yield from _dealt(_home(doc, tag, parts), kind, doc, tag, pos)
+    yield from dealt(home_of(doc, tag, parts), kind, doc, tag, pos)
 
 
 def _smallest(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -240,9 +240,9 @@ def _scan(make: Callable, n: int, k: int, parts: int, bucket: Callable):
             k1, k2, ctx, doc, tag, pos = [np.concatenate(c) for c in zip(*held)]
             held.clear()
             repeat = doc > _smallest(mix(k1 + k2.astype(U) * ODD) ^ ctx, doc)
-            yield from _found(doc[repeat], tag[repeat], pos[repeat], RESOLVED, parts)
+            yield from findings(doc[repeat], tag[repeat], pos[repeat], RESOLVED, parts)
             k1, k2, ctx, doc, tag, pos = [c[~repeat] for c in (k1, k2, ctx, doc, tag, pos)]
-            yield from _dealt(bucket(k1, ctx), SENT, k1, k2, ctx, doc, tag, pos)
+            yield from dealt(bucket(k1, ctx), SENT, k1, k2, ctx, doc, tag, pos)
 
         size = 0
         for batch in chunks(batches):
@@ -254,7 +254,7 @@ def _scan(make: Callable, n: int, k: int, parts: int, bucket: Callable):
             row = np.searchsorted(seq.at, i, side="right") - 1
             start, end = np.maximum(seq.at[row], i - (n - k)), np.minimum(seq.at[row + 1], i + n)
             ctx = mix(span(sums, start, end) + mix((i - start).astype(U) << U(32) | (end - i).astype(U)))
-            doc, tag = _rows(batch)
+            doc, tag = row_keys(batch)
             held.append([k1, k2, ctx, doc[row], tag[row], (i - seq.at[row]).astype(np.int32)])
             size += len(i)
             if size >= FLUSH:
@@ -301,8 +301,8 @@ def _resolve(parts: int, spread: Callable):
         several = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts)
         repeat = doc > least[context]
         look = ~repeat & (several[gram] | spread(k1))
-        yield from _found(doc[repeat], tag[repeat], pos[repeat], RESOLVED, parts)
-        yield from _found(doc[look], tag[look], pos[look], OPEN, parts)
+        yield from findings(doc[repeat], tag[repeat], pos[repeat], RESOLVED, parts)
+        yield from findings(doc[look], tag[look], pos[look], OPEN, parts)
     return work
 
 
@@ -329,7 +329,7 @@ def _meet(batches: Iterator[pa.RecordBatch], kinds: tuple) -> Iterator[tuple[dic
 def _of_rows(found: tuple, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Findings for the rows of a batch: row index and position; and doc, tag of the rows."""
     key, pos = found
-    doc, tag = _rows(batch)
+    doc, tag = row_keys(batch)
     own = mix(doc.view(U) * ODD + tag.astype(U))
     lo, hi = np.searchsorted(key, own, "left"), np.searchsorted(key, own, "right")
     row = np.repeat(np.arange(len(own)), hi - lo)
@@ -344,9 +344,9 @@ def _windows(make: Callable, n: int, k: int, parts: int):
             h, doc, tag, pos = [np.concatenate(c) for c in zip(*held)]
             held.clear()
             repeat = doc > _smallest(h, doc)
-            yield from _found(doc[repeat], tag[repeat], pos[repeat], REPEATED, parts)
+            yield from findings(doc[repeat], tag[repeat], pos[repeat], REPEATED, parts)
             h, doc, tag, pos = h[~repeat], doc[~repeat], tag[~repeat], pos[~repeat]
-            yield from _dealt(((h >> U(32)) * U(parts) >> U(32)).astype(np.int32), SENT, h, doc, tag, pos)
+            yield from dealt(((h >> U(32)) * U(parts) >> U(32)).astype(np.int32), SENT, h, doc, tag, pos)
 
         size = 0
         for found, whole in _meet(batches, (OPEN,)):
@@ -381,11 +381,11 @@ def _decide(parts: int):
         blobs = [b for batch in batches for b in batch.column("blob").to_pylist()]
         h, doc, tag, pos = joined(blobs, WINDOW)
         repeat = doc > _smallest(h, doc)
-        yield from _found(doc[repeat], tag[repeat], pos[repeat], REPEATED, parts)
+        yield from findings(doc[repeat], tag[repeat], pos[repeat], REPEATED, parts)
     return work
 
 
-def _removed(make: Callable, n: int, k: int, unit: str):
+def cut_out(make: Callable, n: int, k: int, unit: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, whole in _meet(batches, (RESOLVED, REPEATED)):
             for batch in chunks([whole]):
@@ -411,6 +411,17 @@ def _removed(make: Callable, n: int, k: int, unit: str):
     return work
 
 
+def by_part(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartitionById(parts, F.col("part"))
+
+
+def with_texts(found: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
+    """Findings and all texts, by home partition, the findings first."""
+    texts = docs.mapInArrow(_homes(parts), "part int, kind int, blob binary, doc_id long, text string")
+    rows = found.withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string")}).unionByName(texts)
+    return by_part(rows, parts).sortWithinPartitions("kind")
+
+
 def without_repeats(docs: DataFrame, make: Callable, unit: str, n: int, k: int,
                     splitters: Callable[[DataFrame, int], np.ndarray] | None = None) -> DataFrame:
     """doc_id, ``unit`` (symbols of the text), removed (array of start, length in symbols), kept (binary).
@@ -435,30 +446,22 @@ def without_repeats(docs: DataFrame, make: Callable, unit: str, n: int, k: int,
             return np.zeros(len(k1), bool)
         return np.searchsorted(edges, k1, "right") - np.searchsorted(edges, k1, "left") > 0
 
-    by_part = lambda df: df.repartitionById(parts, F.col("part"))
-
-    def with_texts(found: DataFrame) -> DataFrame:
-        """Findings and all texts, by home partition, the findings first."""
-        texts = d.mapInArrow(_homes(parts), "part int, kind int, blob binary, doc_id long, text string")
-        rows = found.withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string")}).unionByName(texts)
-        return by_part(rows).sortWithinPartitions("kind")
-
     # What the scan already settled passes through the buckets' step beside the anchors.
     scanned = d.mapInArrow(_scan(make, n, k, parts, bucket), FOUND)
-    first = stored(by_part(scanned).mapInArrow(_passing(_resolve(parts, spread), (RESOLVED,)), FOUND), f"{unit}-first")
-    looked = with_texts(first.filter(F.col("kind") == OPEN)).mapInArrow(_windows(make, n, k, parts), FOUND)
-    second = stored(by_part(looked).mapInArrow(_passing(_decide(parts), (REPEATED,)), FOUND), f"{unit}-second")
+    first = stored(by_part(scanned, parts).mapInArrow(_passing(_resolve(parts, spread), (RESOLVED,)), FOUND), f"{unit}-first")
+    looked = with_texts(first.filter(F.col("kind") == OPEN), d, parts).mapInArrow(_windows(make, n, k, parts), FOUND)
+    second = stored(by_part(looked, parts).mapInArrow(_passing(_decide(parts), (REPEATED,)), FOUND), f"{unit}-second")
     all_found = first.filter(F.col("kind") == RESOLVED).unionByName(second)
     schema = f"doc_id long, {unit} long, removed array<struct<start:long,length:long>>, kept binary"
-    return with_texts(all_found).mapInArrow(_removed(make, n, k, unit), schema)
+    return with_texts(all_found, d, parts).mapInArrow(cut_out(make, n, k, unit), schema)
 
 
 def _homes(parts: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            doc, tag = _rows(batch)
+            doc, tag = row_keys(batch)
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(_home(doc, tag, parts)), pa.array(np.full(n, TEXT, np.int32)), pa.nulls(n, pa.binary()), batch.column("doc_id"), batch.column("text")],
+            yield pa.RecordBatch.from_arrays([pa.array(home_of(doc, tag, parts)), pa.array(np.full(n, TEXT, np.int32)), pa.nulls(n, pa.binary()), batch.column("doc_id"), batch.column("text")],
                                              names=["part", "kind", "blob", "doc_id", "text"])
     return work
 

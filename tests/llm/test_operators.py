@@ -41,6 +41,31 @@ def test_substrings(docs, corpus):
     assert got(out, "*") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("window, base, levels", [(2, 4, [1, 2]), (5, 1, [1, 2, 3, 5]), (26, 4, [4, 7, 13, 26]), (13, 13, [7, 13])])
+def test_substring_levels(docs, corpus, window, base, levels):
+    """Any target and first length give the windows of the target; each level is twice the one before, or one less."""
+    from pyspark.sql import functions as F
+
+    assert substrings.doubled(window, base) == levels
+    some = corpus[::3]
+    out = substrings.without_repeated_words(docs(some), window, base)
+    out = out.select("doc_id", "n_words", total("removed").alias("r"), F.size("removed").alias("s"), F.sha2("kept", 256).alias("h"))
+    assert got(out, "*") == sorted(brute.repeated(some, window, brute.words, " ".join), key=repr)
+
+
+def test_substrings_chained_and_frequent(docs):
+    """Halves that repeat apart from each other are no repeat; a window in all texts, often in each, is one; nothing left ends the levels."""
+    half = [[f"{c}{i}" for i in range(7)] for c in "abcd"]
+    rows = [(1, " ".join(half[0] + half[1])), (2, " ".join(half[0] + half[2])), (3, " ".join(half[3] + half[1])), (4, " ".join(half[0] + half[1][:6]))]
+    out = {r.doc_id: [(x.start, x.length) for x in r.removed] for r in substrings.without_repeated_words(docs(rows)).collect()}
+    assert out == {1: [], 2: [], 3: [], 4: [(0, 13)]}
+    often = [(i, "x " * (13 + i)) for i in range(40)]
+    out = {r.doc_id: (r.n_words, sum(x.length for x in r.removed)) for r in substrings.without_repeated_words(docs(often)).collect()}
+    assert out == {i: (13 + i, 13 + i if i else 0) for i in range(40)}
+    none = [(i, " ".join(f"{i}-{k}" for k in range(50))) for i in range(5)]
+    assert [r.removed for r in substrings.without_repeated_words(docs(none)).collect()] == [[]] * 5
+
+
 def test_suffixes(docs, corpus):
     from pyspark.sql import functions as F
 
