@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.arrays import WORD_CHUNK_BYTES, Remembered, chunks, gather, word_ids
+from lakeshelf.llm.arrays import chunks, gather, without_gc, word_ids
 from lakeshelf.llm.common import parallelism, read, small_batches, stored
 from lakeshelf.session import scratch_path
 
@@ -50,7 +51,8 @@ END_ID = 2
 BASE = 51_000  # first nonterminal; all ids of the vocabulary are below
 BLOCK_IDS, MIN_COUNT, ROUND_RULES = 1_000_000, 24, 2000
 LARGE, BUCKET_BITS = 1 << 16, 20
-MAX_WORDS, MAX_PIECES, BATCH = 200_000, 350_000, 5_000
+MAX_PIECES, BATCH = 600_000, 5_000
+TEXT_BYTES = 16 << 20  # each distinct word of so much text is looked up once
 TAIL = ".,;:!?$*&%#|"
 # Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in order.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -65,59 +67,70 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Pieces:
+    """Ids of pieces of words, kept over the tasks of a Python worker: about ``limit`` of them, then anew."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)  # starts[i + 1] is the end of piece i
+
+    def slots(self, pieces: list[str], encode) -> np.ndarray:
+        """Places in ``starts`` of distinct pieces, until the next call; ``encode`` gives the ids of new ones and their numbers."""
+        if len(self.slot) > self.limit:
+            self.clear()
+        out = np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            names = [pieces[i] for i in new.tolist()]
+            flat, sizes = encode(names)
+            n = len(self.slot)
+            ends = self.starts[n] + np.cumsum(sizes)
+            self.starts = np.append(self.starts, np.zeros(max(0, n + len(new) + 1 - len(self.starts)), np.int64))
+            self.flat = np.append(self.flat, np.zeros(max(0, ends[-1] - len(self.flat)), np.uint32))
+            self.flat[self.starts[n]:ends[-1]] = flat
+            self.starts[n + 1:n + 1 + len(new)] = ends
+            out[new] = np.arange(n, n + len(new))
+            self.slot.update(zip(names, range(n, n + len(new))))
+        return out
+
+
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which sees each distinct piece of a word once.
+    """Ids of texts by the tokenizers library, whose model sees each distinct piece of a word once.
 
     The vocabulary's own pre-tokenisation cuts before a space that stands between two
     characters other than white space, around a line feed that stands so, and between a
-    letter and marks of TAIL that end a word. Texts whose spaces all stand so are cut in these places
-    and the pieces are encoded alone; other texts are encoded whole.
+    letter and marks of TAIL that end a word. Texts whose spaces all stand so are cut in these places,
+    a batch's distinct words at once; words that are not letters and such marks are encoded whole, and so are other texts.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.model = self.tok.model
-        self.words = Remembered(MAX_WORDS)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def single(self, piece: str) -> tuple[int, ...]:
-        """Ids of a piece that the pre-tokeniser leaves whole, by the library's model, in its byte alphabet."""
-        if (known := self.pieces.get(piece)) is None:
-            mapped = piece.replace(" ", "\u0120") if piece.isascii() and piece != "\n" else piece.encode().decode("latin-1").translate(BYTE_ALPHABET)
-            known = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(mapped)])
-        return known
-
-    def cut(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words, each with the space before it or a text's first, from those of their pieces."""
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces.clear()
-        single = self.single
-        out: list = []
-        rest = []
-        for w in words:
-            if w[1:].isalpha() and (w[0] == " " or w[0].isalpha()):
-                out.append(single(w))
-                continue
-            lines = w.split("\n")
-            if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in [lines[0].removeprefix(" "), *lines[1:]]):
-                lines = [w]
-            ids: tuple[int, ...] = ()
-            for i, x in enumerate(lines):
-                if i:
-                    ids += single("\n")
-                stem = x.rstrip(TAIL)
-                if stem.removeprefix(" ").isalpha():
-                    ids += single(stem) + single(x[len(stem):]) if len(stem) < len(x) else single(stem)
-                else:
-                    rest.append((len(out), w))
-                    break
-            out.append(ids)
-        for (i, _), ids in zip(rest, self.whole([w for _, w in rest])):
-            out[i] = tuple(ids)
-        return out
+        self.bare = Tokenizer(self.tok.model)  # the model alone, over pieces in its byte alphabet, which has no spaces
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.pieces = Pieces(MAX_PIECES)
+
+    def alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that the pre-tokeniser leaves whole, one after the other, and their number in each."""
+        mapped = [p.replace(" ", "\u0120") if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(BYTE_ALPHABET) for p in pieces]
+        flat, sizes = [], []
+        for i in range(0, len(mapped), BATCH):
+            part = mapped[i:i + BATCH]
+            found = self.bare.encode(" ".join(part), add_special_tokens=False)
+            flat.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         out = []
@@ -125,6 +138,46 @@ class WordEncoder:
             out += [e.ids for e in self.tok.encode_batch(texts[i:i + BATCH], add_special_tokens=False)]
         return out
 
+    def words(self, words: pa.Array, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and the n + 1 places where they begin; ``spaced`` ones have a space before them."""
+        lines = pc.split_pattern(words, "\n")
+        sizes = pc.list_value_length(lines).to_numpy()
+        lines = lines.flatten()
+        of_word = np.repeat(np.arange(len(words)), sizes)
+        later = np.concatenate([[False], of_word[1:] == of_word[:-1]])
+        stems = pc.utf8_rtrim(lines, characters=TAIL)
+        letters = np.fromiter(map(str.isalpha, strings(stems)), bool, len(stems))
+        odd = np.bincount(of_word[~letters], minlength=len(words)) > 0
+        take = ~odd[of_word]
+        lines, stems, of_word, later = lines.filter(pa.array(take)), stems.filter(pa.array(take)), of_word[take], later[take]
+        marked = np.flatnonzero(pc.not_equal(pc.binary_length(lines), pc.binary_length(stems)).to_numpy(zero_copy_only=False))
+        tails = [x[len(s):] for x, s in zip(strings(lines.take(pa.array(marked))), strings(stems.take(pa.array(marked))))]
+        with_space = pa.array(spaced[of_word] & ~later)
+        space = pa.scalar(" ", pa.large_string())
+        stems = pc.if_else(with_space, pc.binary_join_element_wise(space, stems, pa.scalar("", pa.large_string())), stems).dictionary_encode()
+        marks = pa.array(tails, pa.large_string()).dictionary_encode()
+        slots = self.pieces.slots([*strings(stems.dictionary), *strings(marks.dictionary), "\n"], self.alone)
+        # Pieces of a line: the line feed before it, its stem, its tail.
+        count = 1 + later
+        count[marked] += 1
+        ends = np.cumsum(count)
+        piece = np.empty(int(count.sum()), np.int64)
+        piece[(ends - count)[later]] = slots[-1]
+        piece[ends - count + later] = slots[stems.indices.to_numpy()]
+        piece[ends[marked] - 1] = slots[len(stems.dictionary) + marks.indices.to_numpy()]
+        begin = self.pieces.starts[piece]
+        length = self.pieces.starts[piece + 1] - begin
+        flat = gather(self.pieces.flat, begin, length)
+        long = np.bincount(np.repeat(of_word, count), weights=length, minlength=len(words)).astype(np.int64)
+        rest = np.flatnonzero(odd)
+        if len(rest):
+            found = self.whole([" " + w if b else w for w, b in zip(strings(words.take(pa.array(rest))), spaced[rest])])
+            at = np.cumsum(long)[rest]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.insert(flat, np.repeat(at, sizes), np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+            long[rest] = sizes
+        return flat, np.concatenate([[0], np.cumsum(long)])
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = texts.cast(pa.large_string()).fill_null("")
         odd = pc.match_substring_regex(texts, r"[\s\v\p{Z}\x1c-\x1f\x{85}] |^ | $|^$| [\s\v\p{Z}\x1c-\x1f\x{85}]").to_numpy(zero_copy_only=False)
@@ -135,15 +188,16 @@ class WordEncoder:
             split = pc.split_pattern(texts.take(pa.array(even)), " ")
             sizes = pc.list_value_length(split).to_numpy()
             words = split.flatten().dictionary_encode()
-            names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
             index = words.indices.to_numpy()
             first = np.cumsum(sizes) - sizes
             heads = np.unique(index[first])
-            often = np.append(np.bincount(index, minlength=len(names)) > 1, np.zeros(len(heads), bool))
-            slots = self.words.slots([" " + w for w in names] + [names[i] for i in heads], often, self.cut)
-            at = slots[index]
-            at[first] = slots[len(names) + np.searchsorted(heads, index[first])]
-            for k, ids in zip(even, word_ids(self.words.starts, self.words.flat, at, sizes)):
+            n = len(words.dictionary)
+            forms = pa.concat_arrays([words.dictionary, words.dictionary.take(pa.array(heads))])
+            with without_gc():
+                flat, starts = self.words(forms, np.arange(len(forms)) < n)
+            at = index.astype(np.int64)
+            at[first] = n + np.searchsorted(heads, index[first])
+            for k, ids in zip(even, word_ids(starts, flat, at, sizes)):
                 out[k] = ids
         rest = np.flatnonzero(odd)
         for k, ids in zip(rest, self.whole([texts[int(k)].as_py() for k in rest])):
@@ -181,18 +235,18 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
     inner[-1:] = False
     look = np.flatnonzero(inner)  # places of all pairs that can be frequent
     while len(look) and (max_rounds is None or len(rules) < max_rounds):
-        keys = seq[look].astype(np.int64) << 32 | seq[look + 1]
+        keys = seq.take(look).astype(np.int64) << 32 | seq[1:].take(look)
         if len(look) > LARGE:  # pairs in a bucket of under min_count are not sorted
-            bucket = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-            often = np.bincount(bucket, minlength=1 << BUCKET_BITS)[bucket] >= min_count
-            look, keys = look[often], keys[often]
+            bucket = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BUCKET_BITS)).view(np.int64)
+            often = np.flatnonzero((np.bincount(bucket, minlength=1 << BUCKET_BITS) >= min_count).take(bucket))
+            look, keys = look.take(often), keys.take(often)
         # Only a pair of equal ids can overlap itself: of a run of neighbours take each other one.
         equal = np.flatnonzero(keys >> 32 == keys & 0xFFFFFFFF)
         run = np.maximum.accumulate(np.where(np.diff(look[equal], prepend=-2) > 1, np.arange(len(equal)), 0)) if len(equal) else equal
         free = np.ones(len(look), bool)
         free[equal[(np.arange(len(equal)) - run) % 2 == 1]] = False
         order = _order(keys, len(lengths))
-        found = keys[order]
+        found = keys.take(order)
         edge = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1], [True]])) if len(found) else np.zeros(1, np.int64)
         counts = np.add.reduceat(free[order].astype(np.int64), edge[:-1]) if len(found) else np.zeros(0, np.int64)
         often = np.flatnonzero(counts >= min_count)
@@ -204,16 +258,17 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
         rank_of[often] = np.arange(none)
         rank = np.empty(len(look), np.int32)
         rank[order] = np.repeat(rank_of, np.diff(edge))
-        frequent = rank < none
-        look, rank, free = look[frequent], rank[frequent], free[frequent]
+        frequent = np.flatnonzero(rank < none)
+        look, rank, free = look.take(frequent), rank.take(frequent), free.take(frequent)
         # Of two occurrences that overlap, the one of the more frequent pair is replaced.
-        tried, by = look[free], rank[free]
+        free = np.flatnonzero(free)
+        tried, by = look.take(free), rank.take(free)
         beside = np.full(len(tried) + 2, none, np.int32)
         beside[1:-1] = by
         before = np.where(np.diff(tried, prepend=-2) == 1, beside[:-2], none)
         after = np.where(np.diff(tried, append=len(seq) + 2) == 1, beside[2:], none)
-        wins = (by < before) & (by < after) & (by < ROUND_RULES)
-        at, by = tried[wins], by[wins]
+        wins = np.flatnonzero((by < before) & (by < after) & (by < ROUND_RULES))
+        at, by = tried.take(wins), by.take(wins)
         use = np.flatnonzero(np.bincount(by, minlength=none) >= min_count)  # the most frequent pair always
         new = np.zeros(none, np.int32)
         new[use] = len(lengths) + np.arange(len(use))
@@ -226,7 +281,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
         again = np.zeros(len(seq), bool)
         again[look] = True
         again[at] = True
-        seq, inner, again = seq[keep], inner[keep], again[keep]
+        keep = np.flatnonzero(keep)  # places are taken faster than marked ones are picked
+        seq, inner, again = seq.take(keep), inner.take(keep), again.take(keep)
         again[np.maximum(at - np.arange(len(at)) - 1, 0)] = True
         look = np.flatnonzero(again & inner)
         starts = starts - np.searchsorted(at + 1, starts)
@@ -308,7 +364,7 @@ def _write_blocks(vocabulary: str | None, block_ids: int):
             kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.bool_()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
-        for batch in chunks(batches, size=2 * WORD_CHUNK_BYTES):
+        for batch in chunks(batches, size=TEXT_BYTES):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
                 if parts and held + len(ids) + 1 > block_ids:
                     yield block()
