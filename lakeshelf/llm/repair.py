@@ -113,24 +113,23 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.bare = Tokenizer(self.tok.model)  # the model alone, over pieces in its byte alphabet, which has no spaces
-        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.model = self.tok.model
         self.pieces = Pieces(MAX_PIECES)
 
     def alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that the pre-tokeniser leaves whole, one after the other, and their number in each."""
-        mapped = [p.replace(" ", "\u0120") if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(BYTE_ALPHABET) for p in pieces]
-        flat, sizes = [], []
-        for i in range(0, len(mapped), BATCH):
-            part = mapped[i:i + BATCH]
-            found = self.bare.encode(" ".join(part), add_special_tokens=False)
-            flat.append(np.array(found.ids, np.uint32))
-            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
-        return np.concatenate(flat), np.concatenate(sizes)
+        flat: list[int] = []
+        ends = []
+        tokenize = self.model.tokenize
+        for p in pieces:
+            mapped = p.replace(" ", "\u0120") if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(BYTE_ALPHABET)
+            flat += [t.id for t in tokenize(mapped)]
+            ends.append(len(flat))
+        return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         out = []
@@ -230,10 +229,10 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
     starts = starts.astype(np.int64)
     rules: list[np.ndarray] = []
     lengths = np.ones(BASE, np.int64)
-    inner = np.ones(len(seq), bool)  # the pair that begins here lies in one document
-    inner[starts[starts > 0] - 1] = False
-    inner[-1:] = False
-    look = np.flatnonzero(inner)  # places of all pairs that can be frequent
+    again = np.ones(len(seq), bool)
+    again[starts[starts > 0] - 1] = False  # no pair leaves its document
+    again[-1:] = False
+    look = np.flatnonzero(again)  # places of all pairs that can be frequent
     while len(look) and (max_rounds is None or len(rules) < max_rounds):
         keys = seq.take(look).astype(np.int64) << 32 | seq[1:].take(look)
         if len(look) > LARGE:  # pairs in a bucket of under min_count are not sorted
@@ -274,7 +273,6 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
         new[use] = len(lengths) + np.arange(len(use))
         at, by = at[new[by] > 0], by[new[by] > 0]
         seq[at] = new[by]
-        inner[at] = inner[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         # Counts of known pairs only fall, so what can be frequent next are the frequent ones of now and those with a new symbol.
@@ -282,10 +280,12 @@ def compress(ids: np.ndarray, starts: np.ndarray, min_count: int = MIN_COUNT, ma
         again[look] = True
         again[at] = True
         keep = np.flatnonzero(keep)  # places are taken faster than marked ones are picked
-        seq, inner, again = seq.take(keep), inner.take(keep), again.take(keep)
+        seq, again = seq.take(keep), again.take(keep)
         again[np.maximum(at - np.arange(len(at)) - 1, 0)] = True
-        look = np.flatnonzero(again & inner)
         starts = starts - np.searchsorted(at + 1, starts)
+        again[starts[starts > 0] - 1] = False
+        again[-1:] = False
+        look = np.flatnonzero(again)
         a, b = pairs[use] >> 32, pairs[use] & 0xFFFFFFFF
         rules.append(np.stack([a, b], 1))
         lengths = np.concatenate([lengths, lengths[a] + lengths[b]])
