@@ -7,7 +7,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -139,13 +139,20 @@ def curve_key(df: DataFrame, columns: Sequence[str], n_rows: int) -> Column:
     few = df.select(*columns).sample(fraction=min(1.0, CURVE_SAMPLE / max(1, n_rows)), seed=7).limit(2 * CURVE_SAMPLE)
     few = few.agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in columns]).first()
     key = F.lit(0).cast("long")
+
+    def placed(c: str, bounds: list, lo: int, hi: int, bits: Callable[[int], int]) -> Column:
+        """The key's bits for the number of bounds up to the value, found by halves (NULL: before all of them)."""
+        if lo == hi:
+            return F.lit(bits(lo)).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(F.col(c) >= F.lit(bounds[mid]), placed(c, bounds, mid + 1, hi, bits)).otherwise(placed(c, bounds, lo, mid, bits))
+
     for place, c in enumerate(columns):
         values, ranges = few[c], 1 << CURVE_BITS
         bounds = sorted({values[len(values) * k // ranges] for k in range(1, ranges)}) if values else []
         step = ranges // (len(bounds) + 1)  # few values take the high bits too, or a column of many would outweigh them
-        rank = reduce(add, [F.coalesce(F.col(c) >= F.lit(b), F.lit(False)).cast("long") * step for b in bounds], F.lit(0).cast("long"))
-        for bit in range(CURVE_BITS):
-            key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + place)
+        spread = lambda n, step=step, place=place: sum((n * step >> bit & 1) << bit * len(columns) + place for bit in range(CURVE_BITS))
+        key = key + placed(c, bounds, 0, len(bounds), spread)
     return key
 
 
