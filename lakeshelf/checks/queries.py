@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from lakeshelf import runlog
 from lakeshelf.fixtures import fixture, table
 from lakeshelf.operators import changes, dedup, quality, windows
-from lakeshelf.operators.joins import fits, maybe_broadcast
+from lakeshelf.operators.joins import fits, maybe_broadcast, strategy_for
 from lakeshelf.plans import dims, facts, late, silver
 from lakeshelf.sinks import writers
 from lakeshelf.session import materialize, scratch_path
@@ -130,8 +130,18 @@ def silver_after_stream(spark, d) -> DataFrame:
     return materialize(changes.live(pos_after_stream(spark, d)))
 
 
+def pos_batch_rows(spark, d) -> DataFrame:
+    return silver.clean_pos(_bronze_pos(fixture(spark, d, "fx_pos_batch")), silver.POS_BATCH_TAG)
+
+
 def pos_batch_clean(spark, d) -> DataFrame:
-    return silver.dedup_pos(silver.clean_pos(_bronze_pos(fixture(spark, d, "fx_pos_batch")), silver.POS_BATCH_TAG))
+    return silver.dedup_pos(pos_batch_rows(spark, d))
+
+
+def batch_dates(batch: DataFrame) -> DataFrame:
+    """The event dates of a batch, broadcast if they are few."""
+    dates = materialize(dedup.distinct_keys(batch, ["transaction_date"]))
+    return maybe_broadcast(dates, fits(dates))
 
 
 # --- queries ------------------------------------------------------------------------------------
@@ -581,20 +591,19 @@ def q_merge_insert_only(spark, d):
 
 def q_merge_pos_batch(spark, d):
     state = silver_after_stream(spark, d)
-    return comparable(changes.upsert(state, pos_batch_clean(spark, d), ["transaction_id"],
-                                     compare=silver.POS_BATCH_COMPARE))
+    return comparable(changes.upsert(state, pos_batch_clean(spark, d), ["transaction_id"], compare=silver.POS_BATCH_COMPARE,
+                                     strategy=strategy_for(pos_batch_rows(spark, d))))
 
 
 def q_batch_scope_semi(spark, d):
     state = silver_after_stream(spark, d)
-    scope = dedup.distinct_keys(pos_batch_clean(spark, d), ["transaction_date"])
-    return state.join(scope, "transaction_date", "left_semi").select("transaction_id", "transaction_date")
+    return state.join(batch_dates(pos_batch_clean(spark, d)), "transaction_date", "left_semi").select("transaction_id", "transaction_date")
 
 
 def q_cancelled_anti(spark, d):
     state = silver_after_stream(spark, d)
     batch = pos_batch_clean(spark, d)
-    in_scope = state.join(dedup.distinct_keys(batch, ["transaction_date"]), "transaction_date", "left_semi")
+    in_scope = state.join(batch_dates(batch), "transaction_date", "left_semi")
     return in_scope.join(batch.select("transaction_id"), "transaction_id", "left_anti").select(
         "transaction_id", "transaction_date"
     )
@@ -755,14 +764,16 @@ def _daily_sales(pos: DataFrame) -> DataFrame:
 
 def late_inputs(spark, d):
     """Silver POS before the late increment, after it, and the increment itself
-    (event date as a DATE column, the fact's partition column)."""
-    pos = materialize(silver.clean_pos(fixture(spark, d, "fx_pos"), F.col("_source"), "ts_iso"))
-    cut = F.lit(INCREMENT_FROM).cast("timestamp_ntz")
-
-    def dated(df):
-        return materialize(silver.dedup_pos(df).withColumn("transaction_date", F.to_date("transaction_ts")))
+    (event date as a DATE column, the fact's partition column).
 
-    return dated(pos.filter(F.col("ingested_at") < cut)), dated(pos), dated(pos.filter(F.col("ingested_at") >= cut))
+    The raw rows are deduplicated once, by key and side of the cut; each side is read from that, and what holds
+    after the increment is the survivor of both."""
+    cut = F.lit(INCREMENT_FROM).cast("timestamp_ntz")
+    raw = silver.clean_pos(fixture(spark, d, "fx_pos"), F.col("_source"), "ts_iso").withColumn("__late", F.col("ingested_at") >= cut)
+    sides = materialize(dedup.first_per_key(raw, ["transaction_id", "__late"], silver.POS_TIE_BREAK))
+    dated = lambda df: df.drop("__late").withColumn("transaction_date", F.to_date("transaction_ts"))
+    now = materialize(dated(silver.dedup_pos(sides.drop("__late"))))
+    return dated(sides.filter(~F.col("__late"))), now, dated(sides.filter("__late"))
 
 
 def q_late_dates(spark, d):

@@ -84,5 +84,5 @@ def materialize(df: DataFrame) -> DataFrame:
     continue from those files, so later scans prune columns and push filters down.
     Used where a stored table sits between two stages of a flow."""
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
