@@ -138,8 +138,16 @@ def upsert(
             F.lit("insert").alias(OP),
         )
         return annotated.unionByName(ins)
-    joined = target.withColumn("__t", F.lit(True)).join(s_ren, _same(keys, _S, null_safe), "full_outer")
-    return joined.select(*merged_cols(F.col("__t").isNull()))
+
+    def merged(t: DataFrame, s: DataFrame, safe: bool) -> DataFrame:
+        joined = t.withColumn("__t", F.lit(True)).join(s, _same(keys, _S, safe), "full_outer")
+        return joined.select(*merged_cols(F.col("__t").isNull()))
+
+    if not null_safe:
+        return merged(target, s_ren, False)
+    # Plain equality finds a batch that was deduplicated by these keys where it lies; rows with a NULL key are few and merged apart.
+    null, s_null = (reduce(or_, [F.col(p + k).isNull() for k in keys]) for p in ("", _S))
+    return merged(target.filter(~null), s_ren.filter(~s_null), False).unionByName(merged(target.filter(null), s_ren.filter(s_null), True))
 
 
 def merge_bucketed(target: DataFrame, source: DataFrame, keys: Sequence[str], **kw) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lakeshelf.functions.columns import days_to_date, parse_date, parse_iso_ts, parse_ts, to_decimal
 from lakeshelf.operators import changes, dedup
 from lakeshelf.operators.joins import strategy_for
+from lakeshelf.session import materialize
 
 # Source-system tags and the columns each merge compares / updates.
 POS_STREAM_TAG = "pos_realtime_stream"
@@ -149,18 +150,23 @@ def pos_stream_rows(bronze: DataFrame) -> DataFrame:
 
 
 def apply_pos_stream(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "timestamp", **kw) -> DataFrame:
-    """Stream-tagged rows, cleaned, deduplicated, inserted if absent (idempotent on replay)."""
-    return changes.upsert(state, dedup_pos(clean_pos(pos_stream_rows(bronze_batch), POS_STREAM_TAG, ts_col)), ["transaction_id"], **kw)
+    """Stream-tagged rows, cleaned, deduplicated, inserted if absent (idempotent on replay). The size of the batch is looked
+    up before deduplication, which would else run once more for it."""
+    rows = clean_pos(pos_stream_rows(bronze_batch), POS_STREAM_TAG, ts_col)
+    kw["strategy"] = strategy_for(rows, kw.get("strategy", "auto"), kw.get("max_rows"))
+    return changes.upsert(state, dedup_pos(rows), ["transaction_id"], **kw)
 
 
 def apply_pos_batch(state: DataFrame, bronze_batch: DataFrame, ts_col: str = "timestamp", **kw) -> DataFrame:
     """The daily batch is authoritative for its dates: insert, correct amounts,
     then delete in-scope transactions that the batch no longer lists. Event time
     and origin of existing rows stay as they were."""
-    batch = dedup_pos(clean_pos(bronze_batch, POS_BATCH_TAG, ts_col))
-    kw["strategy"] = strategy_for(batch, kw.get("strategy", "auto"), kw.get("max_rows"))
+    rows = clean_pos(bronze_batch, POS_BATCH_TAG, ts_col)
+    batch = dedup_pos(rows)
+    kw["strategy"] = strategy_for(rows, kw.get("strategy", "auto"), kw.get("max_rows"))
     merged = changes.upsert(state, batch, ["transaction_id"], compare=POS_BATCH_COMPARE, **kw)
-    return changes.delete_unmatched(merged, batch, "transaction_date", kw.get("max_rows"))
+    dates = materialize(batch.select("transaction_date").distinct())  # read twice: their number, then the dates
+    return changes.delete_unmatched(merged, dates, "transaction_date", kw.get("max_rows"))
 
 
 # --- customers --------------------------------------------------------------------
