@@ -21,8 +21,11 @@ def parse_date(c: ColLike, fmt: str | None = None) -> Column:
 
 
 def parse_iso_ts(c: ColLike) -> Column:
-    """ISO-8601 instant text such as ``2023-08-19T22:26:11Z`` to TIMESTAMP (NULL if malformed)."""
-    return F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
+    """ISO-8601 instant text such as ``2023-08-19T22:26:11Z`` to TIMESTAMP (NULL if malformed). Text of exactly that form is
+    cast, which gives the same instant at a fraction of the cost; all other goes through the pattern."""
+    c = _c(c)
+    plain = F.when(c.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z\z"), c.try_cast("timestamp"))
+    return F.coalesce(plain, F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
 
 
 def parse_ts(c: ColLike) -> Column:
