@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,18 @@ def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
     _scratch.paths[since:] = needed
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Tables written in here leave no shuffle files: else these stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Lower the session's Arrow batch size: batches of long texts are held several times over, in the
     executor's JVM and in each Python worker."""

@@ -3,7 +3,7 @@
 The suffixes that start at anchors (see ``repeats``) are sorted by their leading bytes: a sample
 of the suffixes gives splitters, by which Spark range-partitions them; each bucket sorts
 its suffixes by multikey quicksort (the first 8 bytes as one character, then, among equal ones,
-those up to GRAM, then the whole context), so that equal suffixes are neighbours, and
+the whole context; a bucket that is too large for one sort in several slices), so that equal suffixes are neighbours, and
 neighbours tell what repeats. Leading bytes so frequent that they are several splitters at once
 are dealt over all their buckets, and compared across these bucket boundaries by their windows.
 
@@ -37,7 +37,7 @@ def _leading(length: int):
         for batch in chunks(batches):
             seq = Bytes(batch)
             if len(seq.at) and seq.at[-1] >= length:
-                _, k1, _, _, _ = anchors(seq, prefix(seq.values()), length, GRAM)
+                _, k1, _, _, _, _ = anchors(seq, prefix(seq.values()), length, GRAM)
                 yield pa.RecordBatch.from_arrays([pa.array((k1[::SAMPLE_STEP] ^ np.uint64(1 << 63)).view(np.int64))], names=["k"])
     return work
 
