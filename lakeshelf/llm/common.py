@@ -72,6 +72,9 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
     """Tables written in here leave no shuffle files: else these stay until the driver happens to collect its garbage."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
+    if before == "true":  # of the session, or of another thread that sets it back
+        yield
+        return
     spark.conf.set(key, "true")
     try:
         yield

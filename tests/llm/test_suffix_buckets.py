@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 
 from lakeshelf.llm import repeats, suffixes
+from lakeshelf.llm.common import shuffles_deleted
 
 U = np.uint64
 
@@ -48,3 +49,18 @@ def test_slices_keep_equal_values_together():
     assert len(some) > 5 and max(len(h) for h, _ in some) < 2000
     assert sum(len(set(h.tolist())) for h, _ in some) == len(set(whole[0].tolist()))
     assert sorted(zip(*[np.concatenate(c).tolist() for c in zip(*some)])) == sorted(zip(*[c.tolist() for c in whole]))
+
+
+def test_shuffle_files_of_stored_steps_go_and_the_setting_comes_back(spark, docs, corpus):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    cached = docs(corpus).cache()
+    out = suffixes.without_repeated_bytes(cached)
+    assert spark.conf.get(key) == before
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, out.collect()))
+    assert cached.count() == len(corpus)
+    with shuffles_deleted(spark):
+        with shuffles_deleted(spark):
+            assert spark.conf.get(key) == "true"
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
